@@ -162,13 +162,13 @@ def recompute_features(df: DataFrame, keys, order, target: str, price: str,
 
 
 def last_rows(df: DataFrame, keys, order_col: str, n: int, rank_col: str | None = None) -> DataFrame:
-    """The last ``n`` rows of every series (time ascending rank kept in
+    """The last ``n`` rows of every series (recency 1 = latest kept in
     ``rank_col`` when given). ``row_number() <= n`` lets Spark insert a partial
     per-partition group limit before the shuffle, so a hot series ships only n rows."""
     w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
     out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
     if rank_col:
-        out = out.withColumn(rank_col, F.lit(n + 1) - F.col("_rn"))
+        out = out.withColumn(rank_col, F.col("_rn"))
     return out.drop("_rn")
 
 
