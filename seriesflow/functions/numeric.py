@@ -19,6 +19,12 @@ def r6(c) -> Column:
     return F.round(col_(c), 6) + F.lit(0.0)
 
 
+def r4(c) -> Column:
+    """Tie-safe 4-place rounding ``floor(x * 1e4 + 0.5003) / 1e4`` for large values
+    (~1e5) derived from fitted models, whose last bits differ between engines."""
+    return F.floor(col_(c) * F.lit(1e4) + F.lit(0.5003)) / F.lit(1e4)
+
+
 def nan_to_null(c) -> Column:
     c = col_(c)
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)

@@ -146,7 +146,10 @@ def feature_frame(df: DataFrame, keys, order, date_col: str, target: str, price:
     """The full feature frame in one projection, then warm-up rows dropped."""
     out = df.withColumns(feature_exprs(keys, order, date_col, target, price, measures,
                                        n_lags, with_lags=with_lags))
-    return out.na.drop("any") if drop_warmup else out
+    if not drop_warmup:
+        return out
+    from seriesflow.operators.clean import drop_incomplete
+    return drop_incomplete(out)
 
 
 def recompute_features(df: DataFrame, keys, order, target: str, price: str,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesflow.functions.numeric import round_doubles
+from seriesflow.functions.numeric import double_columns, r4, round_doubles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,13 +18,18 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, round_output: bool = True):
+def query(name: str, sql: str | None = None, round_output: bool = True, places: int = 6):
     """Register ``fn`` as query ``name``; doubles are rounded to 6 places at the
-    output boundary so both engines compare equal (see SURVEY §4 rounding rule)."""
+    output boundary so both engines compare equal (see SURVEY §4 rounding rule).
+    ``places=4`` first applies the tie-safe 4-place form (model-derived values)."""
     def deco(fn: QueryFn) -> QueryFn:
         if round_output:
             def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-                return round_doubles(fn(spark, sf_dir))
+                out = fn(spark, sf_dir)
+                if places == 4:
+                    cols = double_columns(out)
+                    out = out.withColumns({c: r4(c) for c in cols}) if cols else out
+                return round_doubles(out)
             wrapped.__name__ = fn.__name__
             wrapped.__doc__ = fn.__doc__
             QUERIES[name] = wrapped

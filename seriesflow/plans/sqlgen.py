@@ -42,6 +42,10 @@ def r6(expr: str) -> str:
     return f"(round({expr}, 6) + 0.0)"
 
 
+def r4(expr: str) -> str:
+    return f"(floor(({expr}) * 1e4 + 0.5003) / 1e4)"
+
+
 def rows(w: str, n: int, shift: int = 0) -> str:
     lo = n - 1 + shift
     hi = "CURRENT ROW" if shift == 0 else f"{shift} PRECEDING"
@@ -107,8 +111,15 @@ def feature_sql(measures: dict[str, str], target: str, price: str, n_lags: int =
     return out
 
 
-def select_list(exprs: dict[str, str], ints: set[str] = frozenset(), round_all: bool = True) -> str:
+def r64(expr: str) -> str:
+    """4-place tie-safe rounding, then the 6-place output form (matches ``places=4``)."""
+    return r6(r4(expr))
+
+
+def select_list(exprs: dict[str, str], ints: set[str] = frozenset(), round_all: bool = True,
+                rfn=None) -> str:
+    rfn = rfn or r6
     parts = []
     for name, e in exprs.items():
-        parts.append(f"{e} AS {name}" if (name in ints or not round_all) else f"{r6(e)} AS {name}")
+        parts.append(f"{e} AS {name}" if (name in ints or not round_all) else f"{rfn(e)} AS {name}")
     return ",\n    ".join(parts)
