@@ -66,10 +66,11 @@ def unseen_counts(df: DataFrame, label_map: DataFrame, cols: Sequence[str]) -> D
     return counts.join(label_map.select("column", "value"), ["column", "value"], "left_anti")
 
 
-def decode(df: DataFrame, label_map: DataFrame, col: str, out: str | None = None) -> DataFrame:
+def decode(df: DataFrame, label_map: DataFrame, col: str, out: str | None = None,
+           map_column: str | None = None) -> DataFrame:
     """Code -> label via the map (NULL for an unknown code); result in ``out``
-    (default ``{col}_label``)."""
+    (default ``{col}_label``); ``map_column`` names the map entry if it differs from ``col``."""
     out = out or f"{col}_label"
-    m = (label_map.filter(F.col("column") == col)
+    m = (label_map.filter(F.col("column") == (map_column or col))
          .select(F.col("code").alias("_code"), F.col("value").alias(out)))
     return df.join(m, df[col] == m["_code"], "left").drop("_code")
