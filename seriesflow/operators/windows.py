@@ -190,3 +190,39 @@ def sequences(df: DataFrame, keys, order, features: Sequence[str], target: str,
     x = F.collect_list(F.struct(*[col_(f) for f in features])).over(w)
     return (df.withColumn("x", x).filter(F.size("x") == window_size)
             .withColumn("y", F.col(target)))
+
+
+def chunked_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                   exprs, lookback: int, chunk_rows: int = 100_000) -> DataFrame:
+    """Row-frame window features for series too long (or too skewed) for one task.
+
+    Exact re-plan of ``df.withColumns(exprs(Window.partitionBy(keys).orderBy(order)))``
+    for frames that look at most ``lookback`` rows back and never forward:
+
+    1. ``bucket`` (never decreasing along ``order``, e.g. a day) splits each
+       series; rows are numbered inside (series, bucket) - spread over tasks;
+    2. bucket sizes (an aggregate) -> running offsets over the small bucket
+       table -> a global row number ``rn`` per series;
+    3. rows go to chunks of ``chunk_rows`` consecutive rows; the last
+       ``lookback`` rows of each chunk are copied into the next chunk as halo
+       (``explode``, no join), so every row sees its full frame;
+    4. the features run per (series, chunk) and halo copies are dropped.
+
+    ``exprs`` is a function ``WindowSpec -> dict[name, Column]``.
+    """
+    if chunk_rows < lookback:
+        raise ValueError("chunk_rows must be at least the lookback")
+    keys, order = list(keys), list(order)
+    d = df.withColumn("_b", bucket)
+    local = d.withColumn("_lr", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
+    sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
+    num = local.join(offs, keys + ["_b"]).withColumn("_rn", F.col("_off") + F.col("_lr"))
+    chunk = F.floor((F.col("_rn") - 1) / F.lit(chunk_rows))
+    in_tail = ((F.col("_rn") - 1) % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
+    copies = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    rep = num.withColumns({"_own": chunk, "_chunk": F.explode(copies)})
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_rn")
+    out = rep.withColumns(exprs(w)).filter(F.col("_chunk") == F.col("_own"))
+    return out.drop("_b", "_lr", "_off", "_rn", "_own", "_chunk")

@@ -196,3 +196,30 @@ def last_window(spark, sf):
     """Last 21 rows per series (the window fed to the sequence model)."""
     d = base.daily(spark, sf).select("k", "d", "price")
     return W.last_rows(d, KEYS, "d", 21, rank_col="recency")
+
+
+# ---------------------------------------------------------------- long / skewed series
+_WE = "PARTITION BY user_id ORDER BY ts, event_id"
+
+
+def _event_feats(w):
+    out = W.rolling_mean_exprs({"value": "value"}, [3, 7], w)
+    out.update(W.rolling_std_exprs({"value": "value"}, 7, w))
+    out.update(W.lag_exprs("value", 3, w))
+    out.update(W.diff_exprs("value", [1], w, "value"))
+    return out
+
+
+@query("event_rolling_chunked", f"""SELECT user_id, event_id, ts, value,
+  {select_list({'value_roll3': roll_mean('value', 3, _WE), 'value_roll7': roll_mean('value', 7, _WE),
+                'value_roll7_std': roll_std('value', 7, _WE),
+                **{f'value_lag{i}': lag('value', i, _WE) for i in (1, 2, 3)},
+                'value_diff_1': f"value - {lag('value', 1, _WE)}"})}
+FROM events""")
+def event_rolling_chunked(spark, sf):
+    """Rolling / lag features over per-user event series through the chunked
+    window (day buckets, halo of 6 rows): a user holding a third of all events
+    is computed in many tasks, with results equal to the plain window."""
+    e = read_table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    return W.chunked_window(e, ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+                            _event_feats, lookback=6, chunk_rows=64)

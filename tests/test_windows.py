@@ -61,3 +61,19 @@ def test_empty_and_one_row(spark):
     for df in (empty, one):
         out = df.withColumns({**W.lag_exprs("y", 3, w), **W.rolling_mean_exprs({"y": "y"}, [3], w)})
         assert "y_lag3" in out.columns and out.count() == df.count()
+
+
+def test_chunked_window_equals_plain(spark):
+    from seriesflow.sources.tables import read_table
+    e = read_table(spark, "/root/testdata/sf0.001", "events").select("user_id", "event_id", "ts", "value")
+
+    def feats(w):
+        return {**W.rolling_mean_exprs({"value": "value"}, [5], w), **W.lag_exprs("value", 4, w),
+                **W.rolling_std_exprs({"value": "value"}, 3, w, full=False)}
+    plain = e.withColumns(feats(W.series_window(["user_id"], ["ts", "event_id"])))
+    for chunk in (4, 5, 9):
+        ch = W.chunked_window(e, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"),
+                              feats, lookback=4, chunk_rows=chunk)
+        assert sorted(rows(ch, *plain.columns)) == sorted(rows(plain))
+    with pytest.raises(ValueError):
+        W.chunked_window(e, ["user_id"], ["ts"], F.col("ts"), feats, lookback=4, chunk_rows=2)
