@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesflow.operators.windows import last_rows
+from seriesflow.operators.windows import last_rows, series_row_number
 
 
 def chronological_split(df: DataFrame, keys: Sequence[str], order, train_frac: float = 0.8,
-                        col: str = "is_train") -> DataFrame:
+                        col: str = "is_train", bucket: Column | None = None) -> DataFrame:
     """Per series, the first ``floor(train_frac * n)`` rows in time order are
     train (``is_train`` true), the rest test.  Row number and series size come
-    from one window over the series."""
+    from one window over the series, or - with ``bucket`` - from the skew-safe
+    :func:`series_row_number` (no task holds a whole series)."""
     order = [order] if isinstance(order, str) else list(order)
+    if bucket is not None:
+        num = series_row_number(df, keys, order, bucket, "_rn", with_size="_size")
+        return num.withColumn(col, F.col("_rn") <= F.floor(F.lit(train_frac) * F.col("_size"))) \
+                  .drop("_rn", "_size")
     w = Window.partitionBy(*keys).orderBy(*order)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     cut = F.floor(F.lit(train_frac) * n)

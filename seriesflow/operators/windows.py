@@ -120,14 +120,14 @@ def add_momentum(df: DataFrame, col: str, keys, order, prefix: str = "price") ->
 def feature_exprs(keys, order, date_col: str, target: str, price: str,
                   measures: dict[str, str], n_lags: int = N_LAGS,
                   windows: Sequence[int] = ROLL_WINDOWS, with_lags: bool = True,
-                  with_calendar: bool = True) -> dict[str, Column]:
+                  with_calendar: bool = True, w: WindowSpec | None = None) -> dict[str, Column]:
     """E14 expression set: rolling means of every measure, rolling std of the
     target and price, calendar columns, target lags and price momentum.
 
     ``measures`` maps output prefix -> column (e.g. ``{"demand": "demand"}``);
     std columns are built for the target and price prefixes.
     """
-    w = series_window(keys, order)
+    w = w if w is not None else series_window(keys, order)
     out: dict[str, Column] = {}
     out.update(rolling_mean_exprs(measures, windows, w, full=True))
     std_cols = {p: c for p, c in measures.items() if c in (target, price)}
@@ -142,10 +142,22 @@ def feature_exprs(keys, order, date_col: str, target: str, price: str,
 
 def feature_frame(df: DataFrame, keys, order, date_col: str, target: str, price: str,
                   measures: dict[str, str], n_lags: int = N_LAGS, drop_warmup: bool = True,
-                  with_lags: bool = True) -> DataFrame:
-    """The full feature frame in one projection, then warm-up rows dropped."""
-    out = df.withColumns(feature_exprs(keys, order, date_col, target, price, measures,
-                                       n_lags, with_lags=with_lags))
+                  with_lags: bool = True, bucket: Column | None = None,
+                  chunk_rows: int = 100_000) -> DataFrame:
+    """The full feature frame in one projection, then warm-up rows dropped.
+
+    With ``bucket`` (a column never decreasing along ``order``) the window runs
+    through :func:`chunked_window`, for series too long or skewed for one task."""
+    if bucket is None:
+        out = df.withColumns(feature_exprs(keys, order, date_col, target, price, measures,
+                                           n_lags, with_lags=with_lags))
+    else:
+        lookback = max([n_lags if with_lags else 0, max(ROLL_WINDOWS) - 1, STD_WINDOW - 1,
+                        max(DIFF_OFFSETS), max(CHANGE_OFFSETS)])
+        order = [order] if isinstance(order, str) else list(order)
+        out = chunked_window(df, keys, order, bucket, lambda w: feature_exprs(
+            keys, order, date_col, target, price, measures, n_lags, with_lags=with_lags, w=w),
+            lookback=lookback, chunk_rows=chunk_rows)
     if not drop_warmup:
         return out
     from seriesflow.operators.clean import drop_incomplete
@@ -213,16 +225,31 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     if chunk_rows < lookback:
         raise ValueError("chunk_rows must be at least the lookback")
     keys, order = list(keys), list(order)
-    d = df.withColumn("_b", bucket)
-    local = d.withColumn("_lr", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
-    sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
-    num = local.join(offs, keys + ["_b"]).withColumn("_rn", F.col("_off") + F.col("_lr"))
+    num = series_row_number(df, keys, order, bucket, "_rn")
     chunk = F.floor((F.col("_rn") - 1) / F.lit(chunk_rows))
     in_tail = ((F.col("_rn") - 1) % F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
     copies = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     rep = num.withColumns({"_own": chunk, "_chunk": F.explode(copies)})
     w = Window.partitionBy(*keys, "_chunk").orderBy("_rn")
     out = rep.withColumns(exprs(w)).filter(F.col("_chunk") == F.col("_own"))
-    return out.drop("_b", "_lr", "_off", "_rn", "_own", "_chunk")
+    return out.drop("_rn", "_own", "_chunk")
+
+
+def series_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                      out: str = "rn", with_size: str | None = None) -> DataFrame:
+    """Position 1..n of every row in its series (and optionally the series size)
+    without a one-task-per-series window: rows are numbered per (series, bucket),
+    bucket sizes are aggregated, running offsets come from a window over the
+    small bucket table and are joined back on (series, bucket)."""
+    keys, order = list(keys), list(order)
+    d = df.withColumn("_b", bucket)
+    local = d.withColumn("_lr", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)))
+    sizes = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    offs = sizes.withColumn("_off", F.coalesce(
+        F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if with_size:
+        offs = offs.withColumn(with_size, F.sum("_n").over(
+            wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    res = local.join(offs.drop("_n"), keys + ["_b"]).withColumn(out, F.col("_off") + F.col("_lr"))
+    return res.drop("_b", "_lr", "_off")

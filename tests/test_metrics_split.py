@@ -47,3 +47,12 @@ def test_chronological_split(spark):
     out = split.chronological_split(df, ["k"], ["d"])
     got = {k: sorted(d for kk, d, t in rows(out, "k", "d", "is_train") if kk == k and t) for k in "ab"}
     assert got == {"a": list(range(8)), "b": list(range(4))}
+
+
+def test_bucketed_chronological_split_equals_window(spark):
+    from pyspark.sql import functions as F
+    from seriesflow.plans import base
+    g = base.gappy(spark, "/root/testdata/sf0.001")
+    a = split.chronological_split(g, ["user_id"], ["ts", "event_id"])
+    b = split.chronological_split(g, ["user_id"], ["ts", "event_id"], bucket=F.date_trunc("hour", "ts"))
+    assert sorted(rows(a, "event_id", "is_train")) == sorted(rows(b, "event_id", "is_train"))

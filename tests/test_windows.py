@@ -77,3 +77,18 @@ def test_chunked_window_equals_plain(spark):
         assert sorted(rows(ch, *plain.columns)) == sorted(rows(plain))
     with pytest.raises(ValueError):
         W.chunked_window(e, ["user_id"], ["ts"], F.col("ts"), feats, lookback=4, chunk_rows=2)
+
+
+def test_feature_frame_chunked_equals_plain(spark):
+    from seriesflow.plans import base
+    d = base.daily(spark, "/root/testdata/sf0.001")
+    m = {"demand": "demand", "price": "price"}
+    a = W.feature_frame(d, ["k"], ["d"], "d", "demand", "price", m)
+    b = W.feature_frame(d, ["k"], ["d"], "d", "demand", "price", m,
+                        bucket=F.date_trunc("month", "d"), chunk_rows=50)
+    ra = sorted(rows(a, *a.columns))
+    rb = sorted(rows(b, *a.columns))
+    assert len(ra) == len(rb) > 0
+    for x, y in zip(ra, rb):
+        assert all((p == q) or (isinstance(p, float) and abs(p - q) <= 1e-9 * max(1.0, abs(p)))
+                   for p, q in zip(x, y))
