@@ -219,11 +219,10 @@ SELECT user_id, event_id,
 def sanitize_sequences(spark, sf):
     """Detect NaN/NULL in a window array, then NaN/NULL -> 0, +-inf -> +-max double."""
     g = base.gappy(spark, sf)
-    w = W.series_window(GK, GO)
     last = (F.when(F.col("v") > 400, F.lit(float("inf")))
             .when(F.col("v") < 25, F.lit(float("-inf"))).otherwise(F.col("v")))
-    s = g.select("user_id", "event_id",
-                 F.array(F.lag("v", 2).over(w), F.lag("v", 1).over(w), last).alias("x"))
+    s = W.chunked_window(g, GK, GO, _day_bucket(), lambda w: {
+        "x": F.array(F.lag("v", 2).over(w), F.lag("v", 1).over(w), last)}, lookback=2)
     s = s.select("user_id", "event_id", has_missing("x").alias("has_missing"),
                  sanitize_array("x").alias("x"))
     return s.select("user_id", "event_id", "has_missing",
