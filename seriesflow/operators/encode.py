@@ -22,12 +22,25 @@ def _as_label(c: str):
     return F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LABEL))
 
 
-def fit_label_map(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fit_label_map(df: DataFrame, cols: Sequence[str], prefix_len: int | None = None) -> DataFrame:
     """D1 fit: one scan, values of all columns unpivoted, distinct (partial
-    aggregate), then ``row_number`` over each column's small distinct set."""
+    aggregate), then codes 0..m-1 in sorted order.
+
+    By default the codes come from ``row_number`` over each column's distinct
+    set, i.e. one task per column - right for categorical columns (Spark ML's
+    ``StringIndexer`` even collects them to the driver).  For high-cardinality
+    columns pass ``prefix_len``: values are numbered per (column, value prefix)
+    and prefix-bucket offsets are added (:func:`series_row_number`), so no task
+    sorts a whole column.  Both give identical codes."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _as_label(c).alias("value"))
                                 for c in cols]))
     distinct = df.select(pairs.alias("p")).select("p.column", "p.value").distinct()
+    if prefix_len:
+        from seriesflow.operators.windows import series_row_number
+        # binary string order: a shorter prefix orders consistently with the full value
+        bucket = F.substring(F.encode("value", "UTF-8"), 1, prefix_len)
+        num = series_row_number(distinct, ["column"], ["value"], bucket, "_rn")
+        return num.withColumn("code", (F.col("_rn") - 1).cast("int")).drop("_rn")
     w = Window.partitionBy("column").orderBy("value")
     return distinct.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
 

@@ -82,15 +82,17 @@ def numeric_feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
 
 
 def preprocess(df: DataFrame, keys: Sequence[str], order, categorical: Sequence[str],
-               targets: Sequence[str], fill_keys: Sequence[str] | None = None):
+               targets: Sequence[str], fill_keys: Sequence[str] | None = None, bucket=None):
     """Forward fill -> median fill (median of the column before the fill)
     -> label encode -> {min-max, standard} variants of every numeric non-target
     column (encoded categoricals included).  Returns ``(encoded, mm, std, artifacts)``
-    where artifacts holds the label map and both parameter tables."""
+    where artifacts holds the label map and both parameter tables.  ``bucket``
+    selects the skew-safe bucketed forward fill for long series."""
     fill_keys = list(keys) if fill_keys is None else list(fill_keys)
     from pyspark.sql.types import NumericType
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    filled = clean.forward_fill(df, [c for c in num + list(categorical) if c not in keys], keys, order)
+    filled = clean.forward_fill(df, [c for c in num + list(categorical) if c not in keys], keys, order,
+                                bucket=bucket)
     filled = clean.fill_with_stats(filled, df, num, fill_keys, "median")
     lmap = fit_label_map(filled, categorical)
     enc = encode.encode(filled, lmap, categorical, mode="strict")

@@ -273,7 +273,8 @@ SELECT c_custkey, coalesce(code, 0) AS c_name FROM customer LEFT JOIN m ON c_nam
 def safe_encode(spark, sf):
     """D3: unseen names (customers with negative balance were not in the fit) get code 0."""
     c = read_table(spark, sf, "customer")
-    m = encode.fit_label_map(c.filter(F.col("c_acctbal") >= 0), ["c_name"])
+    # one name per customer: high cardinality -> distributed code assignment
+    m = encode.fit_label_map(c.filter(F.col("c_acctbal") >= 0), ["c_name"], prefix_len=16)
     return encode.encode(c.select("c_custkey", "c_name"), m, ["c_name"], mode="safe")
 
 

@@ -45,3 +45,12 @@ def test_standard_scaled_mean0_std1(spark):
 def test_null_stays_null(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "y double")
     assert rows(scale.minmax_scale(df, ["y"]), "y") == [(0.0,), (None,), (1.0,)]
+
+
+def test_prefix_bucketed_codes_equal(spark):
+    from seriesflow.sources.tables import read_table
+    c = read_table(spark, "/root/testdata/sf0.001", "customer")
+    a = encode.fit_label_map(c, ["c_name", "c_mktsegment"])
+    for n in (1, 12, 17):
+        b = encode.fit_label_map(c, ["c_name", "c_mktsegment"], prefix_len=n)
+        assert sorted(rows(a, "column", "value", "code")) == sorted(rows(b, "column", "value", "code"))
