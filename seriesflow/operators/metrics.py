@@ -33,28 +33,32 @@ def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def class_labels(df: DataFrame, actual: str, predicted: str) -> list:
-    """Sorted class list (actual and predicted labels); bounded by the class count."""
-    lab = (df.select(F.col(actual).alias("c")).union(df.select(F.col(predicted).alias("c")))
-           .distinct().orderBy("c"))
-    return [r["c"] for r in lab.collect()]
-
-
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      labels: list | None = None) -> DataFrame:
     """M8: every (actual, predicted) cell over the sorted class list, zeros kept.
 
-    The m x m grid is generated by ``explode`` of the (bounded) class list on
-    the m-row label frame, then left-joined with the non-zero counts."""
+    The m x m grid is two ``explode`` of the (bounded) class list taken from
+    the non-zero counts - no driver round trip, no cross join - then
+    left-joined with those counts; the input is read once."""
     counts = confusion_counts(df, actual, predicted)
-    labels = class_labels(df, actual, predicted) if labels is None else labels
-    spark = df.sparkSession
-    lab = spark.createDataFrame([(x,) for x in labels], "actual string")
-    grid = lab.withColumn("predicted", F.explode(F.array(*[F.lit(x) for x in labels])))
+    if labels is not None:
+        lab = df.sparkSession.createDataFrame([(list(labels),)], "labels array<string>")
+    else:
+        # the class list from the counts themselves (one row, bounded by #classes)
+        lab = counts.select(F.explode(F.array("actual", "predicted")).alias("c")).agg(
+            F.sort_array(F.collect_set("c")).alias("labels"))
+    grid = (lab.select(F.explode("labels").alias("actual"), "labels")
+            .select("actual", F.explode("labels").alias("predicted")))
     return (grid.join(counts, ["actual", "predicted"], "left")
             .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint")))
 
 
+def _accuracy(cm: DataFrame) -> DataFrame:
+    """Accuracy and row count from the confusion counts (one row)."""
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
+    return cm.agg((F.sum(hit) / F.sum("n")).alias("accuracy"), F.sum("n").cast("bigint").alias("n"))
+
+
 def per_class(confusion: DataFrame) -> DataFrame:
     """M7 rows: precision, recall, F1, support per class (0 on zero division)."""
     tp = confusion.filter(F.col("actual") == F.col("predicted")).select(
@@ -73,8 +77,10 @@ def per_class(confusion: DataFrame) -> DataFrame:
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """M7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg' rows."""
-    pc = per_class(confusion_counts(df, actual, predicted))
+    """M7: per-class rows plus 'accuracy', 'macro avg' and 'weighted avg' rows, all
+    from one confusion-count aggregate (every branch reuses its exchange)."""
+    cm = confusion_counts(df, actual, predicted)
+    pc = per_class(cm)
     tot = F.sum("support")
     macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
@@ -84,23 +90,21 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
                       (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
                       (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"),
                       tot.alias("support"))
-    acc = df.agg(F.lit("accuracy").alias("label"),
-                 F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias("precision"),
-                 F.lit(None).cast("double").alias("recall"),
-                 F.lit(None).cast("double").alias("f1"),
-                 F.count(F.lit(1)).alias("support"))
-    acc = acc.withColumn("recall", F.col("precision")).withColumn("f1", F.col("precision"))
+    a = _accuracy(cm)
+    acc = a.select(F.lit("accuracy").alias("label"), F.col("accuracy").alias("precision"),
+                   F.col("accuracy").alias("recall"), F.col("accuracy").alias("f1"),
+                   F.col("n").alias("support"))
     return pc.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
 def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """M5 + M6 + M9: accuracy and support-weighted precision / recall / F1 in one row."""
-    pc = per_class(confusion_counts(df, actual, predicted))
+    cm = confusion_counts(df, actual, predicted)
+    pc = per_class(cm)
     tot = F.sum("support")
     w = pc.agg((F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
                (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
                (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"))
-    acc = df.agg(F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias("accuracy"),
-                 F.count(F.lit(1)).alias("n"))
+    acc = _accuracy(cm)
     # both sides are single-row aggregates: the join key is a constant
     return acc.withColumn("_j", F.lit(1)).join(w.withColumn("_j", F.lit(1)), "_j").drop("_j")

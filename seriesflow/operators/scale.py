@@ -33,7 +33,16 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "minmax",
                                           F.stddev_pop(F.col(c).cast("double")).alias(f"b_{c}"))]
     else:
         raise ValueError(f"unknown scaler kind {kind!r}")
-    wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    if not keys:
+        # whole-table parameters: one aggregate job, one row back, kept as a tiny
+        # local table so every later use is free (no recomputation of the input)
+        r = df.agg(*aggs).first()
+        local = [(c, kind, r[f"a_{c}"],
+                  (None if r[f"b_{c}"] is None or r[f"a_{c}"] is None else
+                   (r[f"b_{c}"] - r[f"a_{c}"] if kind == "minmax" else r[f"b_{c}"]))) for c in cols]
+        return df.sparkSession.createDataFrame(
+            local, "column string, kind string, center double, scale double")
+    wide = df.groupBy(*keys).agg(*aggs)
     rows = F.explode(F.array(*[F.struct(
         F.lit(c).alias("column"), F.lit(kind).alias("kind"),
         F.col(f"a_{c}").alias("center"),

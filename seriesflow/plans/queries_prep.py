@@ -28,8 +28,7 @@ def _day_bucket():
 SELECT k, d, {r6('demand')} AS demand, n, {r6('price')} AS price FROM daily""")
 def scan_daily(spark, sf):
     """A1 + A2: declared-schema scan, required columns checked on the driver (no job)."""
-    o = require_columns(read_table(spark, sf, "orders"), "o_orderdate", "o_totalprice")
-    assert o is not None
+    require_columns(read_table(spark, sf, "orders"), "o_orderdate", "o_totalprice", "o_orderpriority")
     return base.daily(spark, sf)
 
 
