@@ -51,6 +51,30 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "minmax",
     return wide.select(*keys, rows.alias("p")).select(*keys, "p.*")
 
 
+def fit_scalers(df: DataFrame, cols: Sequence[str],
+                kinds: Sequence[str] = ("minmax", "standard")) -> dict[str, DataFrame]:
+    """Whole-table parameters of several scalers from ONE aggregation job
+    (min, max, mean, population std of every column), as tiny local tables."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.min(x).alias(f"mn_{c}"), F.max(x).alias(f"mx_{c}"),
+                 F.avg(x).alias(f"mu_{c}"), F.stddev_pop(x).alias(f"sd_{c}")]
+    r = df.agg(*aggs).first()
+    out = {}
+    for kind in kinds:
+        rows = []
+        for c in cols:
+            if kind == "minmax":
+                lo, hi = r[f"mn_{c}"], r[f"mx_{c}"]
+                rows.append((c, kind, lo, None if lo is None else hi - lo))
+            else:
+                rows.append((c, kind, r[f"mu_{c}"], r[f"sd_{c}"]))
+        out[kind] = df.sparkSession.createDataFrame(
+            rows, "column string, kind string, center double, scale double")
+    return out
+
+
 def _scaled(x, center, scale):
     s = F.when(scale == 0, F.lit(1.0)).otherwise(scale)
     return (x.cast("double") - center) / s
@@ -106,8 +130,8 @@ def preprocess(df: DataFrame, keys: Sequence[str], order, categorical: Sequence[
     lmap = fit_label_map(filled, categorical)
     enc = encode.encode(filled, lmap, categorical, mode="strict")
     scale_cols = [c for c in list(categorical) + num if c not in targets]
-    mm_p = fit_scaler(enc, scale_cols, "minmax")
-    st_p = fit_scaler(enc, scale_cols, "standard")
+    prm = fit_scalers(enc, scale_cols)
+    mm_p, st_p = prm["minmax"], prm["standard"]
     mm = apply_scaler(enc, mm_p, scale_cols)
     std = apply_scaler(enc, st_p, scale_cols)
     return enc, mm, std, {"label_map": lmap, "minmax": mm_p, "standard": st_p}
