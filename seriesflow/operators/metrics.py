@@ -27,10 +27,18 @@ def regression_metrics(df: DataFrame, y: str, p: str, keys: Sequence[str] = ())
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def confusion_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Non-zero confusion cells."""
-    return (df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def confusion_counts(df: DataFrame, actual: str, predicted: str, local: bool = True) -> DataFrame:
+    """Non-zero confusion cells - one aggregate over the input (partial per task).
+
+    The result has at most (#classes)^2 rows, so by default it is brought back
+    once and kept as a tiny local table: every later branch of a report (per
+    class, averages, accuracy) then reads it instead of re-running the input."""
+    cm = (df.groupBy(F.col(actual).cast("string").alias("actual"),
+                     F.col(predicted).cast("string").alias("predicted"))
+          .agg(F.count(F.lit(1)).alias("n")))
+    if not local:
+        return cm
+    return df.sparkSession.createDataFrame(cm.collect(), "actual string, predicted string, n bigint")
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
@@ -60,13 +68,19 @@ def _accuracy(cm: DataFrame) -> DataFrame:
 
 
 def per_class(confusion: DataFrame) -> DataFrame:
-    """M7 rows: precision, recall, F1, support per class (0 on zero division)."""
-    tp = confusion.filter(F.col("actual") == F.col("predicted")).select(
-        F.col("actual").alias("label"), F.col("n").alias("tp"))
-    sup = confusion.groupBy(F.col("actual").alias("label")).agg(F.sum("n").alias("support"))
-    pred = confusion.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("n_pred"))
-    t = (sup.join(pred, "label", "full").join(tp, "label", "left")
-         .fillna(0, ["support", "n_pred", "tp"]))
+    """M7 rows: precision, recall, F1, support per class (0 on zero division).
+
+    One aggregate: every cell (a, p, n) counts n as support of a, as a
+    prediction of p, and as a true positive when a = p."""
+    n = F.col("n")
+    roles = F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), n.alias("sup"),
+                 F.when(F.col("actual") == F.col("predicted"), n).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("bigint").alias("npred")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("sup"),
+                 F.lit(0).cast("bigint").alias("tp"), n.alias("npred"))))
+    t = (confusion.select(roles.alias("r")).select("r.*").groupBy("label")
+         .agg(F.sum("sup").alias("support"), F.sum("tp").alias("tp"), F.sum("npred").alias("n_pred")))
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_pred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
     t = t.withColumns({"precision": prec, "recall": rec})

@@ -253,3 +253,22 @@ def series_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     res = local.join(offs.drop("_n"), keys + ["_b"]).withColumn(out, F.col("_off") + F.col("_lr"))
     return res.drop("_b", "_lr", "_off")
+
+
+def lag_one(df: DataFrame, col: str, keys: Sequence[str], order: Sequence[str], bucket: Column,
+            out: str | None = None) -> DataFrame:
+    """Skew-safe ``lag(col, 1)`` per series: lag inside (series, bucket); the first
+    row of a bucket takes the last value of the previous non-empty bucket of its
+    series (``max_by`` per bucket - a partial aggregate - then ``lag`` over the
+    small bucket table, joined back on (series, bucket))."""
+    keys, order = list(keys), list(order)
+    out = out or f"{col}_lag1"
+    d = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
+    local = d.withColumns({out: F.lag(col, 1).over(w), "_first": F.row_number().over(w) == 1})
+    edges = d.groupBy(*keys, "_b").agg(F.max_by(F.col(col), F.struct(*[F.col(c) for c in order])).alias("_last"))
+    prev = edges.select(*keys, "_b", F.lag("_last", 1).over(
+        Window.partitionBy(*keys).orderBy("_b")).alias("_prev"))
+    res = local.join(prev, keys + ["_b"], "left")
+    return res.withColumn(out, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col(out))) \
+              .drop("_b", "_first", "_prev")

@@ -75,12 +75,11 @@ def naive_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def naive_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` with ``pred`` = the customer's previous order priority (chunked
-    window: a customer with a third of all orders is still spread over tasks)."""
-    from seriesflow.operators.windows import chunked_window
+    """``orders`` with ``pred`` = the customer's previous order priority (bucketed
+    lag: a customer with a third of all orders is still spread over tasks)."""
+    from seriesflow.operators.windows import lag_one
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", F.col("o_orderpriority").alias("actual"))
-    out = chunked_window(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                         F.date_trunc("month", "o_orderdate"),
-                         lambda w: {"predicted": F.lag("actual", 1).over(w)}, lookback=1)
+    out = lag_one(o, "actual", ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                  F.date_trunc("month", "o_orderdate"), out="predicted")
     return out.filter(F.col("predicted").isNotNull())

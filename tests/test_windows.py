@@ -92,3 +92,11 @@ def test_feature_frame_chunked_equals_plain(spark):
     for x, y in zip(ra, rb):
         assert all((p == q) or (isinstance(p, float) and abs(p - q) <= 1e-9 * max(1.0, abs(p)))
                    for p, q in zip(x, y))
+
+
+def test_lag_one_bucketed_equals_plain(spark):
+    from seriesflow.sources.tables import read_table
+    e = read_table(spark, "/root/testdata/sf0.001", "events").select("user_id", "event_id", "ts", "value")
+    plain = e.withColumn("value_lag1", F.lag("value", 1).over(W.series_window(["user_id"], ["ts", "event_id"])))
+    b = W.lag_one(e, "value", ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
+    assert sorted(rows(b, "event_id", "value_lag1")) == sorted(rows(plain, "event_id", "value_lag1"))
