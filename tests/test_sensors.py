@@ -61,3 +61,18 @@ def test_stream_equals_batch(spark):
     batch = S.complete_readings(S.parse_lines(lines), ["device_id"], ["event_ts", "seq"])
     assert sorted(rows(stream, "device_id", "done_seq", *S.KINDS)) == \
         sorted(rows(batch, "device_id", "done_seq", *S.KINDS))
+
+
+def test_window_stream_equals_batch_windows(spark):
+    from seriesflow.streaming.sensors import run_window_stream
+    lines = base.lines(spark, SF001)
+    got = run_window_stream(spark, lines, window="1 day", watermark="1 hour")
+    assert got.count() > 0
+    ok = S.parse_lines(lines).filter("status = 'ok'").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    pos = F.struct("event_ts", "seq")
+    batch = (ok.groupBy("device_id", F.window("event_ts", "1 day").alias("w"))
+             .agg(*[F.max_by(F.col("value"), F.when(F.col("kind") == k, pos)).alias(k) for k in S.KINDS])
+             .select("device_id", F.col("w.start").alias("window_start"), *S.KINDS))
+    emitted = got.select("device_id", "window_start", *S.KINDS)
+    # every emitted window equals the batch value of that window (the last windows stay in state)
+    assert emitted.subtract(batch).count() == 0
