@@ -51,3 +51,19 @@ def test_sanitize(spark):
 def test_drop_incomplete(spark):
     df = spark.createDataFrame([(1, 1.0, "a"), (2, None, "b"), (3, 2.0, None)], "i int, x double, s string")
     assert rows(clean.drop_incomplete(df), "i") == [(1,)]
+
+
+def test_exact_median_matches_percentile(spark):
+    from seriesflow.plans import base
+    g = base.gappy(spark, SF001)
+    for bins in (1, 3, 4096):
+        a = clean.exact_median(g, "v", ["user_id"], out="m", bins=bins)
+        b = g.groupBy("user_id").agg(F.median("v").alias("m"))
+        ra = dict(rows(a, "user_id", "m"))
+        rb = dict(rows(b, "user_id", "m"))
+        assert ra.keys() == {k for k, v in rb.items() if v is not None}
+        assert all(abs(ra[k] - rb[k]) < 1e-9 for k in ra)
+    whole = clean.exact_median(g, "v", [], out="m").first()["m"]
+    assert abs(whole - g.agg(F.median("v")).first()[0]) < 1e-9
+    even = spark.createDataFrame([(1.0,), (4.0,), (2.0,), (10.0,)], "v double")
+    assert clean.exact_median(even, "v", [], out="m").first()["m"] == 3.0
