@@ -79,24 +79,26 @@ def backward_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order
     return _fill(df, cols, keys, order, bucket, False, suffix)
 
 
-def exact_median(df: DataFrame, col: str, keys: Sequence[str], out: str | None = None,
-                 bins: int = 4096) -> DataFrame:
-    """Exact per-group median (mean of the two middle values for an even count)
-    without holding a whole group in one task.
-
-    1. per group: count, min, max (aggregate);
-    2. per (group, value bin): counts (aggregate, at most ``bins`` rows per group);
-    3. running counts over that small histogram locate the one or two bins that
-       hold the middle ranks;
+def exact_medians(df: DataFrame, cols: Sequence[str], keys: Sequence[str],
+                  prefix: str = "median_", bins: int = 4096) -> DataFrame:
+    """Exact per-group medians of several columns (mean of the two middle values
+    for an even count) without holding a whole group in one task.
+
+    All columns go through one pipeline: values are unpivoted to
+    (group, column, value), then
+    1. per (group, column): count, min, max (aggregate);
+    2. per (group, column, value bin): counts (aggregate, <= ``bins`` rows each);
+    3. running counts over that small histogram locate the bins holding the
+       middle ranks;
     4. only rows of those bins are grouped by distinct value and ranked.
-    A group of n rows therefore sorts about n / bins values in one task (for data
-    that is not concentrated in one bin), instead of all n.  NULLs are skipped."""
+    A group of n rows sorts about n / bins values in one task (unless its values
+    crowd into one bin), instead of all n.  NULLs are skipped.  One output row
+    per group, one ``{prefix}{col}`` column per input column."""
     keys = list(keys)
-    out = out or f"median_{col}"
-    g = keys or ["_g"]
-    x = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if not keys:
-        x = x.withColumn("_g", F.lit(0))
+    g = keys + ["_col"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
+                                for c in cols]))
+    x = df.select(*keys, pairs.alias("_p")).select(*keys, "_p._col", "_p._v").filter(F.col("_v").isNotNull())
     st = (x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                             F.max("_v").alias("_hi"))
           .withColumn("_k1", F.floor((F.col("_n") + 1) / 2))
@@ -108,19 +110,30 @@ def exact_median(df: DataFrame, col: str, keys: Sequence[str], out: str | None =
     hist = xb.groupBy(*g, "_bin").agg(F.count(F.lit(1)).alias("_c"))
     wc = Window.partitionBy(*g).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_cum", F.sum("_c").over(wc)).withColumn("_start", F.col("_cum") - F.col("_c"))
-    hit = lambda k: (F.col(k) > F.col("_start")) & (F.col(k) <= F.col("_cum"))
-    tgt = cum.join(st.select(*g, "_k1", "_k2"), g).filter(hit("_k1") | hit("_k2")).select(*g, "_bin", "_start")
-    vals = (xb.join(tgt, g + ["_bin"]).groupBy(*g, "_bin", "_start", "_v")
-            .agg(F.count(F.lit(1)).alias("_vc")))
+
+    def hit(k):
+        return (F.col(k) > F.col("_start")) & (F.col(k) <= F.col("_cum"))
+    tgt = cum.join(st.select(*g, "_k1", "_k2"), g).filter(hit("_k1") | hit("_k2"))
+    vals = (xb.join(tgt.select(*g, "_bin", "_start", "_k1", "_k2"), g + ["_bin"])
+            .groupBy(*g, "_bin", "_start", "_k1", "_k2", "_v").agg(F.count(F.lit(1)).alias("_vc")))
     wv = Window.partitionBy(*g, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vals = (vals.withColumn("_last", F.col("_start") + F.sum("_vc").over(wv))
             .withColumn("_first", F.col("_last") - F.col("_vc") + 1))
-    inr = lambda k: (F.col(k) >= F.col("_first")) & (F.col(k) <= F.col("_last"))
-    med = (vals.join(st.select(*g, "_k1", "_k2"), g)
-           .groupBy(*g).agg(F.max(F.when(inr("_k1"), F.col("_v"))).alias("_m1"),
-                            F.max(F.when(inr("_k2"), F.col("_v"))).alias("_m2")))
-    med = med.select(*g, ((F.col("_m1") + F.col("_m2")) / 2).alias(out))
-    return med if keys else med.drop("_g")
+
+    def inr(k):
+        return (F.col(k) >= F.col("_first")) & (F.col(k) <= F.col("_last"))
+    med = (vals.groupBy(*g).agg(F.max(F.when(inr("_k1"), F.col("_v"))).alias("_m1"),
+                                F.max(F.when(inr("_k2"), F.col("_v"))).alias("_m2"))
+           .select(*g, ((F.col("_m1") + F.col("_m2")) / 2).alias("_m")))
+    wide = (med.groupBy(*keys) if keys else med.groupBy()).pivot("_col", list(cols)).agg(F.first("_m"))
+    return wide.select(*keys, *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+
+
+def exact_median(df: DataFrame, col: str, keys: Sequence[str], out: str | None = None,
+                 bins: int = 4096) -> DataFrame:
+    """Exact distributed median of one column per group (see :func:`exact_medians`)."""
+    res = exact_medians(df, [col], keys, bins=bins)
+    return res.withColumnRenamed(f"median_{col}", out or f"median_{col}")
 
 
 def column_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str], how: str) -> DataFrame:
@@ -132,13 +145,7 @@ def column_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str], how: s
     ``approx_median`` uses the mergeable ``percentile_approx`` sketch.
     """
     if how == "median":
-        from functools import reduce
-        parts = [exact_median(df, c, keys, out=f"_{how}_{c}") for c in cols]
-        on = list(keys) if keys else ["_j"]
-        if not keys:  # single-row results: equi-join on a constant
-            parts = [p.withColumn("_j", F.lit(1)) for p in parts]
-        res = reduce(lambda a, b: a.join(b, on, "full"), parts)
-        return res if keys else res.drop("_j")
+        return exact_medians(df, cols, keys, prefix=f"_{how}_")
     fn = {"percentile": lambda c: F.median(c), "mean": lambda c: F.avg(c),
           "approx_median": lambda c: F.percentile_approx(c, 0.5, 10000)}[how]
     aggs = [fn(F.col(c)).alias(f"_{how}_{c}") for c in cols]
