@@ -121,12 +121,30 @@ def preprocess(df: DataFrame, keys: Sequence[str], order, categorical: Sequence[
     column (encoded categoricals included).  Returns ``(encoded, mm, std, artifacts)``
     where artifacts holds the label map and both parameter tables.  ``bucket``
     selects the skew-safe bucketed forward fill for long series."""
+    from pyspark import StorageLevel
+    # like Spark ML estimators: keep the input for the fit's eager jobs, release after
+    own = not df.storageLevel.useMemory and not df.storageLevel.useDisk
+    if own:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _preprocess(df, keys, order, categorical, targets, fill_keys, bucket)
+    finally:
+        if own:
+            df.unpersist(blocking=False)
+
+
+def _preprocess(df, keys, order, categorical, targets, fill_keys, bucket):
     fill_keys = list(keys) if fill_keys is None else list(fill_keys)
     from pyspark.sql.types import NumericType
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    filled = clean.forward_fill(df, [c for c in num + list(categorical) if c not in keys], keys, order,
-                                bucket=bucket)
-    filled = clean.fill_with_stats(filled, df, num, fill_keys, "median")
+    cand = [c for c in num + list(categorical) if c not in keys]
+    # one cheap aggregate: only columns holding NULLs can change under ffill / median fill
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cand]).first() if cand else {}
+    gaps = [c for c in cand if nulls[c]]
+    filled = clean.forward_fill(df, gaps, keys, order, bucket=bucket) if gaps else df
+    med_cols = [c for c in num if c in gaps]
+    if med_cols:
+        filled = clean.fill_with_stats(filled, df, med_cols, fill_keys, "median")
     lmap = fit_label_map(filled, categorical)
     enc = encode.encode(filled, lmap, categorical, mode="strict")
     scale_cols = [c for c in list(categorical) + num if c not in targets]
