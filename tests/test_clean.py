@@ -67,3 +67,13 @@ def test_exact_median_matches_percentile(spark):
     assert abs(whole - g.agg(F.median("v")).first()[0]) < 1e-9
     even = spark.createDataFrame([(1.0,), (4.0,), (2.0,), (10.0,)], "v double")
     assert clean.exact_median(even, "v", [], out="m").first()["m"] == 3.0
+
+
+def test_median_strategy_switch_same_result(spark, monkeypatch):
+    from seriesflow.plans import base
+    g = base.gappy(spark, SF001)
+    small = sorted(rows(clean.column_stats(g, ["v"], ["user_id"], "median")))
+    monkeypatch.setattr(clean, "SINGLE_TASK_MEDIAN_ROWS", 0)
+    big = sorted(rows(clean.column_stats(g, ["v"], ["user_id"], "median")))
+    assert [k for k, _ in small] == [k for k, _ in big]
+    assert all((a is None and b is None) or abs(a - b) < 1e-9 for (_, a), (_, b) in zip(small, big))
