@@ -54,11 +54,14 @@ def stage_feed(lines: DataFrame, path: str, n_slices: int = 8) -> None:
         return
     lo, hi = b["lo"], b["hi"]
     step = (hi - lo) / n_slices
+    dtype = lines.schema["event_ts"].dataType
+
+    def bound(t):  # a literal of the column's own type, independent of any time zone
+        return F.lit(t.isoformat(sep=" ")).cast(dtype)
     for i in range(n_slices):
-        a = lo + step * i
-        cond = F.col("event_ts") >= F.lit(a)
+        cond = F.col("event_ts") >= bound(lo + step * i)
         if i < n_slices - 1:
-            cond = cond & (F.col("event_ts") < F.lit(lo + step * (i + 1)))
+            cond = cond & (F.col("event_ts") < bound(lo + step * (i + 1)))
         lines.filter(cond).write.mode("append").parquet(path)
 
 
