@@ -97,3 +97,78 @@ def number_rows(df: DataFrame, group: list[str], order: list, name: str, cells:
     inner = Window.partitionBy(*group, "__cell").orderBy(*order)
     return (cell.join(F.broadcast(starts), [*group, "__cell"])
             .withColumn(index, F.col("__from") + F.row_number().over(inner) - 1).drop("__cell", "__from"))
+
+
+def classes(pattern_bytes: bytes) -> np.ndarray:
+    """256 booleans: True at these bytes."""
+    out = np.zeros(256, bool)
+    out[list(pattern_bytes)] = True
+    return out
+
+
+BLANK = classes(b"\x20\x09\x0a\x0b\x0c\x0d")
+_PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
+_INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit mix (multiply and shift rounds)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    cache = worker_cache()
+    if len(cache.get("powers", ((),))[0]) < n:
+        with np.errstate(over="ignore"):
+            cache["powers"] = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 1 << 20), b, np.uint64)]))
+                                    for b in (_PRIME, _INVERSE))
+    return cache["powers"]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words (runs of bytes that aren't ``breaks``), and the first word of each text (and the end)."""
+    inside = ~breaks[data]
+    if len(data) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    cuts = offsets[1:-1]  # a word doesn't go on into the next text
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    first[cuts] |= inside[cuts]
+    last[cuts - 1] |= inside[cuts - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans' bytes, whatever their place."""
+    up, down = _powers(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+        return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def chain_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of ``k`` consecutive word hashes, for each start that has ``k`` words after it (across texts too)."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        out = np.zeros(n, np.uint64)
+        for j in range(k):
+            out = mix64(out * _PRIME + hashes[j:j + n])
+    return out
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All indices start .. start + length - 1, one run after the other."""
+    total = int(lengths.sum())
+    if total == 0:
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(lengths)
+    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)

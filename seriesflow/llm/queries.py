@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seriesflow.llm import language_id, line_crf
 from seriesflow.llm.common import documents
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.raking import mix
@@ -41,3 +42,14 @@ def op6_line_rules(spark, sf_dir):
 @query("op7_raking")
 def op7_raking(spark, sf_dir):
     return mix(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
+
+
+@query("op2_output_codes")
+def op2_output_codes(spark, sf_dir):
+    return language_id.identify(documents(spark, sf_dir))
+
+
+@query("op9_line_crf")
+def op9_line_crf(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return line_crf.score(docs, line_crf.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -1,0 +1,86 @@
+import zlib
+
+import numpy as np
+import pytest
+from edge import EDGE, edge_docs, empty_docs, table
+
+from seriesflow.llm import language_id, line_crf
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_code_matrix_separates_classes():
+    for n in (2, 4, 7, 12, 60):
+        code = language_id.code_matrix(n)
+        assert code.shape[0] == n and len({tuple(c) for c in code.tolist()}) == n
+        assert n < 3 or ((code[:, None] != code[None]).sum(2) + 99 * np.eye(n)).min() >= 2
+
+
+def test_language_held_out(spark):
+    rows = {r[0]: r for r in table(sf=SF)}
+    out = language_id.identify(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert len(out) == len(rows) and {r.held_out for r in out} == {True, False}
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in out)
+    held = [(r.lang_pred == rows[r.doc_id][2]) for r in out if r.held_out]
+    assert sum(held) >= 0.98 * len(held)
+
+
+def test_language_awkward_rows(spark):
+    out = language_id.identify(edge_docs(spark)).collect()
+    assert len(out) == len(EDGE)
+    for r in out:
+        text = {i: t for i, t, *_ in EDGE}[r.doc_id]
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text or ""))
+    assert language_id.identify(empty_docs(spark)).count() == 0
+
+
+def test_forward_backward_equals_enumeration():
+    rng = np.random.default_rng(3)
+    first = np.array([0, 1, 4, 9])
+    score, trans = rng.normal(size=9), rng.normal(size=(2, 2))
+    good, norm, pairs = line_crf.forward_backward(score, first, trans)
+    want, all_pairs = [], np.zeros((2, 2))
+    for a, b in zip(first, first[1:]):
+        total, marg, pr = 0.0, np.zeros(b - a), np.zeros((2, 2))
+        for code in range(2 ** (b - a)):
+            y = [(code >> k) & 1 for k in range(b - a)]
+            w = np.exp(sum(score[a + k] for k in range(b - a) if y[k]) + sum(trans[p, q] for p, q in zip(y, y[1:])))
+            total += w
+            marg += w * np.array(y)
+            for p, q in zip(y, y[1:]):
+                pr[p, q] += w
+        want += list(marg / total)
+        all_pairs += pr / total
+    assert np.allclose(good, want) and np.allclose(pairs, all_pairs)
+
+
+def test_line_features_by_line():
+    texts = ["One Two two.\n\nHEY!! || x\nOne Two two.", "", "  \n "]
+    data = "".join(texts).encode()
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    x, size, first = line_crf.line_features(np.frombuffer(data, np.uint8), offsets)
+    assert first.tolist() == [0, 3, 4, 5] and size.tolist() == [12, 10, 12, 1, 1]
+    f = dict(zip(line_crf.FEATURES, x.T))
+    assert f["repeat_line"].tolist() == [0, 0, 1, 0, 0]
+    assert f["distinct"][0] == pytest.approx(1.0) and f["ends"].tolist() == [1, 0, 1, 0, 0]
+    assert f["separators"][1] == pytest.approx(2.0) and f["upper"][1] == pytest.approx(3 / 4)
+
+
+def test_quality_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    truth = {r[0]: r[1] for r in table("labels", SF)}
+    out = [r for r in line_crf.score(docs, line_crf.fit(docs, labels)).collect()]
+    assert len(out) == 1000 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out)
+    held = [r for r in out if r.held_out and r.doc_id in truth]
+    good = [r.predicted for r in held if truth[r.doc_id] == 1]
+    bad = [r.predicted for r in held if truth[r.doc_id] == 0]
+    assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.25 * len(bad)
+
+
+def test_quality_awkward_rows(spark):
+    docs = edge_docs(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 14)] + [(None, 1), (5, None)], "doc_id long, quality int")
+    out = line_crf.score(docs, line_crf.fit(docs, labels))
+    assert out.count() == len(EDGE) and out.where("score is null or isnan(score)").count() == 0
+    assert line_crf.fit(docs, labels.limit(0)) is None
+    assert line_crf.score(empty_docs(spark), None).count() == 0
