@@ -48,7 +48,7 @@ def code_matrix(classes: int, seed: int = 7) -> np.ndarray:
     width = math.ceil(10 * math.log2(classes))
     for _ in range(200):
         code = rng.integers(0, 2, (classes, width)) * 2.0 - 1
-        code = code[:, np.abs(code.sum(1 - 1)) < classes]
+        code = code[:, np.abs(code.sum(0)) < classes]
         apart = ((code.shape[1] - code @ code.T) / 2 + np.eye(classes) * width).min()
         if apart > most:
             best, most = code, apart

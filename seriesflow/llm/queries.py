@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from seriesflow.llm import language_id, line_crf
+from seriesflow.llm import language_id, line_crf, license_scan
 from seriesflow.llm.common import documents
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.raking import mix
+from seriesflow.llm.packing import pack
 from seriesflow.llm.radix_dedup import radix_dedup
 from seriesflow.llm.registry import query
 from seriesflow.llm.sharding import balanced_shards
@@ -53,3 +55,18 @@ def op2_output_codes(spark, sf_dir):
 def op9_line_crf(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return line_crf.score(docs, line_crf.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query("op10_harmonic_packing")
+def op10_harmonic_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir), vocabulary())
+
+
+def vocabulary() -> str:
+    """Where the tokenizer's file lies on every machine; never copied."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_diagonal_voting")
+def op3_diagonal_voting(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir))[0]
