@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import LOWER_TABLE, chain_hashes, classes, row_slices, span_hashes, text_buffers, word_spans
+from seriesflow.llm.common import LOWER_TABLE, chain_hashes, classes, ragged, row_slices, span_hashes, text_buffers, word_spans
 
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -28,7 +28,7 @@ NOTICES = [
 #: Bytes between words (after lower-casing): all below 0x80 but digits and letters.
 BREAKS = classes(bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80)))
 BREAK_PATTERN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-K, BAND, LEAST_COVER, SLICE = 2, 3, 0.6, 1 << 20
+K, BAND, LEAST_COVER, SLICE, CHUNK = 2, 3, 0.6, 1 << 20, 4096
 
 
 def rolling(data: np.ndarray, offsets: np.ndarray, k: int = K):
@@ -76,15 +76,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for i, j in row_slices(offsets, SLICE):
-                starts, ends, first, hashes = rolling(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                part = data[offsets[i]:offsets[j]]
+                starts, ends, first, hashes = rolling(part, offsets[i:j + 1] - offsets[i])
                 per = np.maximum(np.diff(first) - K + 1, 0)
-                at = np.concatenate([[0], np.cumsum(per)])
-                take = np.arange(at[-1]) + np.repeat(first[:-1] - at[:-1], per)
-                base = np.repeat((offsets[i:j] - offsets[i]), per)
-                lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x)) for x in
-                         (hashes[take].view(np.int64), (starts[take] - base + 1).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("doc_id", "key", "text")] + lists,
-                                                 names=["doc_id", "key", "text", "hashes", "starts"])
+                chunks = -(-per // CHUNK)  # a long text becomes several rows; a k-gram lies in one
+                doc = np.repeat(np.arange(i, j), chunks)
+                number = ragged(np.zeros(len(per), np.int64), chunks)
+                low = np.repeat(first[:-1], chunks) + number * CHUNK
+                size = np.minimum(CHUNK, np.repeat(first[:-1] + per, chunks) - low)
+                take = ragged(low, size)
+                begin, end = starts[low], ends[np.maximum(low + size + K - 2, 0)]
+                at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x)) for x in (
+                    hashes[take].view(np.int64), (starts[take] - np.repeat(begin, size) + 1).astype(np.int32),
+                    (ends[take + K - 1] - starts[take]).astype(np.int32))]
+                whole = part.tobytes()
+                text = pa.array([whole[x:y] for x, y in zip(begin, end)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(doc)), batch.column("key").take(pa.array(doc)), text,
+                     pa.array(number * CHUNK)] + lists, names=["doc_id", "key", "text", "before", "hashes", "starts", "sizes"])
 
     def count(batches):
         for batch in batches:
@@ -95,14 +105,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
                                                  names=["doc_id", "key", "n_words"])
 
     spark = docs.sparkSession
-    hits = (rows.mapInArrow(grams, f"doc_id {kind}, key long, text string, hashes array<long>, starts array<int>")
-            .select("doc_id", "key", "text", "starts", F.posexplode("hashes").alias("at", "hash"))
+    hits = (rows.mapInArrow(grams, f"doc_id {kind}, key long, text binary, before long, hashes array<long>, starts array<int>, sizes array<int>")
+            .select("doc_id", "key", "text", "before", "starts", "sizes", F.posexplode("hashes").alias("at", "hash"))
             .join(F.broadcast(template_table(spark)), "hash"))
-    # Verify the words themselves: from the hit's first byte on, the text must read as the k-gram.
-    begin = F.expr("substring(cast(text as binary), starts[at])").cast("string")
-    pattern = F.concat(F.lit("(?i)^"), F.replace("gram", F.lit(" "), F.lit(BREAK_PATTERN)), F.lit("(?![0-9A-Za-z]|[^\\x00-\\x7F])"))
+    # Verify the words themselves: the hit's bytes must read as the k-gram.
+    begin = F.expr("substring(text, starts[at], sizes[at])").cast("string")
+    pattern = F.concat(F.lit("(?i)^"), F.replace("gram", F.lit(" "), F.lit(BREAK_PATTERN)), F.lit("$"))
     hits = hits.where(F.regexp_like(begin, pattern)).select(
-        "doc_id", "key", "template", "label", "base", "grams", "place", (F.col("at") - F.col("place")).alias("diagonal"))
+        "doc_id", "key", "template", "label", "base", "grams", "place",
+        (F.col("before") + F.col("at") - F.col("place")).alias("diagonal"))
     votes = hits.groupBy("doc_id", "key", "template", "label", "base", "grams", "diagonal").agg(
         F.collect_set("place").alias("places"), F.min("place").alias("low"), F.max("place").alias("high"))
     exact = votes.where("base and size(places) = grams").select(
