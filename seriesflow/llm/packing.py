@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,15 +15,32 @@ from pyspark.sql import functions as F
 
 from seriesflow.llm.common import ragged, row_slices, text_buffers, worker_cache
 
-CAPACITY, END_ID, SLICE = 4096, 2, 4 << 20
+CAPACITY, END_ID, SLICE = 4096, 2, 1 << 20
 #: Remainders below capacity / FINEST aren't cut further: their class loses less than 1 / FINEST of a bin.
 FINEST = 32
-#: Word pieces kept in each worker (a cache; its size changes no result).
-CACHED_WORDS = 300_000
+#: Pieces kept in each worker (a cache; its size changes no result).
+CACHED_PIECES = 600_000
 
 
-class Words:
-    """Token ids of white-space separated words; a word's ids don't depend on its neighbours in this vocabulary."""
+#: Letters with one lower-case form of their own: Latin without dotted and dotless i and long s.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e"
+#: Bytes as the letters that a byte-level vocabulary writes them with: visible Latin-1 stands for itself.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
+class Pieces:
+    """Token ids of whole texts, by pieces whose ids don't depend on their neighbours.
+
+    The vocabulary lower-cases a text, splits it (white space, contractions,
+    runs of letters, single digits, runs of the rest) and runs its merges
+    inside each piece. A text of ASCII and Latin letters is split here and
+    each different piece goes to the model once; any other text (and one
+    that may hold a special token) goes to the tokenizer as a whole.
+    """
+
+    SPLIT = re.compile("[a-z\u00df-\u00f6\u00f8-\u017e]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u017e]+")
+    PLAIN = re.compile(f"[\t-\r -~{_LETTERS}]*")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -32,38 +52,52 @@ class Words:
         self.ids, self.n_ids = np.zeros(1 << 20, np.uint32), 0
         self.starts, self.lengths = np.zeros(1 << 17, np.int64), np.zeros(1 << 17, np.int64)
 
+    def learn(self, parts: list) -> range:
+        """Keep these id lists; the numbers they got."""
+        known = len(self.index)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.fromiter(chain.from_iterable(parts), np.uint32, int(lengths.sum()))
+        self._grow(known + len(parts), self.n_ids + len(flat))
+        self.ids[self.n_ids:self.n_ids + len(flat)] = flat
+        self.starts[known:known + len(parts)] = self.n_ids + np.cumsum(lengths) - lengths
+        self.lengths[known:known + len(parts)] = lengths
+        self.n_ids += len(flat)
+        return range(known, known + len(parts))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each text's ids followed by the end id; and where each text's begin."""
-        if len(self.index) > CACHED_WORDS:
+        if len(self.index) > CACHED_PIECES:
             self.clear()
-        index, known = self.index, len(self.index)
-        place = [[index.setdefault(w, len(index)) for w in t.split()] for t in texts]
-        new = list(index)[known:] if len(index) > known else []
-        if new:
-            parts = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-            flat = np.fromiter((x for p in parts for x in p), np.uint32, int(lengths.sum()))
-            self._grow(len(index), self.n_ids + len(flat))
-            self.ids[self.n_ids:self.n_ids + len(flat)] = flat
-            self.starts[known:len(index)] = self.n_ids + np.cumsum(lengths) - lengths
-            self.lengths[known:len(index)] = lengths
-            self.n_ids += len(flat)
-        per = np.fromiter(map(len, place), np.int64, len(place))
-        word = np.fromiter((x for p in place for x in p), np.int64, int(per.sum()))
-        sums = np.concatenate([[0], np.cumsum(self.lengths[word])])
+        plain = [self.PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        lists = [self.SPLIT.findall(t.lower()) if p else [] for t, p in zip(texts, plain)]
+        pieces = list(chain.from_iterable(lists))
+        new = list(set(pieces).difference(self.index))
+        model = self.tokenizer.model
+        letters = lambda x: x if x.isascii() else x.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        self.index.update(zip(new, self.learn([[t.id for t in model.tokenize(letters(x))] for x in new])))
+        per = np.fromiter(map(len, lists), np.int64, len(lists))
+        number = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        sums = np.concatenate([[0], np.cumsum(self.lengths[number])])
         ends = np.cumsum(per)
         tokens = sums[ends] - sums[ends - per]
+        whole = [k for k, p in enumerate(plain) if not p]
+        encoded = [e.ids for e in self.tokenizer.encode_batch([texts[k] for k in whole], add_special_tokens=False)]
+        tokens[whole] = [len(x) for x in encoded]
         out = np.full(int(tokens.sum()) + len(texts), END_ID, np.uint32)
         body = np.ones(len(out), bool)
         last = np.cumsum(tokens + 1)
         body[last - 1] = False
-        out[body] = self.ids[ragged(self.starts[word], self.lengths[word])]
+        for k, ids in zip(whole, encoded):
+            begin = last[k] - 1 - tokens[k]
+            out[begin:begin + tokens[k]] = ids
+            body[begin:begin + tokens[k]] = False
+        out[body] = self.ids[ragged(self.starts[number], self.lengths[number])]
         return out, np.concatenate([[0], last])
 
-    def _grow(self, words: int, ids: int) -> None:
+    def _grow(self, pieces: int, ids: int) -> None:
         while len(self.ids) < ids:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.starts) < words:
+        while len(self.starts) < pieces:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
 
@@ -141,7 +175,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         cache = worker_cache()
-        words = cache.get(path) or cache.setdefault(path, Words(path))
+        pieces = cache.get(path) or cache.setdefault(path, Pieces(path))
         bins = Bins(TaskContext.get().partitionId(), capacity)
 
         def rows(placed):
@@ -158,7 +192,9 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             id_type = batch.column("doc_id").type
             _, offsets = text_buffers(batch.column("text"))
             for i, j in row_slices(offsets, SLICE):
-                ids, first = words.encode([t or "" for t in batch.column("text").slice(i, j - i).to_pylist()])
+                gc.disable()  # many small objects, no cycles: searching them for cycles costs a third of the time
+                ids, first = pieces.encode([t or "" for t in batch.column("text").slice(i, j - i).to_pylist()])
+                gc.enable()
                 placed = []
                 for doc, a, b in zip(batch.column("doc_id").slice(i, j - i).to_pylist(), first[:-1].tolist(), first[1:].tolist()):
                     start = 0
