@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seriesflow.llm import language_id, line_crf, license_scan
+from seriesflow.llm import language_id, line_crf, license_scan, tree_weighting
 from seriesflow.llm.common import documents
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.raking import mix
@@ -70,3 +70,8 @@ def vocabulary() -> str:
 @query("op3_diagonal_voting")
 def op3_diagonal_voting(spark, sf_dir):
     return license_scan.scan(documents(spark, sf_dir))[0]
+
+
+@query("op1_tree_weighting")
+def op1_tree_weighting(spark, sf_dir):
+    return tree_weighting.score(documents(spark, sf_dir))
