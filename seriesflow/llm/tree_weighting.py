@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +73,8 @@ def weigh(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> dict[int, di
 
     A node is a context and the bits of the symbol known so far (1, then the
     bits). ``own``: how much its own estimate counts against its children's,
-    given all training symbols; ``place``: where each lower node's parent is.
+    given all training symbols; ``place``: where, among this level's nodes, each
+    node one level deeper (at the deepest: each gram's bit) has its parent.
     """
     sym = (keys & np.uint64(0xFF)).astype(np.int64)
     bits = np.arange(8)
@@ -101,8 +103,7 @@ def gram_scores(levels: dict, depth: int, top: int, mass: np.ndarray, rest: np.n
     for d in range(top + 1, depth + 1):
         level = levels[d]
         mass, rest = mass + rest * level["own"] * level["p"], rest * (1 - level["own"])
-        down = levels[d + 1]["place"] if d < depth else level["place"]
-        mass, rest = mass[down], rest[down]
+        mass, rest = mass[level["place"]], rest[level["place"]]
     p = np.where(levels[depth]["bit"] == 1, mass, 1 - mass)
     return np.log10(np.maximum(p, 1e-300)).reshape(-1, 8).sum(1)
 
@@ -290,7 +291,7 @@ def _score_by_broadcast(rows: DataFrame, kind: str, table: DataFrame, words: Dat
     shared = rows.sparkSession.sparkContext.broadcast((
         got.column("key").to_numpy().view(np.uint64), got.column("logp").to_numpy().astype(np.float32),
         seen.column("key").to_numpy().view(np.uint64)[order], seen.column("n").to_numpy()[order]))
-    name = shared.id
+    name = uuid.uuid4().hex
     del got, seen
 
     def run(batches):
