@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from seriesflow.llm import language_id, line_crf, license_scan, tree_weighting
+from seriesflow.llm import language_id, line_crf, license_scan, minhash_forest, tree_weighting
 from seriesflow.llm.common import documents
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.raking import mix
@@ -75,3 +75,8 @@ def op3_diagonal_voting(spark, sf_dir):
 @query("op1_tree_weighting")
 def op1_tree_weighting(spark, sf_dir):
     return tree_weighting.score(documents(spark, sf_dir))
+
+
+@query("op8_minhash_forest")
+def op8_minhash_forest(spark, sf_dir):
+    return minhash_forest.jaccard_classes(documents(spark, sf_dir))
