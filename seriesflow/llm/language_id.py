@@ -174,6 +174,24 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(apply, f"doc_id {kind}, held_out boolean, lang_pred string, score double, runner_up string, ambiguous boolean")
 
 
+def accepted(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is decided: not ``und``, and the nearest
+    codeword's probability is at least ``least``. Rows pass through the tasks whole; nothing is joined."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
+                       F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters")).where("letters")
+
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            if m["labels"]:
+                data, offsets = text_buffers(batch.column("text"))
+                keep = decode(margins(data, offsets, m["weights"]), m["code"], m["trust"]).max(1) >= least
+                yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(keep))], names=["row"])
+
+    return rows.mapInArrow(run, rows.select("row").schema).select("row.*")
+
+
 def identify(docs: DataFrame, **options) -> DataFrame:
     """``fit`` and ``predict`` on one table."""
     return predict(docs, fit(docs), **options)

@@ -178,6 +178,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(*alone.columns).unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose doc_id is the smallest of its class.
+
+    Rows that share a doc_id are decided together; rows with a null doc_id stay."""
+    classes = jaccard_classes(docs, **options)
+    gone = materialize(classes.where("class_id <> doc_id").select("doc_id").distinct(), "forest-gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def set_digests(held: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each text's shingle set: sums of two mixes of its members."""
     out = []

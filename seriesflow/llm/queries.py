@@ -80,3 +80,9 @@ def op1_tree_weighting(spark, sf_dir):
 @query("op8_minhash_forest")
 def op8_minhash_forest(spark, sf_dir):
     return minhash_forest.jaccard_classes(documents(spark, sf_dir))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

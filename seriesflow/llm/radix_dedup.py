@@ -71,9 +71,17 @@ def radix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows, one."""
-    kept = radix_dedup(docs).where("kept").select("doc_id", F.col("text_sha256").alias("__sha"))
+    """The rows of ``docs`` that stay, with all their columns; of repeated rows (same id and text), one."""
+    decided = materialize(radix_dedup(docs).select("doc_id", F.col("text_sha256").alias("__sha"), "keep_id", "kept"), "radix-decided")
+    kept = decided.where("kept").select("doc_id", "__sha")
+    repeated = decided.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "__sha").distinct()
     sha = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
-    joined = docs.withColumn("__sha", sha).alias("d").join(
-        kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.__sha") == F.col("k.__sha")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    rows = docs.withColumn("__sha", sha)
+
+    def among(ids: DataFrame, how: str) -> DataFrame:
+        return rows.alias("d").join(ids.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.__sha") == F.col("k.__sha")), how)
+
+    if repeated.isEmpty():
+        return among(kept, "left_semi").drop("__sha")
+    return (among(kept.exceptAll(repeated), "left_semi").unionByName(among(repeated, "left_semi").dropDuplicates(["doc_id", "__sha"]))
+            .drop("__sha"))

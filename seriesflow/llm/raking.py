@@ -85,3 +85,11 @@ def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, targets: DataFrame |
     joined = keyed.join(raked, ["__source", "__lang", "topic"], "left")
     joined = joined.withColumn("probability", F.when(F.col("n_tokens") > 0, F.col("__p")).otherwise(1.0))
     return joined.withColumn("sampled", draw < F.col("probability")).drop("__source", "__lang", "__p")
+
+
+def sampled(docs: DataFrame, **options) -> DataFrame:
+    """The sampled rows of ``docs``, all columns as they are."""
+    names = ("topic", "n_tokens", "probability", "sampled")
+    kept = {c: f"__own_{c}" for c in docs.columns if c in names}
+    out = mix(docs.withColumnsRenamed(kept), **options).where("sampled").drop(*names)
+    return out.withColumnsRenamed({v: k for k, v in kept.items()}).select(*[F.col(f"`{c}`") for c in docs.columns])
