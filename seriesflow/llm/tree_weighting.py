@@ -16,7 +16,7 @@ from seriesflow.llm.common import BLANK, LOWER_TABLE, crc_mod, materialize, mix6
 DEPTH, TOP = 5, 2
 #: Ends a text, and stands before its first byte: no UTF-8 text holds it.
 END = 0xFF
-SLICE, FLUSH = 1 << 20, 2_000_000
+SLICE, FLUSH = 1 << 20, 600_000
 #: Broadcast tables have at most so many entries (12 bytes each, twice that in a worker); larger ones are joined.
 MOST_GRAMS, MOST_WORDS = 6_000_000, 8_000_000
 SMOOTHING = 0.1
@@ -286,19 +286,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
 
 def _score_by_broadcast(rows: DataFrame, kind: str, table: DataFrame, words: DataFrame, depth: int) -> DataFrame:
-    got, seen = table.toArrow(), words.toArrow()
-    order = np.argsort(seen.column("key").to_numpy().view(np.uint64))
-    shared = rows.sparkSession.sparkContext.broadcast((
-        got.column("key").to_numpy().view(np.uint64), got.column("logp").to_numpy().astype(np.float32),
-        seen.column("key").to_numpy().view(np.uint64)[order], seen.column("n").to_numpy()[order]))
-    name = uuid.uuid4().hex
-    del got, seen
+    context, name = rows.sparkSession.sparkContext, uuid.uuid4().hex
+    got = table.select("key", F.col("logp").cast("float")).toArrow()
+    tree_parts = context.broadcast((got.column("key").to_numpy().view(np.uint64), got.column("logp").to_numpy()))
+    size = "int" if (words.agg(F.max("n")).first()[0] or 0) < 2 ** 31 else "long"
+    got = words.select("key", F.col("n").cast(size)).toArrow()
+    keys, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    del got
+    order = np.argsort(keys)
+    word_parts = context.broadcast((keys[order], n[order]))
+    del keys, n, order
 
     def run(batches):
-        keys, logs, hashes, counts = shared.value
+        hashes, counts = word_parts.value
         cache = worker_cache()
         if cache.get("ctw", (None,))[0] != name:
-            cache["ctw"] = name, Table(keys, logs)
+            cache["ctw"] = name, Table(*tree_parts.value)
         tree = cache["ctw"][1]
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
