@@ -13,7 +13,7 @@ from seriesflow.llm.common import LOWER_TABLE, crc_mod, mix64, row_slices, text_
 
 #: N-grams of 2 and 3 bytes, hashed to so many features; the model has features x code bits numbers.
 BUCKETS, ORDERS = 1 << 17, (2, 3)
-SMOOTHING, SLICE = 0.5, 1 << 20
+SMOOTHING, SLICE = 0.5, 1 << 18
 UNKNOWN = "und"
 
 

@@ -19,7 +19,7 @@ CAPACITY, END_ID, SLICE = 4096, 2, 1 << 20
 #: Remainders below capacity / FINEST aren't cut further: their class loses less than 1 / FINEST of a bin.
 FINEST = 32
 #: Pieces kept in each worker (a cache; its size changes no result).
-CACHED_PIECES = 600_000
+CACHED_PIECES = 400_000
 
 
 #: Letters with one lower-case form of their own: Latin without dotted and dotless i and long s.
