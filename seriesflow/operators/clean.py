@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BK = "_bucket"
-# Largest group (rows) whose median may be computed inside one task.
-SINGLE_TASK_MEDIAN_ROWS = 1_000_000
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -141,22 +139,14 @@ def exact_median(df: DataFrame, col: str, keys: Sequence[str], out: str | None =
 def column_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str], how: str) -> DataFrame:
     """Per-series (or whole-table) median / mean of each column.
 
-    ``median`` is exact: Spark's ``median`` aggregate when the largest group has at
-    most ``SINGLE_TASK_MEDIAN_ROWS`` rows (checked by one count aggregate), else the
-    distributed :func:`exact_medians` (no group held in one task); ``percentile``
-    forces Spark's ``median`` (its buffer is a value->count map of a whole group);
+    ``median`` is exact and distributed (:func:`exact_medians`, no group held in one
+    task) and keeps groups whose values are all NULL, with NULL; ``percentile``
+    is Spark's ``median`` (its buffer is a value->count map of a whole group);
     ``approx_median`` uses the mergeable ``percentile_approx`` sketch.
     """
     if how == "median":
-        # checked-size choice (both exact): Spark's median holds a group's values in
-        # one task, so use it only when the largest group is proven small
-        sizes = df.groupBy(*keys).count() if keys else df.agg(F.count(F.lit(1)).alias("count"))
-        biggest = sizes.agg(F.max("count")).first()[0] or 0
-        if biggest > SINGLE_TASK_MEDIAN_ROWS:
-            return exact_medians(df, cols, keys, prefix=f"_{how}_")
-        how = "percentile"
-        aggs = [F.median(F.col(c)).alias(f"_median_{c}") for c in cols]
-        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+        medians = exact_medians(df, cols, keys, prefix="_median_")
+        return df.select(*keys).distinct().join(medians, list(keys), "left") if keys else medians
     fn = {"percentile": lambda c: F.median(c), "mean": lambda c: F.avg(c),
           "approx_median": lambda c: F.percentile_approx(c, 0.5, 10000)}[how]
     aggs = [fn(F.col(c)).alias(f"_{how}_{c}") for c in cols]
@@ -177,7 +167,7 @@ def fill_with_stats(df: DataFrame, stats_src: DataFrame, cols: Sequence[str], ke
         out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"_{how}_{c}").cast(types[c]))
                                for c in cols})
         return out.drop(*[f"_{how}_{c}" for c in cols])
-    row = st.first()
+    row = st.first() or {f"_{how}_{c}": None for c in cols}  # no row: every column is all NULL
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[f"_{how}_{c}"]).cast(types[c]))
                            for c in cols})

@@ -15,11 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Confusion cells that may come to the driver (a few MB).
+MOST_CELLS = 100_000
+
+
 def regression_metrics(df: DataFrame, y: str, p: str, keys: Sequence[str] = ()) -> DataFrame:
-    """M1-M4: rmse, mae, r2, mape (%) and n.  MAPE skips rows with a zero actual."""
-    yc, pc = F.col(y), F.col(p)
+    """M1-M4: rmse, mae, r2, mape (%) and n over rows with both values.  MAPE skips rows with a zero actual."""
+    both = F.col(y).isNotNull() & F.col(p).isNotNull()
+    yc, pc = F.when(both, F.col(y)), F.when(both, F.col(p))
     err = yc - pc
-    aggs = [F.count(F.lit(1)).alias("n"),
+    aggs = [F.count(err).alias("n"),
             F.sqrt(F.avg(err * err)).alias("rmse"),
             F.avg(F.abs(err)).alias("mae"),
             (F.lit(1.0) - F.sum(err * err) / F.nullif(F.count(yc) * F.var_pop(yc), F.lit(0.0))).alias("r2"),
@@ -30,15 +35,18 @@ def regression_metrics(df: DataFrame, y: str, p: str, keys: Sequence[str] = ())
 def confusion_counts(df: DataFrame, actual: str, predicted: str, local: bool = True) -> DataFrame:
     """Non-zero confusion cells - one aggregate over the input (partial per task).
 
-    The result has at most (#classes)^2 rows, so by default it is brought back
-    once and kept as a tiny local table: every later branch of a report (per
-    class, averages, accuracy) then reads it instead of re-running the input."""
+    By default up to ``MOST_CELLS`` rows are brought back once and kept as a small
+    local table, which every later branch of a report (per class, averages,
+    accuracy) reads instead of the input; with more cells it stays distributed."""
     cm = (df.groupBy(F.col(actual).cast("string").alias("actual"),
                      F.col(predicted).cast("string").alias("predicted"))
           .agg(F.count(F.lit(1)).alias("n")))
     if not local:
         return cm
-    return df.sparkSession.createDataFrame(cm.collect(), "actual string, predicted string, n bigint")
+    cells = cm.limit(MOST_CELLS + 1).collect()
+    if len(cells) > MOST_CELLS:
+        return cm
+    return df.sparkSession.createDataFrame(cells, "actual string, predicted string, n bigint")
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,

@@ -42,9 +42,17 @@ def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
         "weight", F.lit(float(n)) / (F.lit(float(m)) * F.col("class_count")))
 
 
+MOST_INLINE_CLASSES = 1000
+
+
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """Attach balanced weights: one row per class, so the join side is bounded by
-    the class count (collected and inlined as a literal map - no join)."""
-    w = balanced_class_weights(df, label).collect()
+    """Attach balanced weights: inlined as a literal map up to ``MOST_INLINE_CLASSES``
+    classes (checked), joined above. Rows without a label get no weight and count for none."""
+    weights = balanced_class_weights(df.where(F.col(label).isNotNull()), label)
+    w = weights.limit(MOST_INLINE_CLASSES + 1).collect()
+    if not w:
+        return df.withColumn(weight_col, F.lit(None).cast("double"))
+    if len(w) > MOST_INLINE_CLASSES:
+        return df.join(weights.select(label, F.col("weight").alias(weight_col)), label, "left").select(*df.columns, weight_col)
     mp = F.create_map(*[x for r in w for x in (F.lit(r[label]), F.lit(r["weight"]))])
     return df.withColumn(weight_col, mp[F.col(label)])

@@ -26,7 +26,7 @@ from seriesflow.operators import encode, scale, stats
 FOREST = dict(numTrees=150, maxDepth=10, seed=42)
 FOREST_CUSTOM = dict(numTrees=300, maxDepth=12, minInstancesPerNode=2, seed=42)
 GRID = dict(numTrees=[100, 200, 300], maxDepth=[8, 10, 12, 30], minInstancesPerNode=[1, 2, 3])
-BOOST = dict(maxIter=2000, stepSize=0.01, maxDepth=10, subsamplingRate=0.8,
+BOOST = dict(maxIter=2000, validationTol=0.0, stepSize=0.01, maxDepth=10, subsamplingRate=0.8,
              featureSubsetStrategy="0.8", seed=42)
 PARTS = ("model", "label_map", "scaler", "manifest")
 

@@ -128,7 +128,7 @@ def demand_table(spark, sf, extra: DataFrame | None = None):
 
 
 def demand_features(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("k", "d", "demand", "is_train")]
+    return [c for c in df.columns if c not in ("k", "d", "demand", "n", "is_train")]  # price = demand / n: n of the same day gives demand away
 
 
 def _boosted(spark, sf, extra=None):
@@ -293,11 +293,7 @@ def sensor_recommender(spark, sf):
 def score_stream(spark, sf):
     """Complete readings from the stream (first complete per device) scored
     with fixed growth stage and purpose - a stateless step on the stream."""
-    from seriesflow.streaming.sensors import (first_complete, parse_stream, read_line_stream,
-                                              run_dir, stage_feed, _run_to_parquet)
+    from seriesflow.streaming.sensors import run_first_complete_stream
     rec = sensor_recommender(spark, sf)
-    base_dir = run_dir(spark, "score")
-    stage_feed(base.lines(spark, sf), os.path.join(base_dir, "src"))
-    comp = first_complete(parse_stream(read_line_stream(spark, os.path.join(base_dir, "src"))))
-    scored = M.score(rec, comp, keep=["device_id", "done_seq"] + KINDS, constants=STREAM_CONSTANTS)
-    return spark.read.parquet(_run_to_parquet(scored, base_dir))
+    return run_first_complete_stream(spark, base.lines(spark, sf), then=lambda done: M.score(
+        rec, done, keep=["device_id", "done_seq"] + KINDS, constants=STREAM_CONSTANTS))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesflow.functions.text import decode_line
 from seriesflow.operators import sensors as S
 from seriesflow.plans import base
-from seriesflow.plans.registry import query
+from seriesflow.plans.registry import ORACLE, query
 from seriesflow.plans.sqlgen import LINES_CTE, r6
 
 LK, LO = base.LINE_KEYS, base.LINE_ORDER
@@ -90,7 +90,7 @@ def complete_readings(spark, sf):
     return S.complete_readings(parsed_lines(spark, sf), LK, LO)
 
 
-@query("decode_lines")
+@query("decode_lines", f"""WITH {LINES_CTE} SELECT device_id, seq, trim(line) AS text FROM lines""")
 def decode_lines(spark, sf):
     """G1: raw bytes (every line as UTF-8, with an invalid 0xFF byte spliced into
     the value of every error line) decoded with bad bytes dropped and stripped."""
@@ -102,25 +102,33 @@ def decode_lines(spark, sf):
         "device_id", "seq", decode_line("raw").alias("text"))
 
 
-@query("lines_source", round_output=False)
+@query("lines_source", f"""WITH {PARSED_SQL}
+SELECT device_id, event_ts, seq, line, kind, {r6('value')} AS value, status FROM parsed""")
 def lines_source(spark, sf):
-    """A10 + O5: the lines as a file stream (``availableNow``), parsed and
-    appended to a parquet sink with a checkpoint; returns the sink's rows."""
+    """A10 + O5: the lines arrive as files of a stream, are parsed and appended to a
+    sink; returns the sink's rows (without arrival time and raw bytes)."""
     from seriesflow.streaming.sensors import run_lines_stream
-    return run_lines_stream(spark, base.lines(spark, sf))
+    return run_lines_stream(spark, base.lines(spark, sf))[0].drop("arrived_at", "raw")
+
+
+_LATEST = [f"arg_max(CASE WHEN kind = '{k}' THEN value END, CASE WHEN kind = '{k}' THEN pos END)" for k in S.KINDS]
 
 
-@query("stream_latest_readings", round_output=True)
+@query("stream_latest_readings", f"""WITH {PARSED_SQL},
+ok AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY event_ts, seq) AS pos FROM parsed WHERE status = 'ok')
+SELECT device_id, date_trunc('day', event_ts) AS window_start, date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
+  {', '.join(f'{r6(x)} AS {k}' for x, k in zip(_LATEST, S.KINDS))}, count(DISTINCT kind) = 4 AS complete
+FROM ok GROUP BY device_id, date_trunc('day', event_ts)""")
 def stream_latest_readings(spark, sf):
-    """O2 on a stream: per device and 60 s event-time window (10 s watermark),
+    """O2 on a stream: per device and event-time window of a day (watermark one hour),
     the latest value of each kind; windows with all four kinds are complete."""
     from seriesflow.streaming.sensors import run_window_stream
     return run_window_stream(spark, base.lines(spark, sf))
 
 
-@query("stream_first_complete", round_output=True)
+@query("stream_first_complete", ORACLE["complete_readings"])
 def stream_first_complete(spark, sf):
     """O3 on a stream: emit once per device when all four kinds have been seen
-    (``applyInPandasWithState``, state kept per device with a timeout)."""
+    (state: the latest value per kind of open devices, carried from batch to batch)."""
     from seriesflow.streaming.sensors import run_first_complete_stream
     return run_first_complete_stream(spark, base.lines(spark, sf))

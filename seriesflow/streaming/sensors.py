@@ -1,42 +1,38 @@
 """Structured Streaming path of the sensor feed.
 
-The reference reads one serial port line by line and keeps a dict of the last
-value of each kind until a full reading exists.  Here the feed is a file
-stream of lines ``(device_id, event_ts, seq, line)`` for any number of devices:
+The feed is a file stream of lines ``(device_id, event_ts, seq, line)`` for any
+number of devices; a batch is whatever files have arrived, in any order:
 
 * :func:`parse_stream` - stateless parse (the batch operator, unchanged);
 * :func:`latest_by_window` - O2: per device and event-time window, the latest
-  value of each kind (``max_by`` aggregation, watermark bounds the state);
-* :func:`first_complete` - O3: emit once per device when all four kinds have
-  been seen (``applyInPandasWithState``; state = 4 values + 'emitted', expired
-  by an event-time timeout once a device is silent for ``timeout``; a
-  processing-time timeout would keep an ``availableNow`` run alive forever);
-* :func:`score_complete` - O4: stateless model scoring of complete readings.
-
-Every run writes under the session's shared checkpoint folder: a staged copy
-of the feed, the sink, and the stream checkpoint - a restarted query resumes
-from its checkpoint, so a lost executor or driver does not lose or repeat rows.
+  value of each kind (``max_by`` aggregation, the watermark bounds the state);
+* :class:`FirstComplete` - O3: emit once per device when all four kinds have
+  been seen. Its state is a small table (the latest value of each kind of every
+  device that isn't complete, and who is), written per batch and joined with
+  the next one by native aggregates; no device's rows meet in one worker;
+* O4: a model scores the rows that O3 emits, batch by batch.
+
+Sinks are written per batch id by overwriting that batch's folder, so a batch
+that is run again after a failure replaces itself. Every run writes under the
+session's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from seriesflow.functions.text import KINDS, strip
-from seriesflow.operators.sensors import parse_lines
+from seriesflow.operators.sensors import complete_readings, parse_lines
 from seriesflow.session import checkpoint_dir
 
 LINE_SCHEMA = "device_id bigint, event_ts timestamp_ntz, seq bigint, line string"
-OUT_SCHEMA = ("device_id bigint, done_event_ts timestamp, done_seq bigint, "
-              + ", ".join(f"{k} double" for k in KINDS))
-STATE_SCHEMA = ", ".join(f"{k} double, has_{k} boolean" for k in KINDS) + ", emitted boolean"
+STATE_SCHEMA = "device_id bigint, event_ts timestamp_ntz, seq bigint, kind string, value double, emitted boolean"
+KEYS, ORDER = ["device_id"], ["event_ts", "seq"]
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -44,33 +40,25 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stage_feed(lines: DataFrame, path: str, n_slices: int = 8) -> None:
-    """Replay helper: write the lines as ``n_slices`` time-ordered parquet slices,
-    one write after the other, so the file source sees them in event order
-    (the way a live feed would have delivered them)."""
+def feed_slices(lines: DataFrame, n_slices: int = 4) -> Iterator[DataFrame]:
+    """Replay helper: the lines cut into ``n_slices`` pieces by event time."""
     b = lines.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
     if b["lo"] is None:
-        lines.write.mode("append").parquet(path)
+        yield lines
         return
-    lo, hi = b["lo"], b["hi"]
-    step = (hi - lo) / n_slices
+    lo, step = b["lo"], (b["hi"] - b["lo"]) / n_slices
     dtype = lines.schema["event_ts"].dataType
 
-    def bound(t):  # a literal of the column's own type, independent of any time zone
-        return F.lit(t.isoformat(sep=" ")).cast(dtype)
+    def bound(i):  # a literal of the column's own type, independent of any time zone
+        return F.lit((lo + step * i).isoformat(sep=" ")).cast(dtype)
     for i in range(n_slices):
-        cond = F.col("event_ts") >= bound(lo + step * i)
-        if i < n_slices - 1:
-            cond = cond & (F.col("event_ts") < bound(lo + step * (i + 1)))
-        lines.filter(cond).write.mode("append").parquet(path)
+        piece = lines if i == 0 else lines.filter(F.col("event_ts") >= bound(i))
+        yield piece if i == n_slices - 1 else piece.filter(F.col("event_ts") < bound(i + 1))
 
 
-def read_line_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 1) -> DataFrame:
-    """A10: stream of staged line files (typed, no inference)."""
-    r = spark.readStream.schema(LINE_SCHEMA)
-    if files_per_trigger:
-        r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.parquet(path)
+def read_line_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A10: stream of line files (typed, no inference); all files that have arrived are one batch."""
+    return spark.readStream.schema(LINE_SCHEMA).parquet(path)
 
 
 def read_text_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -97,93 +85,96 @@ def latest_by_window(parsed: DataFrame, window: str = "60 seconds",
     complete = F.lit(True)
     for k in KINDS:
         complete = complete & F.col(k).isNotNull()
-    return agg.select("device_id", F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), *KINDS, complete.alias("complete"))
+    return agg.select("device_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *KINDS, complete.alias("complete"))
+
+
+class FirstComplete:
+    """O3 for ``foreachBatch``: per device, one row when all four kinds have been seen.
+
+    ``then`` (O4) maps the emitted rows, for instance through a model. A device
+    is remembered for good, so it emits once however long it is silent.
+    """
+
+    def __init__(self, base: str, then: Callable[[DataFrame], DataFrame] | None = None):
+        self.base, self.then = base, then
+        self.sink = os.path.join(base, "sink")
+
+    def _state(self, batch_id: int) -> str:
+        return os.path.join(self.base, "state", f"batch={batch_id}")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = (spark.read.schema(STATE_SCHEMA).parquet(self._state(batch_id - 1)) if batch_id
+                else spark.createDataFrame([], STATE_SCHEMA))
+        emitted = held.where("emitted")
+        seen = (batch.where("status = 'ok'").select(*KEYS, *ORDER, "kind", "value")
+                .join(emitted.select(*KEYS), KEYS, "left_anti")
+                .unionByName(held.where("not emitted").drop("emitted"))).withColumn("status", F.lit("ok")).persist()
+        done = complete_readings(seen, KEYS, ORDER).persist()
+        out = self.then(done) if self.then else done
+        out.write.mode("overwrite").parquet(os.path.join(self.sink, f"batch={batch_id}"))
+        pos = F.struct(*ORDER)
+        open_kinds = (seen.join(done.select(*KEYS), KEYS, "left_anti").groupBy(*KEYS, "kind")
+                      .agg(F.max(pos).alias("p"), F.max_by("value", pos).alias("value"))
+                      .select(*KEYS, "p.*", "kind", "value", F.lit(False).alias("emitted")))
+        closed = done.select(*KEYS, F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit(None).cast("long").alias("seq"),
+                             F.lit(None).cast("string").alias("kind"), F.lit(None).cast("double").alias("value"),
+                             F.lit(True).alias("emitted"))
+        (open_kinds.unionByName(closed).unionByName(emitted).coalesce(max(1, spark.sparkContext.defaultParallelism))
+         .write.mode("overwrite").parquet(self._state(batch_id)))
+        done.unpersist()
+        seen.unpersist()
+
+
+def _run(stream: DataFrame, base: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+    """One ``availableNow`` run from the run's checkpoint over what has arrived since the last one."""
+    q = (stream.writeStream.outputMode(mode).foreachBatch(each)
+         .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
-def _first_complete_fn(key, pdfs, state):
-    """Per device: carry the last value of each kind (NaN readings count as seen)
-    and emit the first line at which all four kinds are present - once."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    st = state.get if state.exists else None
-    emitted = bool(st[-1]) if st is not None else False
-    vals = {k: (st[2 * i] if st is not None else None) for i, k in enumerate(KINDS)}
-    seen = {k: (bool(st[2 * i + 1]) if st is not None else False) for i, k in enumerate(KINDS)}
-    df = pd.concat(list(pdfs), ignore_index=True)
-    out = []
-    if not emitted and len(df):
-        df = df[df["status"] == "ok"].sort_values(["event_ts", "seq"], kind="stable").reset_index(drop=True)
-        n = len(df)
-        if n:
-            ar = np.arange(n)
-            cur, have = {}, {}
-            for k in KINDS:
-                last = pd.Series(np.where(df["kind"].to_numpy() == k, ar, -1)).cummax().to_numpy()
-                v = df["value"].to_numpy()[np.maximum(last, 0)]
-                cur[k] = np.where(last >= 0, v, np.nan if vals[k] is None else vals[k])
-                have[k] = (last >= 0) | seen[k]
-            done = np.logical_and.reduce([have[k] for k in KINDS])
-            if done.any():
-                i = int(np.argmax(done))
-                out.append({"device_id": key[0], "done_event_ts": df["event_ts"].iloc[i],
-                            "done_seq": int(df["seq"].iloc[i]), **{k: float(cur[k][i]) for k in KINDS}})
-                emitted = True
-            vals = {k: float(cur[k][-1]) for k in KINDS}
-            seen = {k: bool(have[k][-1]) for k in KINDS}
-    state.update(tuple(x for k in KINDS for x in (vals[k], seen[k])) + (emitted,))
-    last_ms = int(pd.Timestamp(df["event_ts"].max()).value // 1_000_000) if len(df) else 0
-    state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + _TIMEOUT_MS)
-    if out:
-        yield pd.DataFrame(out)
-
-
-_TIMEOUT_MS = 7 * 24 * 3600 * 1000  # a device silent for 7 days (event time) is forgotten
-
-
-def first_complete(parsed: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """O3 on a stream: state per device, expired 7 days (event time) after the
-    device's last line; late lines (behind the watermark) are dropped by Spark."""
-    cols = parsed.select("device_id", F.col("event_ts").cast("timestamp").alias("event_ts"),
-                         "seq", "kind", "value", "status").withWatermark("event_ts", watermark)
-    return cols.groupBy("device_id").applyInPandasWithState(
-        _first_complete_fn, OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
-
-
-def _run_to_parquet(stream: DataFrame, base: str) -> str:
-    sink = os.path.join(base, "sink")
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", os.path.join(base, "ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return sink
+def _replay(spark: SparkSession, lines: DataFrame, base: str, run: Callable[[DataFrame], None]) -> None:
+    """Let the lines arrive slice by slice (any number of files each) and run the stream after each arrival."""
+    for piece in feed_slices(lines):
+        piece.select("device_id", "event_ts", "seq", "line").write.mode("append").parquet(os.path.join(base, "src"))
+        run(read_line_stream(spark, os.path.join(base, "src")))
 
 
-def run_lines_stream(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """A10 + O1 + O5: staged feed -> parse -> parquet sink (append, checkpointed)."""
+def run_lines_stream(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A10 + O1 + O5: feed -> parse -> sinks: (all lines, with arrival time and raw bytes; those that gave no reading)."""
     base = run_dir(spark, "lines")
-    stage_feed(lines, os.path.join(base, "src"))
-    sink = _run_to_parquet(parse_stream(read_line_stream(spark, os.path.join(base, "src"), None)), base)
-    return spark.read.parquet(sink)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        tail = batch.withColumns({"arrived_at": F.current_timestamp(), "raw": F.encode("line", "UTF-8")}).persist()
+        tail.write.mode("overwrite").parquet(os.path.join(base, "sink", f"batch={batch_id}"))
+        tail.where("status <> 'ok'").write.mode("overwrite").parquet(os.path.join(base, "rejects", f"batch={batch_id}"))
+        tail.unpersist()
+
+    _replay(spark, lines, base, lambda s: _run(parse_stream(s), base, each))
+    read = lambda name: spark.read.parquet(os.path.join(base, name)).drop("batch")
+    return read("sink"), read("rejects")
 
 
 def run_window_stream(spark: SparkSession, lines: DataFrame, window: str = "1 day",
                       watermark: str = "1 hour") -> DataFrame:
-    """O2 run: windows are emitted once the watermark passes them (the last
-    windows stay in state at the end of an ``availableNow`` run)."""
+    """O2 run: every batch writes the windows it changed, open ones too; a window's last version counts."""
     base = run_dir(spark, "latest")
-    stage_feed(lines, os.path.join(base, "src"))
-    parsed = parse_stream(read_line_stream(spark, os.path.join(base, "src")))
-    sink = _run_to_parquet(latest_by_window(parsed, window, watermark), base)
-    return spark.read.parquet(sink)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(base, "sink", f"batch={batch_id}"))
+
+    _replay(spark, lines, base, lambda s: _run(latest_by_window(parse_stream(s), window, watermark), base, each, "update"))
+    sink = spark.read.parquet(os.path.join(base, "sink"))
+    rest = [c for c in sink.columns if c not in ("device_id", "window_start", "batch")]
+    return (sink.groupBy("device_id", "window_start").agg(F.max_by(F.struct(*rest), "batch").alias("v"))
+            .select("device_id", "window_start", "v.*"))
 
 
-def run_first_complete_stream(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """O3 run: one row per device that completed a reading."""
+def run_first_complete_stream(spark: SparkSession, lines: DataFrame,
+                              then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """O3 run (with ``then``: O4): one row per device that completed a reading."""
     base = run_dir(spark, "complete")
-    stage_feed(lines, os.path.join(base, "src"))
-    parsed = parse_stream(read_line_stream(spark, os.path.join(base, "src")))
-    sink = _run_to_parquet(first_complete(parsed), base)
-    return spark.read.parquet(sink)
+    each = FirstComplete(base, then)
+    _replay(spark, lines, base, lambda s: _run(parse_stream(s), base, each))
+    return spark.read.parquet(each.sink).drop("batch")

@@ -69,11 +69,14 @@ def test_exact_median_matches_percentile(spark):
     assert clean.exact_median(even, "v", [], out="m").first()["m"] == 3.0
 
 
-def test_median_strategy_switch_same_result(spark, monkeypatch):
+def test_median_keeps_groups_without_values(spark):
     from seriesflow.plans import base
+    none = spark.createDataFrame([("a", None), ("a", None), ("b", 1.0), ("b", 4.0)], "k string, v double")
+    assert sorted(rows(clean.column_stats(none, ["v"], ["k"], "median"))) == [("a", None), ("b", 2.5)]
+    blank = none.where("k = 'a'")
+    assert rows(clean.fill_with_stats(blank, blank, ["v"], [], "median"), "v") == [(None,)] * 2
     g = base.gappy(spark, SF001)
-    small = sorted(rows(clean.column_stats(g, ["v"], ["user_id"], "median")))
-    monkeypatch.setattr(clean, "SINGLE_TASK_MEDIAN_ROWS", 0)
+    small = sorted(rows(clean.column_stats(g, ["v"], ["user_id"], "percentile")))
     big = sorted(rows(clean.column_stats(g, ["v"], ["user_id"], "median")))
     assert [k for k, _ in small] == [k for k, _ in big]
     assert all((a is None and b is None) or abs(a - b) < 1e-9 for (_, a), (_, b) in zip(small, big))
