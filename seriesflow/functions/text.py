@@ -43,20 +43,28 @@ def line_kind(line) -> Column:
 
 
 # What a reading may look like; a cast alone would also take Java's suffixes (12d, 1f).
-NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i)(nan|inf|infinity)$"
+NUMBER = r"^\s*([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?i:nan|inf|infinity))\s*$"
+
+
+def _number_after_colon(line: Column, unit: str | None) -> Column:
+    part = F.try_element_at(F.split(line, ":"), F.lit(2))
+    if unit:
+        part = F.replace(part, F.lit(unit), F.lit(""))
+    return F.regexp_extract(part, NUMBER, 1).try_cast("double")
 
 
 def line_value(line) -> Column:
     """G2 + G3: the number after the first ':' with the kind's unit removed, as a
     double (a malformed number gives NULL = the line is rejected; ``nan`` parses
     to NaN and is kept).  Soil moisture is calibrated raw / 4095 * 100."""
-    kind, part = line_kind(line), F.try_element_at(F.split(col_(line), ":"), F.lit(2))
-    for _needle, k, unit in KIND_RULES:
-        if unit:
-            part = F.when(kind == k, F.replace(part, F.lit(unit), F.lit(""))).otherwise(part)
-    text = strip(part)
-    number = F.when(kind.isNotNull() & text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(kind == "soil_moisture", calibrate_moisture(number)).otherwise(number)
+    c = col_(line)
+    out = None
+    for needle, kind, unit in KIND_RULES:
+        v = _number_after_colon(c, unit)
+        if kind == "soil_moisture":
+            v = calibrate_moisture(v)
+        out = F.when(c.contains(needle), v) if out is None else out.when(c.contains(needle), v)
+    return out
 
 
 def calibrate_moisture(raw) -> Column:
