@@ -173,6 +173,9 @@ _FUT_MEASURES = {"demand": "demand", "price": "price", "orders": "n"}
 _FUT = feature_sql(_FUT_MEASURES, "demand", "price")
 
 
+_LOOKBACK = 45
+
+
 @query("future_frame", f"""{_FC_PRICE},
 lr AS (SELECT k, arg_max(demand, d) AS demand, arg_max(n, d) AS n FROM daily GROUP BY k),
 u AS (SELECT k, d, CAST(NULL AS INTEGER) AS step, demand, n, price FROM daily
@@ -186,7 +189,8 @@ def future_frame(spark, sf):
     d = base.daily(spark, sf)
     last = W.last_row(d.select("k", "d", "demand", "n"), KEYS, "d")
     fut = FC.future_rows(last, KEYS, "d", H).join(price_forecast(spark, sf).drop("d"), ["k", "step"])
-    u = d.withColumn("step", F.lit(None).cast("int")).unionByName(fut.select(*d.columns, "step"))
+    tail = W.last_rows(d, KEYS, "d", _LOOKBACK)  # no feature of a future row reaches further back
+    u = tail.withColumn("step", F.lit(None).cast("int")).unionByName(fut.select(*d.columns, "step"))
     f = u.withColumns(W.feature_exprs(KEYS, ORDER, "d", "demand", "price", _FUT_MEASURES))
     return f.filter(F.col("step").isNotNull())
 

@@ -66,7 +66,7 @@ def _scored(spark, sf, **forest):
 @query("forest_classify", round_output=False)
 def forest_classify(spark, sf):
     """L1: balanced random forest on the recommendation table; test-part predictions."""
-    return _scored(spark, sf, **SMALL_FOREST)
+    return _scored(spark, sf)
 
 
 @query("forest_custom", round_output=False)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from seriesflow.functions.numeric import nans_to_nulls
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -17,14 +19,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table; Catalyst prunes columns / pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of one driver table, NaN as NULL (A4); Catalyst prunes columns / pushes filters into it."""
+    return nans_to_nulls(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
              header: bool = True, sep: str = ",") -> DataFrame:
-    """A1: CSV scan with a declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
+    """A1: CSV scan with a declared schema (no inference pass over the data), NaN as NULL (A4)."""
+    return nans_to_nulls(spark.read.schema(schema).option("header", header).option("sep", sep).csv(path))
 
 
 def read_any(spark: SparkSession, path: str, fmt: str = "parquet",
