@@ -15,7 +15,7 @@ NGRAM, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9995
 TREES, LONGEST = 16, 6
 #: A pair goes to verification when this share of its hashes agrees (at a similarity of 0.8 the chance to fail is below 1e-9).
 LEAST_AGREE = 0.5
-BLOCK, VERIFY_BLOCK, SLICE, COLUMNS = 1024, 256, 1 << 19, 8192
+BLOCK, VERIFY_BLOCK, SLICE, COLUMNS = 512, 256, 1 << 19, 8192
 
 
 def prefix_length(trees: int = TREES, longest: int = LONGEST, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> int:
