@@ -16,7 +16,7 @@ from seriesflow.llm.common import BLANK, LOWER_TABLE, crc_mod, materialize, mix6
 DEPTH, TOP = 5, 2
 #: Ends a text, and stands before its first byte: no UTF-8 text holds it.
 END = 0xFF
-SLICE, FLUSH = 1 << 20, 600_000
+SLICE, FLUSH = 1 << 20, 1_600_000
 #: Broadcast tables have at most so many entries (12 bytes each, twice that in a worker); larger ones are joined.
 MOST_GRAMS, MOST_WORDS = 6_000_000, 8_000_000
 SMOOTHING = 0.1
