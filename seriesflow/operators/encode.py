@@ -3,8 +3,9 @@
 The map is a small table ``(column string, value string, code int)``: codes
 0..m-1 follow the sorted distinct values of each column (binary string order),
 and a missing value becomes the string ``"nan"`` (its own class), like the
-reference's encoder.  Applying it is an equi-join on the value; the map is one
-row per category, so Spark / AQE broadcast it from its measured size.
+reference's encoder.  Applying it is an equi-join on the value.  A map of at most
+``MOST_MAP_ROWS`` rows with short values is read once, kept as a local table and
+broadcast, so the big side is not exchanged; a larger map is joined by value.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the string a missing categorical becomes before encoding.
 MISSING_LABEL = "nan"
+#: A broadcast map has at most so many rows, with values of at most so many bytes (10 MB).
+MOST_MAP_ROWS, MOST_VALUE_BYTES = 20_000, 512
 
 
 def _as_label(c: str):
@@ -45,6 +48,19 @@ def fit_label_map(df: DataFrame, cols: Sequence[str], prefix_len: int | None = N
     return distinct.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
 
 
+def small_map(label_map: DataFrame) -> tuple[DataFrame, bool]:
+    """The map as a local table and True if it is within the broadcast bounds, else as it is and False.
+
+    At most ``MOST_MAP_ROWS`` + 1 rows of bounded size reach the driver."""
+    short = F.coalesce(F.octet_length("value") <= MOST_VALUE_BYTES, F.lit(True))
+    held = (label_map.select("column", F.when(short, F.col("value")).alias("value"), "code", (~short).alias("long"))
+            .limit(MOST_MAP_ROWS + 1).collect())
+    if len(held) > MOST_MAP_ROWS or any(r["long"] for r in held):
+        return label_map, False
+    schema = label_map.select("column", "value", "code").schema
+    return label_map.sparkSession.createDataFrame([tuple(r)[:3] for r in held], schema), True
+
+
 def encode(df: DataFrame, label_map: DataFrame, cols: Sequence[str], mode: str = "strict",
            suffix: str | None = None) -> DataFrame:
     """D1/D2/D3 transform.
@@ -54,9 +70,11 @@ def encode(df: DataFrame, label_map: DataFrame, cols: Sequence[str], mode: str =
     * ``null``: an unseen value gets NULL.
     """
     out = df
+    label_map, small = small_map(label_map)
     for c in cols:
         m = (label_map.filter(F.col("column") == c)
              .select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}")))
+        m = F.broadcast(m) if small else m
         out = out.withColumn(f"_v_{c}", _as_label(c)).join(m, on=f"_v_{c}", how="left")
         code = F.col(f"_c_{c}")
         if mode == "strict":
@@ -76,7 +94,9 @@ def unseen_counts(df: DataFrame, label_map: DataFrame, cols: Sequence[str]) -> D
                                                   _as_label(c).alias("value"))
                                          for c in cols])).alias("p")).select("p.*")
     counts = vals.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.join(label_map.select("column", "value"), ["column", "value"], "left_anti")
+    label_map, small = small_map(label_map)
+    known = label_map.select("column", "value")
+    return counts.join(F.broadcast(known) if small else known, ["column", "value"], "left_anti")
 
 
 def decode(df: DataFrame, label_map: DataFrame, col: str, out: str | None = None,
@@ -84,6 +104,8 @@ def decode(df: DataFrame, label_map: DataFrame, col: str, out: str | None = None
     """Code -> label via the map (NULL for an unknown code); result in ``out``
     (default ``{col}_label``); ``map_column`` names the map entry if it differs from ``col``."""
     out = out or f"{col}_label"
+    label_map, small = small_map(label_map.filter(F.col("column") == (map_column or col)))
     m = (label_map.filter(F.col("column") == (map_column or col))
          .select(F.col("code").alias("_code"), F.col("value").alias(out)))
+    m = F.broadcast(m) if small else m
     return df.join(m, df[col] == m["_code"], "left").drop("_code")

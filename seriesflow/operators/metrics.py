@@ -75,7 +75,7 @@ def _accuracy(cm: DataFrame) -> DataFrame:
     return cm.agg((F.sum(hit) / F.sum("n")).alias("accuracy"), F.sum("n").cast("bigint").alias("n"))
 
 
-def per_class(confusion: DataFrame) -> DataFrame:
+def _class_rows(confusion: DataFrame) -> DataFrame:
     """M7 rows: precision, recall, F1, support per class (0 on zero division).
 
     One aggregate: every cell (a, p, n) counts n as support of a, as a
@@ -94,8 +94,12 @@ def per_class(confusion: DataFrame) -> DataFrame:
     t = t.withColumns({"precision": prec, "recall": rec})
     f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                  F.col("precision") + F.col("recall")), F.lit(0.0))
-    return t.withColumn("f1", f1).select("label", "precision", "recall", "f1",
-                                          F.col("support").cast("bigint").alias("support"))
+    return t.withColumn("f1", f1).select("label", "precision", "recall", "f1", F.col("support").cast("bigint").alias("support"), "tp")
+
+
+def per_class(confusion: DataFrame) -> DataFrame:
+    """label, precision, recall, f1, support: one row per class that occurs or is predicted."""
+    return _class_rows(confusion).drop("tp")
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -120,13 +124,8 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
 
 
 def classification_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """M5 + M6 + M9: accuracy and support-weighted precision / recall / F1 in one row."""
-    cm = confusion_counts(df, actual, predicted)
-    pc = per_class(cm)
+    """M5 + M6 + M9: accuracy and support-weighted precision / recall / F1 in one row, one aggregate over the class rows."""
     tot = F.sum("support")
-    w = pc.agg((F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-               (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-               (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"))
-    acc = _accuracy(cm)
-    # both sides are single-row aggregates: the join key is a constant
-    return acc.withColumn("_j", F.lit(1)).join(w.withColumn("_j", F.lit(1)), "_j").drop("_j")
+    return _class_rows(confusion_counts(df, actual, predicted)).agg(
+        (F.sum("tp") / tot).alias("accuracy"), tot.cast("bigint").alias("n"),
+        *[(F.sum(F.col(c) * F.col("support")) / tot).alias(c) for c in ("precision", "recall", "f1")])

@@ -9,6 +9,7 @@ a stream (every step is a stateless projection or a join with small tables).
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -26,8 +27,10 @@ from seriesflow.operators import encode, scale, stats
 FOREST = dict(numTrees=150, maxDepth=10, seed=42)
 FOREST_CUSTOM = dict(numTrees=300, maxDepth=12, minInstancesPerNode=2, seed=42)
 GRID = dict(numTrees=[100, 200, 300], maxDepth=[8, 10, 12, 30], minInstancesPerNode=[1, 2, 3])
-BOOST = dict(maxIter=2000, validationTol=0.0, stepSize=0.01, maxDepth=10, subsamplingRate=0.8,
+BOOST = dict(maxIter=2000, stepSize=0.01, maxDepth=10, subsamplingRate=0.8,
              featureSubsetStrategy="0.8", seed=42)
+#: Rounds without a better validation error that end the search for the best round.
+PATIENCE = 100
 PARTS = ("model", "label_map", "scaler", "manifest")
 
 
@@ -84,9 +87,10 @@ def fit_recommender(df: DataFrame, features: list[str], categorical: list[str],
     """L1 / L2: encode (sorted-value codes) -> standard-scale every feature (codes
     included) -> balanced class weights -> random forest."""
     params = {**FOREST, **forest}
-    lmap = encode.fit_label_map(df, categorical + [target]).cache()
-    enc = encode.encode(df, lmap, categorical + [target], mode="strict")
-    sc = scale.fit_scaler(enc, features, "standard").cache()
+    lmap, _ = encode.small_map(encode.fit_label_map(df, categorical + [target]))
+    enc = encode.encode(df, lmap, categorical + [target], mode="strict").persist()
+    sc = scale.fit_scaler(enc, features, "standard")
+    sc = df.sparkSession.createDataFrame(sc.collect(), sc.schema)  # one row per feature
     scaled = scale.apply_scaler(enc, sc, features)
     data = VectorAssembler(inputCols=features, outputCol="features",
                            handleInvalid="keep").transform(scaled)
@@ -95,7 +99,11 @@ def fit_recommender(df: DataFrame, features: list[str], categorical: list[str],
         data = stats.with_class_weights(data, target, "weight")
         kw["weightCol"] = "weight"
     rf = RandomForestClassifier(featuresCol="features", labelCol=target, **kw, **params)
-    return Recommender(rf.fit(data), lmap, sc, list(features), list(categorical), target)
+    try:
+        model = rf.fit(data)
+    finally:
+        enc.unpersist()
+    return Recommender(model, lmap, sc, list(features), list(categorical), target)
 
 
 def score(rec: Recommender, df: DataFrame, keep: list[str] = (), constants: dict | None = None,
@@ -145,18 +153,41 @@ def grid_search(df: DataFrame, features, categorical, target, grid: dict | None
     return out.orderBy(F.col("accuracy").desc())
 
 
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """How many rounds to keep: up to the smallest error seen before ``patience`` rounds brought no better one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted(train: DataFrame, features: list[str], label: str, valid_col: str | None = None,
-                **params) -> PipelineModel:
-    """L4: gradient-boosted trees; with ``valid_col`` Spark stops early on the
-    validation rows (``validationIndicatorCol``).  L1/L2 penalties have no
+                patience: int = PATIENCE, **params) -> PipelineModel:
+    """L4: gradient-boosted trees; with ``valid_col`` the rounds up to the best one on
+    the validation rows are kept (``patience`` rounds without a better one end the search).
+
+    Spark's own stopping rule ends at the first small step, so all rounds are fitted,
+    the validation error of each is read, and a shorter model, whose rounds are the
+    same by the seed, is fitted if an earlier round was best.  L1/L2 penalties have no
     Spark parameter (documented gap)."""
     p = {**BOOST, **params}
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, **p)
-    if valid_col:
-        gbt = gbt.setValidationIndicatorCol(valid_col)
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    from pyspark.ml import Pipeline
-    return Pipeline(stages=[va, gbt]).fit(train)
+    gbt = GBTRegressor(featuresCol="features", labelCol=label, **p)
+    data = va.transform(train).select("features", label, *([valid_col] if valid_col else [])).persist()
+    try:
+        fitting = data.filter(~F.col(valid_col)) if valid_col else data
+        model = gbt.fit(fitting)
+        if valid_col:
+            errors = model.evaluateEachIteration(data.filter(F.col(valid_col)), "squared")
+            rounds = best_round(errors, patience)
+            if rounds < len(errors):
+                model = gbt.copy({gbt.maxIter: rounds}).fit(fitting)
+    finally:
+        data.unpersist()
+    return PipelineModel(stages=[va, model])
 
 
 def feature_importances(model: PipelineModel, features: list[str], top: int = 15) -> DataFrame:

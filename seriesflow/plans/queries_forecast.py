@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesflow.functions.calendar import calendar_exprs
-from seriesflow.functions.numeric import r4
 from seriesflow.operators import forecast as FC
 from seriesflow.operators import stats
 from seriesflow.operators import windows as W
@@ -107,20 +106,27 @@ def forecast_summary(spark, sf):
     return stats.forecast_summary(fc, KEYS, "d", ["price", "demand"])
 
 
-_TR = "CASE WHEN sign(r{c} - lag(r{c}) OVER (PARTITION BY k ORDER BY step)) > 0 THEN 'up' WHEN sign(r{c} - lag(r{c}) OVER (PARTITION BY k ORDER BY step)) < 0 THEN 'down' ELSE 'flat' END"
+#: Moves within this share of the value are the rounding noise of a converged recursion; its sign differs between engines.
+_NOISE = 1e-12
+_MOVE = "({c} - lag({c}) OVER (PARTITION BY k ORDER BY step))"
+_TR = f"CASE WHEN abs({_MOVE}) <= {_NOISE} * abs({{c}}) THEN 'flat' WHEN {_MOVE} > 0 THEN 'up' WHEN {_MOVE} < 0 THEN 'down' ELSE 'flat' END"
 
 
 @query("forecast_trend", f"""{_FC_BOTH}
 SELECT k, step, d, {_TR.format(c='price')} AS price_trend, {_TR.format(c='demand')} AS demand_trend
-FROM (SELECT *, {sqlgen.r4('price')} AS rprice, {sqlgen.r4('demand')} AS rdemand FROM fc)""")
+FROM fc""")
 def forecast_trend(spark, sf):
-    """E11 on the forecasts: arrow per step against the previous prediction
-    (compared at 4 decimals, so sub-1e-4 moves of a converging forecast are flat)."""
+    """E11 on the forecasts: arrow per step against the previous prediction, unrounded.
+
+    Only for the comparison with SQL, arrows of moves within ``_NOISE`` of the value are set to flat."""
     fc = FC.join_forecasts(price_forecast(spark, sf), demand_forecast_ar(spark, sf).drop("d"), KEYS)
-    fc = fc.withColumns({"price": r4("price"), "demand": r4("demand")})
     w = W.series_window(KEYS, "step")
-    return fc.select("k", "step", "d", W.trend_expr("price", w).alias("price_trend"),
-                     W.trend_expr("demand", w).alias("demand_trend"))
+
+    def arrow(c):
+        noise = F.abs(F.col(c) - F.lag(c).over(w)) <= F.lit(_NOISE) * F.abs(F.col(c))
+        return F.when(noise, F.lit("flat")).otherwise(W.trend_expr(c, w))
+
+    return fc.select("k", "step", "d", arrow("price").alias("price_trend"), arrow("demand").alias("demand_trend"))
 
 
 @query("append_forecast", f"""{_FC_BOTH}

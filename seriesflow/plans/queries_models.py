@@ -22,13 +22,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesflow.functions.calendar import calendar_exprs
 from seriesflow.functions.text import KINDS
 from seriesflow.operators import forecast as FC
-from seriesflow.operators import metrics, sensors, split
+from seriesflow.operators import metrics, sensors, split, stats
 from seriesflow.operators import windows as W
 from seriesflow.plans import base
 from seriesflow.plans import models as M
-from seriesflow.plans.queries_forecast import price_forecast
+from seriesflow.plans.queries_forecast import _LOOKBACK as LOOKBACK
 from seriesflow.plans.registry import query
 from seriesflow.session import checkpoint_dir, cut_lineage
 from seriesflow.sources.tables import read_table
@@ -153,32 +154,46 @@ def feature_importance_top(spark, sf):
     return M.feature_importances(model, feats, 15)
 
 
+SEQ_CALENDAR = ["month_sin", "month_cos", "dow_sin", "dow_cos", "is_weekend", "year_progress"]
+SEQ_FEATURES = ["price", "n", "price_diff_1", *SEQ_CALENDAR]
+
+
+def seq_rows(spark, sf):
+    """One row per series and day with the sequence features as doubles (a series' first difference is 0)."""
+    diff = F.col("price") - F.lag("price").over(W.series_window(KEYS, ORDER))
+    z = base.daily(spark, sf).withColumns({"price_diff_1": F.coalesce(diff, F.lit(0.0)), **calendar_exprs("d", SEQ_CALENDAR)})
+    return z.select("k", "d", *[F.col(c).cast("double").alias(c) for c in SEQ_FEATURES])
+
+
+def _flat(window: str):
+    return array_to_vector(F.flatten(F.transform(window, lambda e: F.array(*[e[c] for c in SEQ_FEATURES]))))
+
+
 def seq_table(spark, sf):
-    d = base.daily(spark, sf)
-    s = W.sequences(d, KEYS, ORDER, ["price", "n"], "price", SEQ_W)
-    flat = F.flatten(F.transform("x", lambda e: F.array(e["price"], e["n"].cast("double"))))
-    s = s.withColumn("x_vec", array_to_vector(flat)).select("k", "d", "y", "x_vec")
+    s = W.sequences(seq_rows(spark, sf), KEYS, ORDER, SEQ_FEATURES, "price", SEQ_W)
+    s = s.withColumn("x_vec", _flat("x")).select("k", "d", "y", "x_vec")
     return split.chronological_split(s, KEYS, ORDER)
 
 
 @query("sequence_regress")
 def sequence_regress(spark, sf):
-    """L5 re-aimed: 21-row windows of (price, n) flattened -> next price by
+    """L5 re-aimed: 21-row windows of ``SEQ_FEATURES`` flattened -> next price by
     ridge regression; validation predictions."""
     t = seq_table(spark, sf)
-    model = M.fit_sequence_regressor(t.filter("is_train"), 2 * SEQ_W)
+    model = M.fit_sequence_regressor(t.filter("is_train"), len(SEQ_FEATURES) * SEQ_W)
     return model.transform(t.filter("NOT is_train")).select("k", "d", "y", "prediction")
 
 
 @query("best_candidate")
 def best_candidate(spark, sf):
     """Candidates compared by RMSE on the chronological validation part; best kept."""
-    t = seq_table(spark, sf).cache()
+    t = seq_table(spark, sf).persist()
     train, valid = t.filter("is_train"), t.filter("NOT is_train")
     rows = []
     for rp in (0.0, 0.01, 0.1, 1.0):
-        m = M.fit_sequence_regressor(train, 2 * SEQ_W, reg_param=rp)
+        m = M.fit_sequence_regressor(train, len(SEQ_FEATURES) * SEQ_W, reg_param=rp)
         rows.append((rp, M.rmse(m.transform(valid), "y")))
+    t.unpersist()
     best = min(rows, key=lambda r: r[1])[0]
     return spark.createDataFrame([(rp, e, rp == best) for rp, e in rows],
                                  "reg_param double, rmse double, is_best boolean")
@@ -186,7 +201,7 @@ def best_candidate(spark, sf):
 
 def price_predictions(spark, sf):
     t = seq_table(spark, sf)
-    model = M.fit_sequence_regressor(t.filter("is_train"), 2 * SEQ_W)
+    model = M.fit_sequence_regressor(t.filter("is_train"), len(SEQ_FEATURES) * SEQ_W)
     return model, model.transform(t).select("k", "d", F.col("prediction").alias("price_pred"))
 
 
@@ -201,33 +216,33 @@ def two_stage_demand(spark, sf):
     return model.transform(t.filter("NOT is_train")).select("k", "d", "demand", "price_pred", "prediction")
 
 
-def model_price_forecast(spark, sf, n_steps: int = H, checkpoint_every: int = 3) -> DataFrame:
-    """N1 with a fitted Spark ML model: one ``transform`` over all series per step;
-    the window slides (drop oldest, append the prediction, J3) inside an array
-    column; lineage is cut with a reliable checkpoint every few steps."""
-    model, _ = price_predictions(spark, sf)
-    d = base.daily(spark, sf)
-    win = (W.last_rows(d.select("k", "d", "price", "n"), KEYS, "d", SEQ_W)
-           .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("d", "price", "n"))).alias("w"),
-                             F.max("d").alias("last_d")))
-    state = win.select("k", F.col("last_d").alias("d"),
-                       F.transform("w", lambda e: F.struct(e["price"].alias("price"),
-                                                           e["n"].cast("double").alias("n"))).alias("w"))
-    out = []
+def model_price_forecast(spark, sf, n_steps: int = H, start_date=None, checkpoint_every: int = 3, model=None) -> DataFrame:
+    """N1 with a fitted Spark ML model: k, step, d, price.
+
+    One ``transform`` over all series per step; N2 makes the next window element
+    (calendar re-stamped, difference to the last price), the window slides (J3)
+    inside an array column, and so do the predictions, exploded once at the end.
+    ``start_date``: the first forecast day (default: the day after a series' last).
+    A series with fewer than ``SEQ_W`` days has no window and no forecast. Lineage is
+    cut with a reliable checkpoint every few steps."""
+    model = model or price_predictions(spark, sf)[0]
+    win = (W.last_rows(seq_rows(spark, sf), KEYS, "d", SEQ_W)
+           .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("d", *SEQ_FEATURES))).alias("w"), F.max("d").alias("last"))
+           .filter(F.size("w") == SEQ_W))
+    start = F.to_date(F.lit(start_date)) if start_date is not None else F.date_add("last", 1)
+    state = win.select("k", start.alias("start"), F.date_sub(start, 1).alias("d"), F.array().cast("array<double>").alias("preds"),
+                       F.transform("w", lambda e: F.struct(*[e[c].alias(c) for c in SEQ_FEATURES])).alias("w"))
     for step in range(1, n_steps + 1):
-        x = state.withColumn("x_vec", array_to_vector(
-            F.flatten(F.transform("w", lambda e: F.array(e["price"], e["n"])))))
-        p = model.transform(x).select("k", F.date_add("d", 1).alias("d"), "w",
-                                      F.col("prediction").alias("price"))
-        out.append(p.select("k", F.lit(step).alias("step"), "d", "price"))
-        state = p.select("k", "d", F.concat(F.slice("w", 2, SEQ_W - 1), F.array(F.struct(
-            F.col("price"), F.element_at("w", -1)["n"].alias("n")))).alias("w"))
+        p = model.transform(state.withColumn("x_vec", _flat("w"))).select(
+            "k", "start", "d", "preds", "w", "prediction", *[F.element_at("w", -1)[c].alias(c) for c in SEQ_FEATURES])
+        nxt = FC.next_step_features(p, F.col("prediction"), "d", "price", SEQ_FEATURES)
+        new = F.struct(*[F.col(c).cast("double").alias(c) for c in SEQ_FEATURES])
+        state = nxt.select("k", "start", "d", F.concat("preds", F.array("prediction")).alias("preds"),
+                           F.concat(F.slice("w", 2, SEQ_W - 1), F.array(new)).alias("w"))
         if step % checkpoint_every == 0 and step < n_steps:
             state = cut_lineage(state)
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    out = state.select("k", "start", F.posexplode("preds").alias("pos", "price"))
+    return out.select("k", (F.col("pos") + 1).alias("step"), F.date_add("start", F.col("pos")).alias("d"), "price")
 
 
 @query("model_recursive_forecast")
@@ -237,40 +252,52 @@ def model_recursive_forecast(spark, sf):
 
 
 def _future_features(spark, sf, price_fc: DataFrame):
+    """J2 + N3: future rows with the forecast price, features over the history's tail and them."""
     d = base.daily(spark, sf)
-    last = W.last_row(d.select("k", "d", "demand", "n"), KEYS, "d")
-    fut = FC.future_rows(last, KEYS, "d", H).join(price_fc.drop("d"), ["k", "step"])
-    u = d.withColumn("step", F.lit(None).cast("int")).unionByName(fut.select(*d.columns, "step"))
+    last = W.last_row(d.select("k", "demand", "n", "d"), KEYS, "d").drop("d")
+    fut = price_fc.join(last, "k")
+    tail = W.last_rows(d, KEYS, "d", LOOKBACK)
+    u = tail.withColumn("step", F.lit(None).cast("int")).unionByName(fut.select(*d.columns, "step"))
     f = u.withColumns(W.feature_exprs(KEYS, ORDER, "d", "demand", "price",
                                       {"demand": "demand", "price": "price", "orders": "n"}))
-    return f.filter(F.col("step").isNotNull())
+    return f.filter(F.col("step").isNotNull()).withColumn("price_pred", F.col("price"))
+
+
+def forecast(spark, sf, start_date=None, n_days: int = H) -> dict[str, DataFrame]:
+    """N5 + N6, the whole job: the fitted price model recursively, its in-sample
+    predictions as a feature of the boosted demand model (L9), demand over the horizon.
+
+    ``days``: k, step, d, price, demand and trend arrows (unrounded, E11);
+    ``summary``: H2 + H3 per series; ``report``: the last 90 days and the forecast (A12).
+    ``start_date`` (default: the day after a series' last) and ``n_days`` set the horizon."""
+    price_model, pp = price_predictions(spark, sf)
+    d = base.daily(spark, sf)
+    attached = FC.attach_predictions(d.select("k", "d"), pp, KEYS, "d", "price_pred")
+    model, _, feats = _boosted(spark, sf, extra=attached)
+    fut = _future_features(spark, sf, model_price_forecast(spark, sf, n_days, start_date, model=price_model))
+    dem = model.transform(FC.horizon_fill(fut, feats, KEYS, "step")).select(
+        "k", "step", "d", "price", F.col("prediction").alias("demand"))
+    dem = cut_lineage(dem)  # three frames read it
+    w = W.series_window(KEYS, "step")
+    days = dem.withColumns({"price_trend": W.trend_expr("price", w), "demand_trend": W.trend_expr("demand", w)})
+    history = W.last_rows(d.select("k", "d", "price", "demand"), KEYS, "d", 90)
+    return {"days": days, "summary": stats.forecast_summary(dem, KEYS, "d", ["price", "demand"]),
+            "report": FC.append_forecast(history, dem.drop("step"))}
 
 
 @query("demand_forecast")
 def demand_forecast(spark, sf):
-    """Future feature frame from the price forecast (N3) -> fill chain
-    -> demand model."""
-    model, _, feats = _boosted(spark, sf)
-    fut = _future_features(spark, sf, price_forecast(spark, sf))
-    filled = FC.horizon_fill(fut, feats, KEYS, "step")
-    return model.transform(filled).select("k", "step", "d", "price", F.col("prediction").alias("demand"))
+    """Price forecast of the fitted model -> future feature frame (N3) -> fill
+    chain (N4) -> stacked demand model."""
+    return forecast(spark, sf)["days"].select("k", "step", "d", "price", "demand")
 
 
 @query("forecast_report")
 def forecast_report(spark, sf):
     """End-to-end job - recursive price forecast, demand forecast, trend
-    arrows and summary per series in one frame."""
-    model, _, feats = _boosted(spark, sf)
-    fut = _future_features(spark, sf, price_forecast(spark, sf))
-    dem = model.transform(FC.horizon_fill(fut, feats, KEYS, "step")).select(
-        "k", "step", "d", "price", F.col("prediction").alias("demand"))
-    w = W.series_window(KEYS, "step")
-    rep = dem.withColumns({"price_trend": W.trend_expr("price", w),
-                           "demand_trend": W.trend_expr("demand", w)})
-    summ = dem.groupBy("k").agg(F.avg("price").alias("price_mean"), F.avg("demand").alias("demand_mean"),
-                                F.stddev_pop("price").alias("price_volatility"),
-                                F.stddev_pop("demand").alias("demand_volatility"))
-    return rep.join(summ, "k")
+    arrows and the full summary per series in one frame."""
+    job = forecast(spark, sf)
+    return job["days"].join(job["summary"], "k")
 
 
 # ---------------------------------------------------------------- sensor scoring

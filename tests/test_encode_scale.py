@@ -54,3 +54,23 @@ def test_prefix_bucketed_codes_equal(spark):
     for n in (1, 12, 17):
         b = encode.fit_label_map(c, ["c_name", "c_mktsegment"], prefix_len=n)
         assert sorted(rows(a, "column", "value", "code")) == sorted(rows(b, "column", "value", "code"))
+
+
+def test_small_map_is_broadcast_and_large_map_joined(spark, monkeypatch):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(["b", "a", None, "c", "a"])], "i int, x string")
+    m = encode.fit_label_map(df, ["x"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = encode.encode(df, m, ["x"])
+        assert "Exchange hashpartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+        expected = sorted(rows(small, "i", "x"))
+        for name, value in (("MOST_MAP_ROWS", 2), ("MOST_VALUE_BYTES", 0)):
+            with monkeypatch.context() as patch:
+                patch.setattr(encode, name, value)
+                large = encode.encode(df, m, ["x"])
+                assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+                assert sorted(rows(large, "i", "x")) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert expected == [(0, 1), (1, 0), (2, 3), (3, 2), (4, 0)]

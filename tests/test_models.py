@@ -1,11 +1,14 @@
+import datetime as dt
 import os
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from seriesflow.plans import models as M
+from seriesflow.plans import queries_models as Q
 from seriesflow.plans.queries_models import RECO_CAT, RECO_FEATURES, RECO_KEYS, reco_table
 from seriesflow.session import checkpoint_dir
 
@@ -34,3 +37,61 @@ def test_unseen_category_scores_without_error(spark):
                                 "l_discount double, l_tax double, l_returnflag string, l_linestatus string")
     out = M.score(rec, one.drop("l_tax"), keep=RECO_KEYS).collect()   # l_tax missing -> 0
     assert len(out) == 1 and out[0]["recommendation"] is not None
+
+
+def test_best_round_stops_by_patience():
+    assert M.best_round([5.0, 4.0, 3.0, 3.5, 3.2], 100) == 3
+    assert M.best_round([5.0, 4.0, 4.5, 4.6, 1.0], 2) == 2
+    assert M.best_round([5.0, 4.0, 4.5, 4.6, 1.0], 3) == 5
+    assert M.best_round([1.0], 1) == 1
+
+
+def test_boosting_keeps_the_best_round(spark):
+    rows_ = [(float(i % 17), float((i * 7) % 11), float(i % 17) * 2 + (i % 5), i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows_, "a double, b double, y double, is_valid boolean")
+    model = M.fit_boosted(df, ["a", "b"], "y", "is_valid", maxIter=12, stepSize=0.5, maxDepth=3, subsamplingRate=1.0, seed=1)
+    kept = model.stages[-1].getNumTrees
+    whole = M.fit_boosted(df.filter("NOT is_valid"), ["a", "b"], "y", maxIter=12, stepSize=0.5, maxDepth=3, subsamplingRate=1.0, seed=1)
+    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(df.filter("is_valid")), "squared")
+    assert kept == int(np.argmin(errors)) + 1
+    valid = df.filter("is_valid")
+    assert M.rmse(model.transform(valid), "y") ** 2 == pytest.approx(min(errors))
+    assert M.rmse(model.transform(valid), "y") < valid.selectExpr("stddev_pop(y)").first()[0]
+
+
+def test_price_forecast_equals_a_plain_loop(spark):
+    model, _ = Q.price_predictions(spark, SF001)
+    weights, bias = model.coefficients.toArray(), model.intercept
+    history = {}
+    for r in Q.seq_rows(spark, SF001).orderBy("k", "d").collect():
+        history.setdefault(r["k"], []).append((r["d"], [r[c] for c in Q.SEQ_FEATURES]))
+    got = {}
+    for r in Q.model_price_forecast(spark, SF001, n_steps=4, start_date="2030-03-08", model=model).collect():
+        got.setdefault(r["k"], {})[r["step"]] = (r["d"], r["price"])
+    assert set(got) == {k for k, h in history.items() if len(h) >= Q.SEQ_W} and got
+    for k, steps in got.items():
+        window = [x for _, x in history[k][-Q.SEQ_W:]]
+        for step in range(1, 5):
+            y = float(np.concatenate(window) @ weights + bias)
+            day = dt.date(2030, 3, 7) + dt.timedelta(step)
+            assert steps[step][0] == day and steps[step][1] == pytest.approx(y)
+            m, w = 2 * np.pi * day.month / 12, 2 * np.pi * day.weekday() / 7
+            window = window[1:] + [[y, window[-1][1], y - window[-1][0], np.sin(m), np.cos(m), np.sin(w), np.cos(w),
+                                    float(day.weekday() >= 5), day.timetuple().tm_yday / 365]]
+
+
+def test_forecast_job_follows_start_and_horizon(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SMALL_BOOST", dict(maxIter=3, stepSize=0.3, maxDepth=2))
+    job = Q.forecast(spark, SF001, "2031-01-30", 3)
+    days = rows(job["days"].orderBy("k", "step"), "k", "step", "d", "price", "demand", "price_trend")
+    assert {(s, d.isoformat()) for _, s, d, *_ in days} == {(1, "2031-01-30"), (2, "2031-01-31"), (3, "2031-02-01")}
+    assert all(p is not None and q is not None for *_, p, q, _ in days)
+    for (k, s, _, p, _, t), (_, _, _, before, _, _) in zip(days[1:], days):
+        assert t == ("flat" if s == 1 or p == before else "up" if p > before else "down")
+    summary = job["summary"].collect()
+    assert len(summary) * 3 == len(days)
+    for r in summary:
+        mine = [p for k, _, _, p, *_ in days if k == r["k"]]
+        assert r["n_steps"] == 3 and r["price_mean"] == pytest.approx(np.mean(mine)) and r["price_range"] == pytest.approx(max(mine) - min(mine))
+    assert job["report"].filter("kind = 'forecast'").count() == len(days)
+    assert job["report"].filter("kind = 'history'").groupBy("k").count().agg(F.max("count")).first()[0] <= 90
