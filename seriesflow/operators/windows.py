@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from seriesflow.functions.calendar import calendar_exprs
 from seriesflow.functions.numeric import col_
+from seriesflow.session import cut_lineage
 
 # Fixed values of the forecasting feature set: rolling window lengths, the
 # rolling std length, difference and relative-change offsets, lag count.
@@ -204,6 +205,23 @@ def sequences(df: DataFrame, keys, order, features: Sequence[str], target: str,
             .withColumn("y", F.col(target)))
 
 
+#: The column ``range_buckets`` adds.
+RANGE = "_range"
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None = None) -> DataFrame:
+    """``df`` with a bucket column ``RANGE`` that never decreases along ``order`` in a series.
+
+    Spark cuts the rows into ``n`` (default: the shuffle partitions) ranges of
+    (keys, order) of about equal size, so a series holding a third of all rows
+    spreads over a third of the buckets, however crowded its times are, and
+    ``keys`` may be empty. Rows equal in (keys, order) share a bucket. The cuts
+    come from samples, so the frame is checkpointed: all later readers, and
+    recomputed tasks, see the same buckets."""
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn(RANGE, F.spark_partition_id()))
+
+
 def chunked_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                    exprs, lookback: int, chunk_rows: int = 100_000) -> DataFrame:
     """Row-frame window features for series too long (or too skewed) for one task.
@@ -211,7 +229,7 @@ def chunked_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     Exact re-plan of ``df.withColumns(exprs(Window.partitionBy(keys).orderBy(order)))``
     for frames that look at most ``lookback`` rows back and never forward:
 
-    1. ``bucket`` (never decreasing along ``order``, e.g. a day) splits each
+    1. ``bucket`` (never decreasing along ``order``, e.g. of ``range_buckets``) splits each
        series; rows are numbered inside (series, bucket) - spread over tasks;
     2. bucket sizes (an aggregate) -> running offsets over the small bucket
        table -> a global row number ``rn`` per series;

@@ -19,8 +19,9 @@ GK, GO = base.GAPPY_KEYS, base.GAPPY_ORDER
 W_GAPPY = "PARTITION BY user_id ORDER BY ts, event_id"
 
 
-def _day_bucket():
-    return F.date_trunc("day", F.col("ts"))
+def _gappy_buckets(spark, sf):
+    """``gappy`` in range-cut buckets: no user and no crowded hour fills a task."""
+    return W.range_buckets(base.gappy(spark, sf), GK, GO)
 
 
 # ---------------------------------------------------------------- A: scans
@@ -152,9 +153,9 @@ _FF = f"last_value(v IGNORE NULLS) OVER ({W_GAPPY} ROWS BETWEEN UNBOUNDED PRECED
 @query("forward_fill", f"""WITH {GAPPY_CTE}
 SELECT user_id, event_id, ts, {r6('v')} AS v, {r6(_FF)} AS v_ffill FROM gappy""")
 def forward_fill(spark, sf):
-    """C1 on per-user event series, skew-safe bucketed plan (day buckets)."""
-    g = base.gappy(spark, sf)
-    return clean.forward_fill(g, ["v"], GK, GO, bucket=_day_bucket(), suffix="_ffill")
+    """C1 on per-user event series, skew-safe plan in range-cut buckets."""
+    g = _gappy_buckets(spark, sf)
+    return clean.forward_fill(g, ["v"], GK, GO, bucket=F.col(W.RANGE), suffix="_ffill").drop(W.RANGE)
 
 
 @query("backward_fill", f"""WITH {GAPPY_CTE}, f AS (SELECT *, {_FF} AS v_ffill FROM gappy)
@@ -163,10 +164,26 @@ SELECT user_id, event_id, ts, {r6('v')} AS v, {r6('v_ffill')} AS v_ffill,
 FROM f""")
 def backward_fill(spark, sf):
     """C1 then C2 (bfill only reaches the leading gap), bucketed plan."""
-    g = base.gappy(spark, sf)
-    f = clean.forward_fill(g, ["v"], GK, GO, bucket=_day_bucket(), suffix="_ffill")
+    g = _gappy_buckets(spark, sf)
+    f = clean.forward_fill(g, ["v"], GK, GO, bucket=F.col(W.RANGE), suffix="_ffill")
     return clean.backward_fill(f.withColumn("v_bfill", F.col("v_ffill")), ["v_bfill"], GK, GO,
-                               bucket=_day_bucket())
+                               bucket=F.col(W.RANGE)).drop(W.RANGE)
+
+
+_W_ALL = "ORDER BY ts, event_id"
+_FF_ALL = f"last_value(v IGNORE NULLS) OVER ({_W_ALL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+@query("unkeyed_fill_roll", f"""WITH {GAPPY_CTE}, f AS (SELECT *, {_FF_ALL} AS v_ffill FROM gappy)
+SELECT user_id, event_id, ts, {r6('v')} AS v, {r6('v_ffill')} AS v_ffill,
+  {r6(roll_mean('v_ffill', 7, _W_ALL))} AS v_ffill_roll7, {r6(lag('v_ffill', 1, _W_ALL))} AS v_ffill_lag1 FROM f""")
+def unkeyed_fill_roll(spark, sf):
+    """C1, E1 and E2 over one series without a key (all events in time order), in range-cut buckets and chunks."""
+    g = W.range_buckets(base.gappy(spark, sf), [], GO)
+    f = clean.forward_fill(g, ["v"], [], GO, bucket=F.col(W.RANGE), suffix="_ffill")
+    return W.chunked_window(f, [], GO, F.col(W.RANGE), lambda w: {
+        **W.rolling_mean_exprs({"v_ffill": "v_ffill"}, [7], w), "v_ffill_lag1": F.lag("v_ffill", 1).over(w)},
+        lookback=6, chunk_rows=4096).drop(W.RANGE)
 
 
 @query("median_fill", f"""WITH {GAPPY_CTE}, f AS (SELECT *, {_FF} AS v_ffill FROM gappy),
@@ -175,8 +192,8 @@ SELECT f.user_id, event_id, ts, {r6('v')} AS v, {r6('coalesce(v_ffill, med)')} A
 FROM f JOIN m USING (user_id)""")
 def median_fill(spark, sf):
     """C1 then C3: what ffill leaves is filled with the median of the column *before* ffill."""
-    g = base.gappy(spark, sf)
-    f = clean.forward_fill(g, ["v"], GK, GO, bucket=_day_bucket(), suffix="_filled")
+    g = _gappy_buckets(spark, sf)
+    f = clean.forward_fill(g, ["v"], GK, GO, bucket=F.col(W.RANGE), suffix="_filled").drop(W.RANGE)
     return clean.fill_with_stats(f, g.select("user_id", F.col("v").alias("v_filled")),
                                  ["v_filled"], GK, "median")
 
@@ -217,10 +234,10 @@ SELECT user_id, event_id,
   CAST({_san('x[3]')} AS DOUBLE) AS x2 FROM s""")
 def sanitize_sequences(spark, sf):
     """Detect NaN/NULL in a window array, then NaN/NULL -> 0, +-inf -> +-max double."""
-    g = base.gappy(spark, sf)
+    g = _gappy_buckets(spark, sf)
     last = (F.when(F.col("v") > 400, F.lit(float("inf")))
             .when(F.col("v") < 25, F.lit(float("-inf"))).otherwise(F.col("v")))
-    s = W.chunked_window(g, GK, GO, _day_bucket(), lambda w: {
+    s = W.chunked_window(g, GK, GO, F.col(W.RANGE), lambda w: {
         "x": F.array(F.lag("v", 2).over(w), F.lag("v", 1).over(w), last)}, lookback=2)
     s = s.select("user_id", "event_id", has_missing("x").alias("has_missing"),
                  sanitize_array("x").alias("x"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesflow.functions.text import decode_line
 from seriesflow.operators import sensors as S
+from seriesflow.operators import windows as W
 from seriesflow.plans import base
 from seriesflow.plans.registry import ORACLE, query
 from seriesflow.plans.sqlgen import LINES_CTE, r6
@@ -68,9 +69,9 @@ SELECT device_id, event_ts, seq, line, kind, {r6('value')} AS value, status,
   {', '.join(f'{r6(_carry(k))} AS {k}' for k in S.KINDS)} FROM parsed""")
 def latest_readings(spark, sf):
     """O2 batch twin: latest value per kind carried along each device's lines
-    (skew-safe bucketed carry, hour buckets)."""
-    return S.latest_readings(parsed_lines(spark, sf), LK, LO,
-                             bucket=F.date_trunc("hour", F.col("event_ts")))
+    (skew-safe carry in range-cut buckets)."""
+    p = W.range_buckets(parsed_lines(spark, sf), LK, LO)
+    return S.latest_readings(p, LK, LO, bucket=F.col(W.RANGE)).drop(W.RANGE)
 
 
 @query("complete_readings", f"""WITH {PARSED_SQL},

@@ -8,6 +8,7 @@ local runs (tests, bench) set one, and only when it is unset.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,7 +52,7 @@ def checkpoint_dir(spark: SparkSession, create_local: bool = False) -> str:
         return d
     conf = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not conf:
-        if not create_local and not sc.master.startswith("local"):
+        if not create_local and not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) visible to every executor")

@@ -100,3 +100,34 @@ def test_lag_one_bucketed_equals_plain(spark):
     plain = e.withColumn("value_lag1", F.lag("value", 1).over(W.series_window(["user_id"], ["ts", "event_id"])))
     b = W.lag_one(e, "value", ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
     assert sorted(rows(b, "event_id", "value_lag1")) == sorted(rows(plain, "event_id", "value_lag1"))
+
+
+def _one_hot_hour(spark, n=900):
+    """A third of all rows: one series inside one hour; some values missing, one row without a key's neighbours."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.pmod(F.xxhash64("id"), F.lit(3600))).otherwise(F.col("id") * 5000).alias("t"), "id",
+        F.when(F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(4)) > 0, F.col("id").cast("double")).alias("v"))
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_range_buckets_equal_the_plain_windows(spark, keys):
+    from seriesflow.operators import clean
+    df, order = _one_hot_hour(spark), ["t", "id"]
+
+    def feats(w):
+        return {**W.rolling_mean_exprs({"f": "v_f"}, [5], w), "lag1": F.lag("v_f", 1).over(w)}
+    plain = clean.backward_fill(clean.forward_fill(df, ["v"], keys, order, suffix="_f"), ["v"], keys, order, suffix="_b")
+    plain = plain.withColumns(feats(W.series_window(keys, order)))
+    cut = W.range_buckets(df, keys, order, 12)
+    assert cut.filter("k = 'hot'").select(W.RANGE).distinct().count() >= 3
+    assert cut.groupBy(W.RANGE).count().agg(F.max("count")).first()[0] < 3 * 900 / 12
+    b = F.col(W.RANGE)
+    mine = clean.backward_fill(clean.forward_fill(cut, ["v"], keys, order, b, suffix="_f"), ["v"], keys, order, b, suffix="_b")
+    mine = W.chunked_window(mine, keys, order, b, feats, lookback=4, chunk_rows=50).drop(W.RANGE)
+    order_by = plain.columns.index("id")
+    key = lambda r: r[order_by]
+    assert sorted(rows(mine, *plain.columns), key=key) == sorted(rows(plain), key=key)
+    lagged = W.lag_one(cut, "v", keys, order, b).drop(W.RANGE)
+    expected = df.withColumn("v_lag1", F.lag("v", 1).over(W.series_window(keys, order)))
+    assert sorted(rows(lagged, "id", "v_lag1")) == sorted(rows(expected, "id", "v_lag1"))
