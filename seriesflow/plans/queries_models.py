@@ -8,9 +8,9 @@ Fixtures derived from the driver tables:
 * sensor table: complete carried readings of ``lines`` with the event type
   of each line as the class.
 
-Tree counts of the registered queries are smaller than the reference's
-(library defaults keep the reference values) so that the whole suite runs
-in minutes; every query still reads the whole tables.
+``forest_custom``, the grid and the boosted queries fit fewer trees, settings
+and rounds than the library's defaults (see README); every query reads the
+whole tables.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ RECO_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RECO_CAT = ["l_returnflag", "l_linestatus"]
 RECO_FEATURES = RECO_NUM + RECO_CAT
 RECO_KEYS = ["l_orderkey", "l_linenumber"]
-SMALL_FOREST = dict(numTrees=20, maxDepth=6, seed=42)
 SMALL_BOOST = dict(maxIter=30, stepSize=0.1, maxDepth=5)
 KEYS, ORDER = base.DAILY_KEYS, base.DAILY_ORDER
 SEQ_W = 21
@@ -79,7 +78,7 @@ def forest_custom(spark, sf):
 @query("forest_metrics")
 def forest_metrics(spark, sf):
     """M9 on the forest: accuracy and weighted precision / recall / F1 on the test part."""
-    s = _scored(spark, sf, **SMALL_FOREST)
+    s = _scored(spark, sf)
     return metrics.classification_metrics(s, "priority", "recommendation")
 
 
@@ -96,7 +95,7 @@ def forest_grid_search(spark, sf):
 def artifact_roundtrip(spark, sf):
     """Save the bundle to the shared checkpoint folder, check the parts,
     load it back and score: predictions must equal the in-memory model's."""
-    rec, test = _fit_reco(spark, sf, **SMALL_FOREST)
+    rec, test = _fit_reco(spark, sf)
     path = os.path.join(checkpoint_dir(spark), "artifacts", uuid.uuid4().hex[:12])
     rec.save(path)
     loaded = M.Recommender.load(spark, path)
@@ -112,7 +111,7 @@ def artifact_roundtrip(spark, sf):
 def score_records(spark, sf):
     """Batch scoring through the saved artifacts (safe encode, align, scale,
     predict, decode) of every test row."""
-    rec, test = _fit_reco(spark, sf, **SMALL_FOREST)
+    rec, test = _fit_reco(spark, sf)
     path = os.path.join(checkpoint_dir(spark), "artifacts", uuid.uuid4().hex[:12])
     rec.save(path)
     return M.score(M.Recommender.load(spark, path), test, keep=RECO_KEYS)
@@ -312,8 +311,7 @@ def sensor_recommender(spark, sf):
     ev = read_table(spark, sf, "events").select(F.col("event_id").alias("seq"), "event_type")
     t = lat.dropna(subset=KINDS).join(ev, "seq").withColumns(
         {k: F.lit(v) for k, v in STREAM_CONSTANTS.items()})
-    return M.fit_recommender(t, KINDS + ["stage", "purpose"], ["stage", "purpose"], "event_type",
-                             **SMALL_FOREST)
+    return M.fit_recommender(t, KINDS + ["stage", "purpose"], ["stage", "purpose"], "event_type")
 
 
 @query("score_stream", round_output=False)
