@@ -10,6 +10,8 @@ from seriesflow.llm.common import materialize
 MARGINS = ("source", "lang", "topic")
 #: Target share of a value: its token share to this power, normalised (1: as it is, 0: all alike).
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.7}
+#: Share of all tokens that sampling keeps.
+KEEP = 0.6
 TOPICS = 8
 
 
@@ -20,7 +22,8 @@ def topic_of(text):
     return F.concat(F.lit("t"), F.pmod(F.crc32(F.substring(word, 1, 3).cast("binary")), F.lit(TOPICS)).cast("string"))
 
 
-def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12, tolerance: float = 1e-6) -> DataFrame:
+def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12, tolerance: float = 1e-6,
+         keep: float | None = None) -> DataFrame:
     """``cells`` (the margins' columns, tokens) plus weight: tokens raked to the ``targets`` (margin, value, share).
 
     One step scales the weights of all cells that share a margin's value so
@@ -28,24 +31,60 @@ def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12
     Sweeps end when no margin is off by more than ``tolerance`` of the total,
     or after ``sweeps``. Weights sum to 1. Cells with no tokens stay at 0;
     a value of no target keeps its tokens' share.
+
+    With ``keep`` weights sum to ``keep``, as the targets must, and no cell
+    weighs more than its tokens' share: a cell that reaches it is whole, and a
+    step scales the open cells of a value to what the whole ones leave of its
+    target. A whole cell opens again where later steps scale it down.
     """
-    whole = Window.partitionBy(F.lit(0))
-    out = cells.groupBy(*margins).agg(F.sum("tokens").cast("double").alias("tokens"))
-    out = out.withColumn("weight", F.col("tokens") / F.sum("tokens").over(whole))
+    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
+    out = cells.groupBy(*margins).agg(F.sum("tokens").cast("double").alias("tokens")).withColumn("__own", F.col("tokens") / total)
+    out = out.withColumn("weight", F.col("__own") * (1.0 if keep is None else keep))
     for m in margins:
         t = targets.where(F.col("margin") == m).select(F.col("value").alias(m), F.col("share").alias(f"__{m}"))
         out = out.join(t, m, "left").withColumn(f"__{m}", F.coalesce(f"__{m}", F.sum("weight").over(Window.partitionBy(m))))
     out = materialize(out, "rake-cells")
+    most = F.lit(float("inf")) if keep is None else F.col("__own")
+    part = F.least("weight", most)
     for sweep in range(sweeps):
+        out = out.withColumn("__off", F.lit(0.0))
         for m in margins:
-            now = F.sum("weight").over(Window.partitionBy(m))
-            out = out.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * F.col(f"__{m}") / now).otherwise(0.0))
-        out = materialize(out, "rake-cells")
-        off = [out.groupBy(m).agg(F.abs(F.sum("weight") - F.first(f"__{m}")).alias("off")) for m in margins]
-        worst = max(d.agg(F.max("off")).first()[0] or 0.0 for d in off)
-        if worst <= tolerance:
+            value, goal = Window.partitionBy(m), F.col(f"__{m}")
+            out = out.withColumns({"__now": F.sum(part).over(value),
+                                   "__open": F.sum(F.when(F.col("weight") < most, F.col("weight")).otherwise(0.0)).over(value)})
+            now, free = F.col("__now"), F.col("__open")
+            left = goal - (now - free)  # of the target, for the open cells
+            scale = (F.when((free > 0) & (left > 0), left / free).when((now > goal) & (now > 0), goal / now).otherwise(1.0))
+            out = out.withColumns({"weight": F.col("weight") * scale, "__off": F.greatest("__off", F.abs(now - goal))})
+        out = materialize(out.drop("__now", "__open"), "rake-cells")
+        if (out.agg(F.max("__off")).first()[0] or 0.0) <= tolerance:
             break
-    return out.drop(*[f"__{m}" for m in margins])
+    return out.withColumn("weight", part).drop("__own", "__off", *[f"__{m}" for m in margins])
+
+
+def attainable(cells: DataFrame, targets: DataFrame, keep: float, margins=MARGINS) -> DataFrame:
+    """Targets (margin, value, share) in shares of all tokens that sum to ``keep`` and that no value's tokens fall short of.
+
+    A value with fewer tokens than its target asks for is taken whole, and what
+    it lacks goes to the margin's other values, in proportion to their targets.
+    """
+    from functools import reduce
+    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
+    parts = [cells.groupBy(F.col(m).alias("value")).agg((F.sum("tokens") / total).alias("own")).select(F.lit(m).alias("margin"), "value", "own")
+             for m in margins]
+    have = reduce(DataFrame.unionByName, parts).join(targets, ["margin", "value"], "left")
+    have = materialize(have.select("margin", "value", "own", F.coalesce("share", "own").alias("share")), "rake-targets")
+    level = dict.fromkeys(margins, 0.0)
+    while True:
+        asked = F.col("share") * reduce(lambda c, m: F.when(F.col("margin") == m, level[m]).otherwise(c), margins, F.lit(0.0))
+        whole = F.col("own") <= asked
+        sums = have.groupBy("margin").agg(F.sum(F.when(whole, F.col("own")).otherwise(0.0)).alias("held"),
+                                          F.sum(F.when(whole, 0.0).otherwise(F.col("share"))).alias("open")).collect()  # one row a margin
+        rise = {r.margin: (keep - r.held) / r.open for r in sums if r.open > 0}
+        rise = {m: x for m, x in rise.items() if x > level[m] * (1 + 1e-12)}
+        if not rise:  # each round takes more values whole, or is the last
+            return have.select("margin", "value", F.least("own", asked).alias("share"))
+        level |= rise
 
 
 def tempered_targets(cells: DataFrame, temper: dict[str, float] = TEMPER) -> DataFrame:
@@ -57,13 +96,17 @@ def tempered_targets(cells: DataFrame, temper: dict[str, float] = TEMPER) -> Dat
     return reduce(DataFrame.unionByName, parts).select("margin", "value", (F.col("w") / F.sum("w").over(w)).alias("share"))
 
 
-def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, targets: DataFrame | None = None, salt: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, targets: DataFrame | None = None, salt: str = "mix",
+        keep: float = KEEP) -> DataFrame:
     """``docs`` plus topic, n_tokens, probability, sampled.
 
     Tokens are words. Cells of (source, lang, topic) hold their token sums; raking
     gives each cell a factor (raked share / own share). A document is sampled
-    with probability factor / largest factor, so expected token shares meet the
-    targets (``tempered_targets`` unless given) and no document repeats. The
+    with probability min(1, c * factor), where c is such that ``keep`` of all
+    tokens are expected to stay: cells at 1 are kept whole and the open ones
+    are raked again, so a rare cell scales no other. Expected token shares meet
+    the targets (``tempered_targets`` unless given) but for values with fewer
+    tokens than their target asks for (``attainable``). No document repeats. The
     draw is the md5 of doc_id and ``salt`` against the probability: the same
     in every run. Null source or lang is a value of its own (``-``); null or
     empty texts have no tokens and probability 1; rows with a null doc_id or
@@ -75,11 +118,11 @@ def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, targets: DataFrame |
         "__source": F.coalesce(F.col("source"), F.lit("-")), "__lang": F.coalesce(F.col("lang"), F.lit("-"))})
     cells = materialize(keyed.groupBy(F.col("__source").alias("source"), F.col("__lang").alias("lang"), "topic")
                         .agg(F.sum("n_tokens").alias("tokens")), "rake-tokens")
-    raked = rake(cells, targets if targets is not None else tempered_targets(cells, temper))
-    whole = Window.partitionBy(F.lit(0))
-    factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    raked = materialize(raked.withColumn("__p", factor / F.max(factor).over(whole))
-                        .select(F.col("source").alias("__source"), F.col("lang").alias("__lang"), "topic", "__p"), "rake-factors")
+    total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 1.0
+    goals = attainable(cells, targets if targets is not None else tempered_targets(cells, temper), keep)
+    share = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * total / F.col("tokens")))
+    raked = materialize(rake(cells, goals, keep=keep).select(F.col("source").alias("__source"), F.col("lang").alias("__lang"), "topic",
+                                                             share.alias("__p")), "rake-factors")
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(salt)).cast("binary")), 1, 12),
                   16, 10).cast("double") / float(16 ** 12)
     joined = keyed.join(raked, ["__source", "__lang", "topic"], "left")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -6,7 +7,7 @@ from edge import EDGE, edge_docs, empty_docs, lower, table
 
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.radix_dedup import keep_first, radix_dedup
-from seriesflow.llm.raking import mix, rake
+from seriesflow.llm.raking import KEEP, mix, rake
 from seriesflow.llm.sharding import balanced_shards, cut_edges
 
 
@@ -149,3 +150,57 @@ def test_mix_samples_by_probability(spark):
     got = mix(edge_docs(spark)).collect()
     assert len(got) == len(EDGE) and all(r.probability == 1.0 and r.sampled for r in got if not (r.text or "").split())
     assert mix(empty_docs(spark)).count() == 0
+
+
+def capped_rake(tokens, keep, temper=0.7, sweeps=200):
+    """Brute force: each cell's probability, a value's scale found by bisection instead of a step."""
+    total = sum(tokens.values())
+    own, goal = {k: n / total for k, n in tokens.items()}, []
+    for at in range(3):
+        have = Counter()
+        for k, x in own.items():
+            have[k[at]] += x
+        power, low, high = {v: x ** temper for v, x in have.items()}, 0.0, 1e9
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(x, mid * power[v]) for v, x in have.items()) < keep else (low, mid)
+        goal.append({v: min(x, high * power[v]) for v, x in have.items()})
+    scale = [dict.fromkeys(g, 1.0) for g in goal]
+    for _ in range(sweeps):
+        for at in range(3):
+            for v, x in goal[at].items():
+                mine = [(own[k], own[k] * math.prod(scale[i][k[i]] for i in range(3) if i != at)) for k in own if k[at] == v]
+                low, high = 0.0, 1e3
+                for _ in range(60):
+                    mid = (low + high) / 2
+                    low, high = (mid, high) if sum(min(o, mid * w) for o, w in mine) < x else (low, mid)
+                scale[at][v] = high
+    return {k: min(1.0, math.prod(scale[i][k[i]] for i in range(3))) for k in own}
+
+
+def test_a_rare_source_scales_no_other(spark):
+    """One 100-word document of a source of its own leaves the others' probabilities as they are."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    rare = spark.createDataFrame([(-1, "telling " * 100, "en", "rare")], docs.schema)
+    plain, out = mix(docs).collect(), mix(docs.union(rare)).collect()
+    for got in (plain, out):
+        words = sum(r.n_tokens for r in got)
+        assert abs(sum(r.n_tokens * r.probability for r in got) / words - KEEP) < 1e-4
+        assert abs(sum(r.n_tokens for r in got if r.sampled) / words - KEEP) < 0.1
+    before = {r.doc_id: r.probability for r in plain}
+    assert all(abs(r.probability - before[r.doc_id]) < 0.01 for r in out if r.source != "rare")
+    assert [r.sampled for r in out if r.source == "rare"] == [True]
+
+
+def test_mix_equals_brute_force(spark):
+    words = {("a", "u"): 900, ("a", "v"): 400, ("b", "u"): 300, ("b", "v"): 700, ("c", "u"): 3, ("d", "v"): 40}
+    texts = ["alpha", "gamma", "omega"]
+    docs = [(i, f"{w} " * (n + 7 * j), x, s) for i, (((s, x), n), (j, w)) in
+            enumerate((c, t) for c in words.items() for t in enumerate(texts))]
+    got = mix(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()
+    tokens = Counter()
+    for r in got:
+        tokens[r.source, r.lang, r.topic] += r.n_tokens
+    want = capped_rake(tokens, KEEP)
+    assert all(abs(r.probability - want[r.source, r.lang, r.topic]) < 1e-3 for r in got)
+    assert sum(p == 1 for p in want.values()) and min(want.values()) < 0.9
