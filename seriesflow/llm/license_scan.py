@@ -49,6 +49,36 @@ def template_table(spark: SparkSession, k: int = K) -> DataFrame:
     return spark.createDataFrame(rows, "hash long, template int, label string, base boolean, place int, grams int, gram string")
 
 
+def chains(hits: list[tuple[int, int]], grams: int) -> list[tuple[int, int, float]]:
+    """(first word, last word, cover) of the longest chains of ``hits`` (position in the text, place in the notice).
+
+    Position and place rise along a chain, and the diagonal moves by at most
+    BAND from one hit to the next. Of equally long chains the one that begins
+    last counts, then the one that ends first; the text before and after it is searched again.
+    """
+    spans, parts = [], [sorted(hits)]
+    while parts:
+        part, best, low = parts.pop(), [], 0
+        for k, (at, place) in enumerate(part):
+            while at - part[low][0] > grams + BAND:
+                low += 1
+            n, first = 0, at
+            for j in range(low, k):
+                x, q = part[j]
+                if x < at and q < place and abs((at - place) - (x - q)) <= BAND and best[j] > (n, first if n else -1):
+                    n, first = best[j]
+            best.append((n + 1, first))
+        if not part:
+            continue
+        k = max(range(len(part)), key=lambda i: (*best[i], -part[i][0]))
+        n, first = best[k]
+        if n >= LEAST_COVER * grams:
+            last = part[k][0] + K - 1
+            spans.append((first, last, n / grams))
+            parts += [[h for h in part if h[0] + K - 1 < first], [h for h in part if h[0] > last]]
+    return spans
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, spans).
 
@@ -61,7 +91,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     (position in the text minus position in the template). A base phrase
     stands where its diagonal has all its k-grams. For longer notices
     neighbouring diagonals (up to 3 words apart) merge, so changed, added or
-    dropped words split no span; a span counts when it covers 60 % of the
+    dropped words split no span. A merged span is checked again: its k-grams
+    must follow each other in the text as in the notice (``chains``), which
+    drops stray hits of repeated k-grams. It counts when it covers 60 % of the
     notice's k-grams. ``score`` is the best cover of any span.
 
     Null texts count as empty and have no words; rows with the same doc_id and
@@ -119,19 +151,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     exact = votes.where("base and size(places) = grams").select(
         "doc_id", "key", "template", "label", "base", F.col("diagonal").cast("long").alias("first"),
         (F.col("diagonal") + F.col("grams") + (K - 2)).cast("long").alias("last"), F.lit(1.0).alias("cover"))
-    # Neighbouring diagonals of one document and notice: a new span starts where the next diagonal is more
-    # than BAND away, or starts again at words the span has passed.
-    w = Window.partitionBy("doc_id", "key", "template").orderBy("begin", "diagonal")
-    notice = votes.where("not base").withColumn("begin", F.col("diagonal") + F.col("low"))
-    notice = notice.withColumn("new", F.coalesce(
-        ((F.abs(F.col("diagonal") - F.lag("diagonal").over(w)) > BAND) | (F.col("begin") - F.lag("begin").over(w) > F.col("grams") + BAND)).cast("int"),
-        F.lit(1)))
-    merged = (notice.withColumn("span", F.sum("new").over(w)).groupBy("doc_id", "key", "template", "label", "base", "grams", "span")
-              .agg(F.min("begin").alias("first"), F.max(F.col("diagonal") + F.col("high") + K - 1).alias("last"),
-                   F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n")))
-    spans = exact.unionByName(merged.where(F.col("n") >= LEAST_COVER * F.col("grams")).select(
-        "doc_id", "key", "template", "label", "base", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"),
-        (F.col("n") / F.col("grams")).alias("cover")))
+    # Diagonals of one document and notice, in order: a cluster ends where the next one is more than BAND away, so a chain
+    # lies in one cluster, and one with too few places holds none.
+    w = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
+    notice = votes.where("not base").withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(w) > BAND).cast("int"), F.lit(1)))
+    merged = (notice.withColumn("cluster", F.sum("new").over(w)).groupBy("doc_id", "key", "template", "label", "base", "grams", "cluster")
+              .agg(F.collect_list(F.struct(F.col("diagonal").cast("long").alias("diagonal"), "places")).alias("votes"),
+                   F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"))
+              .where(F.col("n") >= LEAST_COVER * F.col("grams")).drop("cluster", "n"))
+
+    def verify(batches):
+        for batch in batches:
+            found = [(i, *span) for i, (votes, grams) in enumerate(zip(batch.column("votes").to_pylist(), batch.column("grams").to_pylist()))
+                     for span in chains([(v["diagonal"] + q, q) for v in votes for q in v["places"]], grams)]
+            rows, first, last, cover = map(list, zip(*found)) if found else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "key", "template", "label", "base")]
+                + [pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(cover, pa.float64())],
+                names=["doc_id", "key", "template", "label", "base", "first", "last", "cover"])
+
+    spans = exact.unionByName(merged.mapInArrow(
+        verify, f"doc_id {kind}, key long, template int, label string, base boolean, first long, last long, cover double"))
     found = spans.groupBy("doc_id", "key").agg(
         F.count(F.when(F.col("base"), 1)).alias("n_base"), F.min(F.when(F.col("base"), F.col("first"))).alias("first_word"),
         F.max(F.when(F.col("base"), F.col("first"))).alias("last_word"),

@@ -7,7 +7,7 @@ import public_tokenizers
 from edge import EDGE, edge_docs, empty_docs, lower, table
 from tokenizers import Tokenizer
 
-from seriesflow.llm.license_scan import BASE, scan
+from seriesflow.llm.license_scan import BASE, NOTICES, chains, scan
 from seriesflow.llm.packing import harmonic_pieces, pack
 
 SF = "/root/testdata/sf0.001"
@@ -46,6 +46,39 @@ def test_notices_with_changed_words(spark):
     assert span["first"] == 3 and 20 <= span["last"] <= 24
 
 
+def test_notices_with_any_one_word_edit(spark):
+    """Every insertion, deletion and change of one word of every notice, between other texts with its repeated words."""
+    rows, want = [], {}
+    for label, text in NOTICES:
+        words, grams = text.split(), len(text.split()) - 1
+        edits = [(words, grams)]
+        for k in range(len(words)):
+            hit = grams - (1 if k in (0, grams) else 2)  # k-grams of two words that a change or a deletion breaks
+            edits += [([*words[:k], "zebra", *words[k + 1:]], hit), ([*words[:k], *words[k + 1:]], hit),
+                      ([*words[:k], "zebra", *words[k:]], grams - (k > 0))]
+        for edit, hit in edits:
+            i = len(rows)
+            rows.append((i, "some of the first words " + " ".join(edit) + " and the end of the free software text"))
+            want[i] = (label, hit / grams, 5, 5 + len(edit) - 1)
+    out, spans = scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    out, places = {r.doc_id: r for r in out.collect()}, defaultdict(list)
+    for r in spans.where("not base").collect():
+        places[r.doc_id, r.label].append(r)
+    for i, (label, cover, first, last) in want.items():
+        if cover >= 0.6:
+            assert label in out[i].labels.split(",") and out[i].score >= cover, rows[i]
+            span, = places[i, label]
+            assert span.cover >= cover and first <= span["first"] <= first + 3 and last - 3 <= span["last"] <= last, (rows[i], span)
+
+
+def test_chains_drop_strays():
+    whole = [(10 + q, q) for q in range(8)]
+    assert chains(whole, 8) == [(10, 18, 1.0)]
+    assert chains(whole + [(4, 3), (12, 5), (25, 0), (30, 7)], 8) == [(10, 18, 1.0)]
+    assert sorted(chains([(a + q, q) for a in (0, 3) for q in (0, 1)], 2)) == [(0, 2, 1.0), (3, 5, 1.0)]
+    assert chains([(40 * (8 - q), q) for q in range(8)], 8) == [] and chains([], 8) == []
+
+
 def test_harmonic_pieces():
     for n in [*range(0, 9000, 7), 4096, 2048, 1365, 1366]:
         pieces = harmonic_pieces(n)
