@@ -12,14 +12,46 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.7}
 #: Share of all tokens that sampling keeps.
 KEEP = 0.6
-TOPICS = 8
+#: Words of each topic in English, German, French and Spanish; a word stands under one topic only.
+TOPICS = {name: words.split() for name, words in {
+    "science": "science sciences scientific scientist scientists research physics chemistry biology theory experiment experiments species"
+               " energy planet planets cell cells molecule wissenschaft forschung physik chemie biologie theorie energie"
+               " recherche physique chimie théorie expérience espèce ciencia investigación física química biología teoría energía especie",
+    "technology": "software computer computers internet program programs code data server network website digital device devices algorithm"
+                  " rechner programm programme daten netzwerk gerät ordinateur logiciel réseau données numérique appareil"
+                  " ordenador computadora programa datos red dispositivo tecnología technologie technology",
+    "business": "business company companies market markets price prices money bank banks trade sales customer customers investment economy"
+                " economic unternehmen firma markt preis preise geld handel kunden wirtschaft entreprise entreprises marché prix argent banque"
+                " commerce clients économie empresa empresas mercado precio precios dinero banco comercio clientes economía",
+    "law": "law laws legal court courts judge license licence copyright rights contract attorney lawyer crime police gesetz gesetze gericht"
+           " richter recht rechte vertrag anwalt polizei loi lois tribunal juge droit droits contrat avocat ley leyes"
+           " juez derecho derechos contrato abogado policía",
+    "politics": "government president minister parliament election elections vote votes party policy political politics state war army regierung"
+                " präsident wahl wahlen partei politik krieg gouvernement président ministre élection élections parti politique"
+                " guerre gobierno presidente ministro elección elecciones partido política guerra",
+    "health": "health medical doctor doctors hospital patient patients disease medicine treatment drug drugs symptoms blood gesundheit arzt"
+              " krankenhaus patienten krankheit medizin behandlung blut santé médecin hôpital maladie médecine traitement sang"
+              " salud médico enfermedad medicina tratamiento paciente sangre",
+    "sport": "sport sports game games team teams player players match league season football soccer goal championship spiel spiele mannschaft"
+             " spieler liga saison fußball tor jeu jeux équipe joueur joueurs ligue championnat juego juegos equipo jugador jugadores"
+             " partida temporada fútbol campeonato",
+    "culture": "music film films movie movies book books art artist artists song songs novel story theatre theater church god history musik"
+               " buch bücher kunst künstler lied roman geschichte kirche gott musique livre livres artiste chanson histoire église dieu"
+               " música película libro libros arte artista canción novela historia iglesia dios",
+}.items()}
 
 
 def topic_of(text):
-    """A topic from the text itself: its most telling property here is its opening line's vocabulary;
-    buckets of the first long word keep this a function of the text alone."""
-    word = F.regexp_extract(F.lower(text), "([^\\x00-\\x60\\x7B-\\x7F]{5,})", 1)
-    return F.concat(F.lit("t"), F.pmod(F.crc32(F.substring(word, 1, 3).cast("binary")), F.lit(TOPICS)).cast("string"))
+    """The topic with the most words of ``TOPICS`` in the whole text, each time a word stands counted; of equal ones
+    the first, and ``other`` for a text with none. Words are runs of letters, lower-cased."""
+    words = F.split(F.lower(text), "[\\x00-\\x60\\x7B-\\x7F]+")
+    told = F.filter(words, lambda w: w.isin(*[x for ws in TOPICS.values() for x in ws]))
+
+    def count(found, k, name):
+        return F.struct(F.size(F.filter(found, lambda w: w.isin(*TOPICS[name]))).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("topic"))
+
+    best = F.transform(F.array(told), lambda found: F.array_max(F.array(*[count(found, k, name) for k, name in enumerate(TOPICS)])))[0]
+    return F.when(best["n"] > 0, best["topic"]).otherwise("other")
 
 
 def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12, tolerance: float = 1e-6,

@@ -4,10 +4,11 @@ import re
 from collections import Counter
 
 from edge import EDGE, edge_docs, empty_docs, lower, table
+from pyspark.sql import functions as F
 
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.radix_dedup import keep_first, radix_dedup
-from seriesflow.llm.raking import KEEP, mix, rake
+from seriesflow.llm.raking import KEEP, TOPICS, mix, rake, topic_of
 from seriesflow.llm.sharding import balanced_shards, cut_edges
 
 
@@ -204,3 +205,17 @@ def test_mix_equals_brute_force(spark):
     want = capped_rake(tokens, KEEP)
     assert all(abs(r.probability - want[r.source, r.lang, r.topic]) < 1e-3 for r in got)
     assert sum(p == 1 for p in want.values()) and min(want.values()) < 0.9
+
+
+def test_topics_from_all_words(spark):
+    texts = ["This file is free. " + x for x in ("The hospital and its doctors, a patient's blood", "Zwei Spieler der Liga", "nothing told")]
+    texts += ["license " + "filler " * 9000 + "Player, PLAYER", "Le médecin à l'Hôpital; le prix", "court bank bank court", "", None]
+    got = spark.createDataFrame(enumerate(texts), "i int, text string").select("i", topic_of(F.coalesce("text", F.lit(""))).alias("t"))
+    assert [r.t for r in got.orderBy("i").collect()] == ["health", "sport", "other", "sport", "health", "business", "other", "other"]
+    every = [w for words in TOPICS.values() for w in words]
+    assert all(w == w.lower() and re.fullmatch(r"[^\x00-\x60\x7b-\x7f]+", w) for w in every)
+    told = {w: name for name, words in TOPICS.items() for w in words}
+    for r in mix(edge_docs(spark)).select("text", "topic").collect():
+        n = Counter(told[w] for w in re.split(r"[\x00-\x60\x7b-\x7f]+", (r.text or "").lower()) if w in told)
+        assert r.topic == (max(TOPICS, key=lambda x: n[x]) if n else "other")
+    assert all(len({k for k, words in TOPICS.items() if w in words}) == 1 for w in every)
