@@ -11,13 +11,15 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +133,7 @@ def score(rec: Recommender, df: DataFrame, keep: list[str] = (), constants: dict
 def grid_search(df: DataFrame, features, categorical, target, grid: dict | None = None,
                 folds: int = 3, parallelism: int = 4, seed: int = 42) -> DataFrame:
     """L3: cross-validated grid over forest settings, scored by accuracy.
+    Classes weigh alike in each fold's training part, as in the forests of L1 and L2.
     Returns one row per setting with its mean accuracy, best first."""
     grid = grid or GRID
     lmap = encode.fit_label_map(df, categorical + [target])
@@ -138,16 +141,27 @@ def grid_search(df: DataFrame, features, categorical, target, grid: dict | None
     sc = scale.fit_scaler(enc, features, "standard")
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         scale.apply_scaler(enc, sc, features))
-    rf = RandomForestClassifier(featuresCol="features", labelCol=target, seed=seed)
+    data = data.select("features", target, F.floor(F.rand(seed) * folds).alias("fold")).persist()
+    rf = RandomForestClassifier(featuresCol="features", labelCol=target, weightCol="weight", seed=seed)
     b = ParamGridBuilder()
     for name, values in grid.items():
         b = b.addGrid(rf.getParam(name), values)
     maps = b.build()
     ev = MulticlassClassificationEvaluator(labelCol=target, metricName="accuracy")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed).fit(data)
-    rows = [tuple(int(pm[rf.getParam(n)]) for n in grid) + (float(m),)
-            for pm, m in zip(maps, cv.avgMetrics)]
+    sums = [0.0] * len(maps)
+    try:
+        for fold in range(folds):
+            fitting = stats.with_class_weights(data.filter(F.col("fold") != fold), target, "weight").persist()
+            valid = data.filter(F.col("fold") == fold)
+            try:
+                with ThreadPool(parallelism) as pool:
+                    got = pool.map(inheritable_thread_target(lambda pm: ev.evaluate(rf.fit(fitting, pm).transform(valid))), maps)
+            finally:
+                fitting.unpersist()
+            sums = [x + y for x, y in zip(sums, got)]
+    finally:
+        data.unpersist()
+    rows = [tuple(int(pm[rf.getParam(n)]) for n in grid) + (x / folds,) for pm, x in zip(maps, sums)]
     schema = ", ".join(f"{n} int" for n in grid) + ", accuracy double"
     out = df.sparkSession.createDataFrame(rows, schema)
     return out.orderBy(F.col("accuracy").desc())
@@ -169,9 +183,9 @@ def fit_boosted(train: DataFrame, features: list[str], label: str, valid_col: st
     """L4: gradient-boosted trees; with ``valid_col`` the rounds up to the best one on
     the validation rows are kept (``patience`` rounds without a better one end the search).
 
-    Spark's own stopping rule ends at the first small step, so all rounds are fitted,
-    the validation error of each is read, and a shorter model, whose rounds are the
-    same by the seed, is fitted if an earlier round was best.  L1/L2 penalties have no
+    Spark's own stopping rule ends at the first small step, so rounds are fitted, twice
+    as many each time until the search ends, the validation error of each is read, and a
+    shorter model, whose rounds are the same by the seed, is fitted if an earlier round was best.  L1/L2 penalties have no
     Spark parameter (documented gap)."""
     p = {**BOOST, **params}
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
@@ -179,9 +193,14 @@ def fit_boosted(train: DataFrame, features: list[str], label: str, valid_col: st
     data = va.transform(train).select("features", label, *([valid_col] if valid_col else [])).persist()
     try:
         fitting = data.filter(~F.col(valid_col)) if valid_col else data
-        model = gbt.fit(fitting)
+        fitted = min(p["maxIter"], 2 * patience) if valid_col else p["maxIter"]
+        model = gbt.copy({gbt.maxIter: fitted}).fit(fitting)
         if valid_col:
             errors = model.evaluateEachIteration(data.filter(F.col(valid_col)), "squared")
+            while fitted < p["maxIter"] and fitted - best_round(errors, patience) < patience:
+                fitted = min(p["maxIter"], 2 * fitted)
+                model = gbt.copy({gbt.maxIter: fitted}).fit(fitting)
+                errors = model.evaluateEachIteration(data.filter(F.col(valid_col)), "squared")
             rounds = best_round(errors, patience)
             if rounds < len(errors):
                 model = gbt.copy({gbt.maxIter: rounds}).fit(fitting)

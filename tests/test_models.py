@@ -95,3 +95,44 @@ def test_forecast_job_follows_start_and_horizon(spark, monkeypatch):
         assert r["n_steps"] == 3 and r["price_mean"] == pytest.approx(np.mean(mine)) and r["price_range"] == pytest.approx(max(mine) - min(mine))
     assert job["report"].filter("kind = 'forecast'").count() == len(days)
     assert job["report"].filter("kind = 'history'").groupBy("k").count().agg(F.max("count")).first()[0] <= 90
+
+
+def test_registered_models_are_the_full_ones(spark, monkeypatch):
+    """The queries ask for every round, tree and setting of the library's constants."""
+    class Seen(Exception):
+        pass
+
+    def seen(*args, **kw):
+        raise Seen(kw)
+
+    def asked(query):
+        with pytest.raises(Seen) as e:
+            query(spark, SF001)
+        return e.value.args[0]
+
+    monkeypatch.setattr(Q.M, "GBTRegressor", seen)
+    for query in (Q.boosted_demand, Q.feature_importance_top, Q.two_stage_demand, Q.demand_forecast, Q.forecast_report):
+        assert {k: v for k, v in asked(query).items() if k in M.BOOST} == M.BOOST
+    monkeypatch.setattr(Q.M, "RandomForestClassifier", seen)
+    assert {k: v for k, v in asked(Q.forest_custom).items() if k in M.FOREST_CUSTOM} == M.FOREST_CUSTOM
+    assert asked(Q.forest_grid_search)["weightCol"] == "weight"
+    monkeypatch.setattr(Q.M, "grid_search", seen)
+    assert asked(Q.forest_grid_search)["grid"] == M.GRID and len(M.GRID) == 3
+
+
+def test_grid_search_weighs_classes(spark):
+    """Of 90 and 10 rows that features cannot tell apart, balanced forests do not always say the larger class."""
+    df = spark.createDataFrame([(float(i % 2), "ab"[i % 10 == 0], "u") for i in range(200)], "x double, y string, c string")
+    out = M.grid_search(df, ["x"], [], "y", grid={"numTrees": [3], "maxDepth": [2, 3]})
+    got = rows(out, "numTrees", "maxDepth", "accuracy")
+    assert {g[:2] for g in got} == {(3, 2), (3, 3)} and all(0.3 < g[2] < 0.85 for g in got)
+
+
+def test_boosting_in_steps_keeps_the_whole_searchs_round(spark):
+    """Rounds fitted in steps stop with the same model as all rounds at once."""
+    df = spark.range(300).selectExpr("cast(id % 17 as double) a", "cast(id % 5 as double) b", "(id % 17) * 2 + rand(1) * 8 y", "id % 3 = 0 is_valid")
+    settings = dict(maxIter=16, stepSize=0.7, maxDepth=3, subsamplingRate=1.0, seed=1)
+    short = M.fit_boosted(df, ["a", "b"], "y", "is_valid", patience=2, **settings).stages[-1]
+    whole = M.fit_boosted(df.filter("NOT is_valid"), ["a", "b"], "y", **settings)
+    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(df.filter("is_valid")), "squared")
+    assert len(short.trees) == M.best_round(errors, 2) if hasattr(short, "trees") else short.getNumTrees == M.best_round(errors, 2)
