@@ -346,6 +346,7 @@ def _score_by_join(rows: DataFrame, kind: str, table: DataFrame, words: DataFram
 
     texts = keyed.select("digest", "text").dropDuplicates(["digest"])
     pieces = materialize(texts.mapInArrow(run, "digest string, what int, key long, n long"), "ctw-pieces")
+    table = table.withColumn("logp", F.col("logp").cast("float").cast("double"))  # as the broadcast has them
     tree = pieces.where("what = 0").join(table, "key").groupBy("digest").agg(F.sum(F.col("n") * F.col("logp")).alias("score"))
     c = F.coalesce(F.col("c"), F.lit(0))
     base = (pieces.where("what = 1").join(words.withColumnRenamed("n", "c"), "key", "left").groupBy("digest")

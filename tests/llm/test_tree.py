@@ -100,3 +100,11 @@ def test_beats_the_base_on_held_out_texts(spark):
     print(sum(r.score for r in held), sum(r.base_score for r in held))
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     assert sum(r.score for r in held) / sum(r.n_bytes for r in held) > -1.0
+
+
+def test_broadcast_and_join_give_equal_scores(spark):
+    docs = edge_docs(spark)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    small, large = sorted(tw.score(docs).collect(), key=key), sorted(tw.score(docs, most_grams=0).collect(), key=key)
+    assert len(small) == len(large) > 0
+    assert all(abs(a.score - b.score) <= 1e-11 * abs(a.score) for a, b in zip(small, large))
