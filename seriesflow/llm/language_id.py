@@ -31,8 +31,11 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             key = (key << np.uint32(8)) | wide[j:j + len(key)]
         key = (key * np.uint32(2654435761) + np.uint32(n * 40503)) >> np.uint32(32 - int(math.log2(BUCKETS)))
         parts.append(np.concatenate([key, np.zeros(n - 1, np.uint32)]))
-    # n-grams that reach into the next text begin at its last blank: few, alike for all texts
-    return np.stack(parts, 1).reshape(-1), padded * len(ORDERS)
+    keep = np.ones((len(wide), len(ORDERS)), bool)  # but for windows that leave their text
+    for k, n in enumerate(ORDERS):
+        for j in range(1, n):
+            keep[padded[1:] - j, k] = False
+    return np.stack(parts, 1)[keep], padded * len(ORDERS) - np.arange(len(padded)) * sum(n - 1 for n in ORDERS)
 
 
 def code_matrix(classes: int, seed: int = 7) -> np.ndarray:

@@ -25,6 +25,20 @@ def test_language_held_out(spark):
     assert sum(held) >= 0.98 * len(held)
 
 
+def test_grams_of_a_text_know_no_neighbour():
+    """A text's n-grams and margins are the same alone and before any other text."""
+    texts = [b"a", b"", b"", b"Zebra xy", "été".encode(), b"b", b""]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    together, starts = language_id.gram_buckets(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    weights = np.random.default_rng(1).normal(size=(language_id.BUCKETS, 2))
+    margins = language_id.margins(np.frombuffer(b"".join(texts), np.uint8), offsets, weights)
+    for k, t in enumerate(texts):
+        alone = np.frombuffer(t, np.uint8), np.array([0, len(t)])
+        assert language_id.gram_buckets(*alone)[0].tolist() == together[starts[k]:starts[k + 1]].tolist()
+        assert starts[k + 1] - starts[k] == 2 * len(t) + 1
+        assert np.allclose(language_id.margins(*alone, weights)[0], margins[k])
+
+
 def test_language_awkward_rows(spark):
     out = language_id.identify(edge_docs(spark)).collect()
     assert len(out) == len(EDGE)
