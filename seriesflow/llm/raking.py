@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from seriesflow.llm.common import materialize
 MARGINS = ("source", "lang", "topic")
 #: Target share of a value: its token share to this power, normalised (1: as it is, 0: all alike).
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.7}
+#: Raking's bound, far above what targets that can be met need; after STALL sweeps that bring the gap down by less than a
+#: hundredth the targets contradict each other, and more sweeps do not help.
+SWEEPS, STALL = 400, 25
 #: Share of all tokens that sampling keeps.
 KEEP = 0.6
 #: Words of each topic in English, German, French and Spanish; a word stands under one topic only.
@@ -54,14 +59,16 @@ def topic_of(text):
     return F.when(best["n"] > 0, best["topic"]).otherwise("other")
 
 
-def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12, tolerance: float = 1e-6,
+def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = SWEEPS, tolerance: float = 1e-6,
          keep: float | None = None) -> DataFrame:
     """``cells`` (the margins' columns, tokens) plus weight: tokens raked to the ``targets`` (margin, value, share).
 
     One step scales the weights of all cells that share a margin's value so
     that they sum to the value's target; a sweep takes the margins in turn.
-    Sweeps end when no margin is off by more than ``tolerance`` of the total,
-    or after ``sweeps``. Weights sum to 1. Cells with no tokens stay at 0;
+    Sweeps end when no margin is off by more than ``tolerance`` of the total.
+    Targets that no weights meet together (their gap stalls, or ``sweeps`` run
+    out) end them too, with a warning; column ``gap`` is what the margin
+    furthest from its targets was off in the last sweep. Weights sum to 1. Cells with no tokens stay at 0;
     a value of no target keeps its tokens' share.
 
     With ``keep`` weights sum to ``keep``, as the targets must, and no cell
@@ -78,6 +85,7 @@ def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12
     out = materialize(out, "rake-cells")
     most = F.lit(float("inf")) if keep is None else F.col("__own")
     part = F.least("weight", most)
+    gaps = [0.0]
     for sweep in range(sweeps):
         out = out.withColumn("__off", F.lit(0.0))
         for m in margins:
@@ -89,9 +97,12 @@ def rake(cells: DataFrame, targets: DataFrame, margins=MARGINS, sweeps: int = 12
             scale = (F.when((free > 0) & (left > 0), left / free).when((now > goal) & (now > 0), goal / now).otherwise(1.0))
             out = out.withColumns({"weight": F.col("weight") * scale, "__off": F.greatest("__off", F.abs(now - goal))})
         out = materialize(out.drop("__now", "__open"), "rake-cells")
-        if (out.agg(F.max("__off")).first()[0] or 0.0) <= tolerance:
+        gaps.append(out.agg(F.max("__off")).first()[0] or 0.0)
+        if gaps[-1] <= tolerance or sweep >= STALL and min(gaps[-STALL:]) > 0.99 * min(gaps[1:-STALL]):
             break
-    return out.withColumn("weight", part).drop("__own", "__off", *[f"__{m}" for m in margins])
+    if gaps[-1] > tolerance:
+        warnings.warn(f"raking ended after {len(gaps) - 1} sweeps with a margin off by {gaps[-1]:.2g} of the total")
+    return out.withColumns({"weight": part, "gap": F.lit(gaps[-1])}).drop("__own", "__off", *[f"__{m}" for m in margins])
 
 
 def attainable(cells: DataFrame, targets: DataFrame, keep: float, margins=MARGINS) -> DataFrame:

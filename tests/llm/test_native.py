@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from edge import EDGE, edge_docs, empty_docs, lower, table
 from pyspark.sql import functions as F
 
@@ -219,3 +220,20 @@ def test_topics_from_all_words(spark):
         n = Counter(told[w] for w in re.split(r"[\x00-\x60\x7b-\x7f]+", (r.text or "").lower()) if w in told)
         assert r.topic == (max(TOPICS, key=lambda x: n[x]) if n else "other")
     assert all(len({k for k, words in TOPICS.items() if w in words}) == 1 for w in every)
+
+
+def test_raking_ends_within_tolerance(spark):
+    """Slow targets (a hot source, one row with neither source nor language) are met by the default bound; contradictions are told."""
+    tokens = {(f"s{i}", x, t): 50.0 + 17 * ((5 * i + 3 * j + 2 * k) % 11) for i in range(4) for j, x in enumerate("uvw") for k, t in enumerate("pq")}
+    tokens |= {("hot", x, t): 4000.0 if x == "u" else 1.0 for x in "uvw" for t in "pq"} | {("-", "-", "p"): 1.0}
+    cells = spark.createDataFrame([(*k, n) for k, n in tokens.items()], "source string, lang string, topic string, tokens double")
+    share = {"source": {"hot": .2, "-": .01, **{f"s{i}": .1975 for i in range(4)}}, "lang": {"u": .05, "v": .47, "w": .47, "-": .01}}
+    targets = spark.createDataFrame([(m, v, x) for m, d in share.items() for v, x in d.items()], "margin string, value string, share double")
+    out = rake(cells, targets, margins=("source", "lang")).collect()
+    assert 0 <= out[0].gap <= 1e-6
+    for m, d in share.items():
+        for v, x in d.items():
+            assert abs(sum(r.weight for r in out if r[m] == v) - x) < 3e-6
+    clash = targets.where("value <> '-'").union(spark.createDataFrame([("source", "-", .01), ("lang", "-", .2)], targets.schema))
+    with pytest.warns(UserWarning, match="off by"):
+        assert rake(cells, clash, margins=("source", "lang")).first().gap > 0.01
