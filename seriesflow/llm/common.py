@@ -35,6 +35,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows in one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Bound the session's Arrow batches by bytes, unless it has a bound of its own.
+
+    Without one a batch is 10,000 rows, whatever their length; a batch is held
+    by the JVM and by the worker, on the way there and back. Results don't depend on it.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(limit))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; ``lower`` is enough (and faster) where a text has single-byte characters only."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,18 +182,18 @@ def accepted(docs: DataFrame, model: dict, text_col: str = "text", least: float
     """The rows of ``docs``, all columns as they are, whose language is decided: not ``und``, and the nearest
     codeword's probability is at least ``least``. Rows pass through the tasks whole; nothing is joined."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters")).where("letters")
+    rows = (docs.where(F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
+            .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
 
     def run(batches):
         m = shared.value
         for batch in batches:
             if m["labels"]:
-                data, offsets = text_buffers(batch.column("text"))
+                data, offsets = text_buffers(pc.struct_field(batch.column("row"), text_col))
                 keep = decode(margins(data, offsets, m["weights"]), m["code"], m["trust"]).max(1) >= least
                 yield pa.RecordBatch.from_arrays([batch.column("row").filter(pa.array(keep))], names=["row"])
 
-    return rows.mapInArrow(run, rows.select("row").schema).select("row.*")
+    return rows.mapInArrow(run, rows.schema).select("row.*")
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:
