@@ -12,22 +12,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesflow.llm import language_id, minhash_forest, packing, radix_dedup, raking
+from seriesflow.llm.common import bound_batches
 from seriesflow.llm.queries import vocabulary
 from seriesflow.session import checkpoint_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that are null, have no letter, or whose nearest language codeword has a probability below 1/2."""
+    bound_batches(spark)
     return language_id.accepted(docs, language_id.fit(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased), the row with the largest doc_id stays."""
+    bound_batches(spark)
     return radix_dedup.keep_first(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of documents linked by a Jaccard similarity of 0.8 or more, the smallest doc_id stays."""
+    bound_batches(spark)
     return minhash_forest.one_of_each(docs)
 
 
@@ -38,6 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents in sequences of 4096."""
+    bound_batches(spark)
     return packing.pack(docs, vocabulary())
 
 
