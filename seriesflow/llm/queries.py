@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from seriesflow.llm import language_id, line_crf, license_scan, minhash_forest, tree_weighting
+from seriesflow.llm.alignment import token_alignment
 from seriesflow.llm.common import documents
+from seriesflow.llm.fill_middle import fill_in_middle, restored
 from seriesflow.llm.line_rules import clean_lines
 from seriesflow.llm.raking import mix
 from seriesflow.llm.packing import pack
+from seriesflow.llm.private_data import find_private
 from seriesflow.llm.radix_dedup import radix_dedup
 from seriesflow.llm.registry import query
 from seriesflow.llm.sharding import balanced_shards
@@ -82,6 +85,38 @@ def op8_minhash_forest(spark, sf_dir):
     return minhash_forest.jaccard_classes(documents(spark, sf_dir))
 
 
+@query("op11_contextual_extraction")
+def op11_contextual_extraction(spark, sf_dir):
+    return find_private(documents(spark, sf_dir))
+
+
+@query("op12_arrow_alignment")
+def op12_arrow_alignment(spark, sf_dir):
+    return token_alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+FILL_MIDDLE_SQL = """
+with d as (select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h from documents),
+u as (select *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as units,
+  ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+c as (select *, len(units) as n, h1 % (len(units) + 1) as x, h2 % (len(units) + 1) as y,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+       when h4 % 100 < 80 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(units[1:least(x, y)], '') as pre, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') as mid,
+  array_to_string(units[greatest(x, y) + 1:n], '') as suf from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256 from p
+"""
+
+
+@query("op13_skip_list_middle", FILL_MIDDLE_SQL)
+def op13_skip_list_middle(spark, sf_dir):
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return fill_in_middle(documents(spark, sf_dir)).select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                                                           sha(restored()).alias("restored_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
