@@ -1,7 +1,7 @@
-"""Model layer (L1-L9, N5, A6-A9) on Spark ML.
+"""Model layer (L1-L9, N5, A6-A9) on Spark ML and the library's histogram trees.
 
 The recommendation model is a small bundle: label maps and scaler parameters
-as tables, a fitted Spark ML forest, and a one-row manifest.  Fitting and
+as tables, a fitted forest (Spark ML's, or the library's own), and a one-row manifest.  Fitting and
 scoring are DataFrame-in / DataFrame-out; scoring works the same on a batch or
 a stream (every step is a stateless projection or a join with small tables).
 """
@@ -11,35 +11,29 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.operators import encode, scale, stats
+from seriesflow.operators import encode, scale, split, stats, trees
+from seriesflow.session import cut_lineage
 
 # Fixed values of the reference's model configurations.
 FOREST = dict(numTrees=150, maxDepth=10, seed=42)
-FOREST_CUSTOM = dict(numTrees=300, maxDepth=12, minInstancesPerNode=2, seed=42)
-GRID = dict(numTrees=[100, 200, 300], maxDepth=[8, 10, 12, 30], minInstancesPerNode=[1, 2, 3])
-BOOST = dict(maxIter=2000, stepSize=0.01, maxDepth=10, subsamplingRate=0.8,
-             featureSubsetStrategy="0.8", seed=42)
-#: Rounds without a better validation error that end the search for the best round.
-PATIENCE = 100
+FOREST_CUSTOM = dict(n_trees=300, max_depth=12, min_split=4, min_leaf=2, seed=42)
+GRID = dict(n_trees=[100, 200, 300], max_depth=[8, 10, 12, None], min_split=[2, 4, 6], min_leaf=[1, 2, 3])
+BOOST = dict(rounds=2000, rate=0.01, max_depth=10, subsample=0.8, per_tree=0.8, per_level=0.8, l1=0.1, l2=0.1, patience=100, seed=42)
 PARTS = ("model", "label_map", "scaler", "manifest")
 
 
 @dataclass
 class Recommender:
     """Fitted classifier bundle (A6): everything scoring needs, as Spark objects."""
-    model: RandomForestClassificationModel
+    model: RandomForestClassificationModel | trees.Forest
     label_map: DataFrame           # (column, value, code) for features and target
     scaler: DataFrame              # (column, kind, center, scale)
     features: list[str]
@@ -48,12 +42,18 @@ class Recommender:
     extra: dict = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        """Spark ML model + parquet parameter tables + one-row manifest."""
+        """The model + parquet parameter tables + one-row manifest."""
         spark = self.label_map.sparkSession
-        self.model.write().overwrite().save(os.path.join(path, "model"))
+        own = isinstance(self.model, trees.Forest)
+        if own:
+            cuts = spark.createDataFrame([(self.model.cuts, self.model.weights)], "cuts array<array<double>>, weights array<double>")
+            cuts.write.mode("overwrite").parquet(os.path.join(path, "model", "cuts"))
+            self.model.trees.write.mode("overwrite").parquet(os.path.join(path, "model", "trees"))
+        else:
+            self.model.write().overwrite().save(os.path.join(path, "model"))
         self.label_map.write.mode("overwrite").parquet(os.path.join(path, "label_map"))
         self.scaler.write.mode("overwrite").parquet(os.path.join(path, "scaler"))
-        manifest(spark, self.features, self.categorical, self.target).write.mode(
+        manifest(spark, self.features, self.categorical, self.target, own_forest=own).write.mode(
             "overwrite").parquet(os.path.join(path, "manifest"))
 
     @staticmethod
@@ -63,8 +63,13 @@ class Recommender:
         if missing:
             raise FileNotFoundError(f"missing required artifact part(s): {', '.join(missing)} under {path}")
         m = spark.read.parquet(os.path.join(path, "manifest")).first()
+        if m["own_forest"]:
+            held = spark.read.parquet(os.path.join(path, "model", "cuts")).first()
+            model = trees.Forest([list(c) for c in held["cuts"]], list(held["weights"]), spark.read.parquet(os.path.join(path, "model", "trees")))
+        else:
+            model = RandomForestClassificationModel.load(os.path.join(path, "model"))
         return Recommender(
-            model=RandomForestClassificationModel.load(os.path.join(path, "model")),
+            model=model,
             label_map=spark.read.parquet(os.path.join(path, "label_map")),
             scaler=spark.read.parquet(os.path.join(path, "scaler")),
             features=list(m["features"]), categorical=list(m["categorical"]), target=m["target"])
@@ -77,11 +82,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def manifest(spark: SparkSession, features, categorical, target, **info) -> DataFrame:
-    """One-row training manifest (feature lists, counts, training time)."""
+    """One-row training manifest (feature lists, counts, training time, and whatever ``info`` adds)."""
     row = [(list(features), list(categorical), target, len(features))]
     df = spark.createDataFrame(row, "features array<string>, categorical array<string>, "
                                     "target string, n_features int")
-    return df.withColumn("trained_at", F.current_timestamp())
+    return df.withColumns({k: F.lit(v) for k, v in info.items()}).withColumn("trained_at", F.current_timestamp())
 
 
 def fit_recommender(df: DataFrame, features: list[str], categorical: list[str], target: str,
@@ -122,104 +127,67 @@ def score(rec: Recommender, df: DataFrame, keep: list[str] = (), constants: dict
     fcols = [f"{c}__f" for c in rec.features]
     prm = rec.scaler.withColumn("column", F.concat(F.col("column"), F.lit("__f")))
     x = scale.apply_scaler(x, prm, fcols)
-    x = VectorAssembler(inputCols=fcols, outputCol="features", handleInvalid="keep").transform(x)
-    pred = rec.model.transform(x).withColumn("prediction", F.col("prediction").cast("int"))
+    if isinstance(rec.model, trees.Forest):
+        pred = rec.model.transform(x, fcols)
+    else:
+        x = VectorAssembler(inputCols=fcols, outputCol="features", handleInvalid="keep").transform(x)
+        pred = rec.model.transform(x).withColumn("prediction", F.col("prediction").cast("int"))
     # the target's map has one row per class (bounded by the model's numClasses)
     m = (rec.label_map.filter(F.col("column") == rec.target)
          .select(F.col("code").alias("prediction"), F.col("value").alias(label_out)))
     return pred.join(F.broadcast(m), "prediction", "left").select(*keep, "prediction", label_out)
 
 
-def grid_search(df: DataFrame, features, categorical, target, grid: dict | None = None,
-                folds: int = 3, parallelism: int = 4, seed: int = 42) -> DataFrame:
-    """L3: cross-validated grid over forest settings, scored by accuracy.
+def _class_table(df: DataFrame, features, categorical, target, keys, folds: int, seed: int):
+    """Label map, scaler, cut points and the binned table (rid, row, y, fold, bins) of a classification frame."""
+    lmap, _ = encode.small_map(encode.fit_label_map(df, categorical + [target]))
+    enc = encode.encode(df, lmap, categorical + [target], mode="strict").persist()
+    sc = scale.fit_scaler(enc, features, "standard")
+    sc = df.sparkSession.createDataFrame(sc.collect(), sc.schema)  # one row per feature
+    scaled = scale.apply_scaler(enc, sc, features)
+    cuts = trees.find_cuts(scaled, features)
+    keep = {"rid": F.xxhash64(*keys), "row": F.monotonically_increasing_id(), "y": F.col(target).cast("int"),
+            "fold": split.hash_bucket(keys, seed, folds)}
+    table = cut_lineage(trees.bin_rows(scaled, features, cuts, keep))
+    enc.unpersist()
+    return lmap, sc, cuts, table
+
+
+def fit_custom_forest(df: DataFrame, features: list[str], categorical: list[str], target: str, keys: Sequence[str], n_trees: int,
+                      max_depth: int | None, min_split: int, min_leaf: int, seed: int = 42) -> Recommender:
+    """L2: a balanced forest with every stopping rule: depth, minimum rows to split a node and minimum rows in a leaf."""
+    lmap, sc, cuts, table = _class_table(df, features, categorical, target, keys, 1, seed)
+    counts = {r["y"]: r["count"] for r in table.groupBy("y").count().collect()}  # one row a class
+    weights = [sum(counts.values()) / (len(counts) * counts.get(c, 1)) for c in range(max(counts, default=-1) + 1)]
+    spec = trees.forest_growth(len(features), weights, max_depth, min_split, min_leaf, seed)
+    grown = trees.forest_trees(table, trees.Bootstrap(len(weights), seed), spec, range(n_trees))
+    return Recommender(trees.Forest(cuts, weights, grown), lmap, sc, list(features), list(categorical), target)
+
+
+def grid_search(df: DataFrame, features, categorical, target, keys: Sequence[str], grid: dict | None = None, folds: int = 3, seed: int = 42) -> DataFrame:
+    """L3: cross-validated grid over forest settings, scored by accuracy; folds by the hash of ``keys``.
     Classes weigh alike in each fold's training part, as in the forests of L1 and L2.
     Returns one row per setting with its mean accuracy, best first."""
-    grid = grid or GRID
-    lmap = encode.fit_label_map(df, categorical + [target])
-    enc = encode.encode(df, lmap, categorical + [target], mode="strict")
-    sc = scale.fit_scaler(enc, features, "standard")
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(
-        scale.apply_scaler(enc, sc, features))
-    data = data.select("features", target, F.floor(F.rand(seed) * folds).alias("fold")).persist()
-    rf = RandomForestClassifier(featuresCol="features", labelCol=target, weightCol="weight", seed=seed)
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(rf.getParam(name), values)
-    maps = b.build()
-    ev = MulticlassClassificationEvaluator(labelCol=target, metricName="accuracy")
-    sums = [0.0] * len(maps)
-    try:
-        for fold in range(folds):
-            fitting = stats.with_class_weights(data.filter(F.col("fold") != fold), target, "weight").persist()
-            valid = data.filter(F.col("fold") == fold)
-            try:
-                with ThreadPool(parallelism) as pool:
-                    got = pool.map(inheritable_thread_target(lambda pm: ev.evaluate(rf.fit(fitting, pm).transform(valid))), maps)
-            finally:
-                fitting.unpersist()
-            sums = [x + y for x, y in zip(sums, got)]
-    finally:
-        data.unpersist()
-    rows = [tuple(int(pm[rf.getParam(n)]) for n in grid) + (x / folds,) for pm, x in zip(maps, sums)]
-    schema = ", ".join(f"{n} int" for n in grid) + ", accuracy double"
-    out = df.sparkSession.createDataFrame(rows, schema)
-    return out.orderBy(F.col("accuracy").desc())
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """How many rounds to keep: up to the smallest error seen before ``patience`` rounds brought no better one."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_boosted(train: DataFrame, features: list[str], label: str, valid_col: str | None = None,
-                patience: int = PATIENCE, **params) -> PipelineModel:
+    g = grid or GRID
+    *_, table = _class_table(df, features, categorical, target, keys, folds, seed)
+    n_classes = (table.agg(F.max("y")).first()[0] or 0) + 1
+    out = trees.grid_accuracy(table, n_classes, len(features), folds, g["n_trees"], g["max_depth"], g["min_split"], g["min_leaf"], seed)
+    return out.orderBy(F.col("accuracy").desc(), "n_trees", F.col("max_depth").asc_nulls_last(), "min_split", "min_leaf")
+
+
+def fit_boosted(train: DataFrame, features: list[str], label: str, valid_col: str | None = None, keys: Sequence[str] = (), **params) -> trees.Boosted:
     """L4: gradient-boosted trees; with ``valid_col`` the rounds up to the best one on
-    the validation rows are kept (``patience`` rounds without a better one end the search).
-
-    Spark's own stopping rule ends at the first small step, so rounds are fitted, twice
-    as many each time until the search ends, the validation error of each is read, and a
-    shorter model, whose rounds are the same by the seed, is fitted if an earlier round was best.  L1/L2 penalties have no
-    Spark parameter (documented gap)."""
-    p = {**BOOST, **params}
-    va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, **p)
-    data = va.transform(train).select("features", label, *([valid_col] if valid_col else [])).persist()
-    try:
-        fitting = data.filter(~F.col(valid_col)) if valid_col else data
-        fitted = min(p["maxIter"], 2 * patience) if valid_col else p["maxIter"]
-        model = gbt.copy({gbt.maxIter: fitted}).fit(fitting)
-        if valid_col:
-            errors = model.evaluateEachIteration(data.filter(F.col(valid_col)), "squared")
-            while fitted < p["maxIter"] and fitted - best_round(errors, patience) < patience:
-                fitted = min(p["maxIter"], 2 * fitted)
-                model = gbt.copy({gbt.maxIter: fitted}).fit(fitting)
-                errors = model.evaluateEachIteration(data.filter(F.col(valid_col)), "squared")
-            rounds = best_round(errors, patience)
-            if rounds < len(errors):
-                model = gbt.copy({gbt.maxIter: rounds}).fit(fitting)
-    finally:
-        data.unpersist()
-    return PipelineModel(stages=[va, model])
+    the validation rows are kept (``patience`` rounds without a better one end the search)."""
+    return trees.fit_boosting(train, features, label, valid_col, keys, **{**BOOST, **params})
 
 
-def feature_importances(model: PipelineModel, features: list[str], top: int = 15) -> DataFrame:
+def feature_importances(model: trees.Boosted, top: int = 15) -> DataFrame:
     """L7 + I4: importances by feature name, top ``top`` descending."""
-    imp = model.stages[-1].featureImportances.toArray()
-    spark = SparkSession.getActiveSession()
-    df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)],
-                               "feature string, importance double")
+    df = SparkSession.getActiveSession().createDataFrame(list(zip(model.features, model.importances())), "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
 
 
-def fit_sequence_regressor(train: DataFrame, n_inputs: int, label: str = "y",
-                           reg_param: float = 0.01) -> LinearRegression:
+def fit_sequence_regressor(train: DataFrame, label: str = "y", reg_param: float = 0.01) -> LinearRegression:
     """L5 re-aimed: the flattened window (a Vector of w x features) -> next value."""
     lr = LinearRegression(featuresCol="x_vec", labelCol=label, regParam=reg_param,
                           elasticNetParam=0.0)

@@ -21,7 +21,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesflow.functions.calendar import calendar_exprs
 from seriesflow.functions.text import KINDS
 from seriesflow.operators import forecast as FC
 from seriesflow.operators import metrics, sensors, split, stats
@@ -37,8 +36,6 @@ RECO_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RECO_CAT = ["l_returnflag", "l_linestatus"]
 RECO_FEATURES = RECO_NUM + RECO_CAT
 RECO_KEYS = ["l_orderkey", "l_linenumber"]
-#: What the boosted queries change of the library's ``BOOST``: nothing (a test of the job's dates sets few rounds).
-SMALL_BOOST = {}
 KEYS, ORDER = base.DAILY_KEYS, base.DAILY_ORDER
 SEQ_W = 21
 H = 7
@@ -71,8 +68,10 @@ def forest_classify(spark, sf):
 
 @query("forest_custom", round_output=False)
 def forest_custom(spark, sf):
-    """L2: configurable variant (min rows per leaf 2; Spark has no min-split)."""
-    return _scored(spark, sf, **M.FOREST_CUSTOM)
+    """L2: the configurable forest with every stopping rule (300 trees, depth 12, 4 rows to split, 2 in a leaf)."""
+    t = reco_table(spark, sf)
+    rec = M.fit_custom_forest(t.filter("is_train"), RECO_FEATURES, RECO_CAT, "priority", RECO_KEYS, **M.FOREST_CUSTOM)
+    return M.score(rec, t.filter("NOT is_train"), keep=RECO_KEYS + ["priority"])
 
 
 @query("forest_metrics")
@@ -84,10 +83,9 @@ def forest_metrics(spark, sf):
 
 @query("forest_grid_search")
 def forest_grid_search(spark, sf):
-    """L3: 3-fold cross-validated grid, the reference's 3 x 4 x 3 settings without
-    the min-split axis."""
+    """L3: 3-fold cross-validated grid, the reference's 3 x 4 x 3 x 3 settings (no depth: ``max_depth`` NULL)."""
     t = reco_table(spark, sf).filter("is_train")
-    return M.grid_search(t, RECO_FEATURES, RECO_CAT, "priority", grid=M.GRID, folds=3)
+    return M.grid_search(t, RECO_FEATURES, RECO_CAT, "priority", RECO_KEYS, grid=M.GRID, folds=3)
 
 
 @query("artifact_roundtrip", round_output=False)
@@ -133,7 +131,7 @@ def demand_features(df: DataFrame) -> list[str]:
 def _boosted(spark, sf, extra=None):
     t = demand_table(spark, sf, extra).withColumn("is_valid", ~F.col("is_train"))
     feats = demand_features(t.drop("is_valid"))
-    model = M.fit_boosted(t, feats, "demand", valid_col="is_valid", **SMALL_BOOST)
+    model = M.fit_boosted(t, feats, "demand", "is_valid", KEYS + ORDER)
     return model, t, feats
 
 
@@ -148,58 +146,58 @@ def boosted_demand(spark, sf):
 @query("feature_importance_top")
 def feature_importance_top(spark, sf):
     """L7 + I4: top 15 feature importances of the demand model."""
-    model, _, feats = _boosted(spark, sf)
-    return M.feature_importances(model, feats, 15)
-
-
-SEQ_CALENDAR = ["month_sin", "month_cos", "dow_sin", "dow_cos", "is_weekend", "year_progress"]
-SEQ_FEATURES = ["price", "n", "price_diff_1", *SEQ_CALENDAR]
+    model, _, _ = _boosted(spark, sf)
+    return M.feature_importances(model, 15)
 
 
 def seq_rows(spark, sf):
-    """One row per series and day with the sequence features as doubles (a series' first difference is 0)."""
-    diff = F.col("price") - F.lag("price").over(W.series_window(KEYS, ORDER))
-    z = base.daily(spark, sf).withColumns({"price_diff_1": F.coalesce(diff, F.lit(0.0)), **calendar_exprs("d", SEQ_CALENDAR)})
-    return z.select("k", "d", *[F.col(c).cast("double").alias(c) for c in SEQ_FEATURES])
+    """The price model's frame: every feature of E14 but the target's lags, per series and day, without warm-up rows."""
+    return W.feature_frame(base.daily(spark, sf), KEYS, ORDER, "d", "demand", "price", {"demand": "demand", "price": "price", "orders": "n"}, with_lags=False)
 
 
-def _flat(window: str):
-    return array_to_vector(F.flatten(F.transform(window, lambda e: F.array(*[e[c] for c in SEQ_FEATURES]))))
+def seq_features(df: DataFrame) -> list[str]:
+    """All columns of the frame but the series, the date, the price and the target."""
+    return [c for c in df.columns if c not in ("k", "d", "demand", "price")]
 
 
 def seq_table(spark, sf):
-    s = W.sequences(seq_rows(spark, sf), KEYS, ORDER, SEQ_FEATURES, "price", SEQ_W)
-    s = s.withColumn("x_vec", _flat("x")).select("k", "d", "y", "x_vec")
+    """(k, d, y, x_vec, is_train): windows of ``SEQ_W`` rows of all features flattened, and the next price."""
+    z = seq_rows(spark, sf)
+    feats = seq_features(z)
+    s = W.sequences(z.withColumns({c: F.col(c).cast("double") for c in feats}), KEYS, ORDER, feats, "price", SEQ_W)
+    flat = array_to_vector(F.flatten(F.transform("x", lambda e: F.array(*[e[c] for c in feats]))))
+    s = s.select("k", "d", "y", flat.alias("x_vec"))
     return split.chronological_split(s, KEYS, ORDER)
 
 
+def fit_price_model(t: DataFrame, reg_param: float = 0.01):
+    """The sequence model on the training part of ``seq_table``."""
+    return M.fit_sequence_regressor(t.filter("is_train"), reg_param=reg_param)
+
+
 @query("sequence_regress")
 def sequence_regress(spark, sf):
-    """L5 re-aimed: 21-row windows of ``SEQ_FEATURES`` flattened -> next price by
+    """L5 re-aimed: 21-row windows of all features flattened -> next price by
     ridge regression; validation predictions."""
-    t = seq_table(spark, sf)
-    model = M.fit_sequence_regressor(t.filter("is_train"), len(SEQ_FEATURES) * SEQ_W)
+    t = cut_lineage(seq_table(spark, sf))
+    model = fit_price_model(t)
     return model.transform(t.filter("NOT is_train")).select("k", "d", "y", "prediction")
 
 
 @query("best_candidate")
 def best_candidate(spark, sf):
     """Candidates compared by RMSE on the chronological validation part; best kept."""
-    t = seq_table(spark, sf).persist()
-    train, valid = t.filter("is_train"), t.filter("NOT is_train")
-    rows = []
-    for rp in (0.0, 0.01, 0.1, 1.0):
-        m = M.fit_sequence_regressor(train, len(SEQ_FEATURES) * SEQ_W, reg_param=rp)
-        rows.append((rp, M.rmse(m.transform(valid), "y")))
-    t.unpersist()
+    t = cut_lineage(seq_table(spark, sf))
+    valid = t.filter("NOT is_train")
+    rows = [(rp, M.rmse(fit_price_model(t, rp).transform(valid), "y")) for rp in (0.0, 0.01, 0.1, 1.0)]
     best = min(rows, key=lambda r: r[1])[0]
     return spark.createDataFrame([(rp, e, rp == best) for rp, e in rows],
                                  "reg_param double, rmse double, is_best boolean")
 
 
 def price_predictions(spark, sf):
-    t = seq_table(spark, sf)
-    model = M.fit_sequence_regressor(t.filter("is_train"), len(SEQ_FEATURES) * SEQ_W)
+    t = cut_lineage(seq_table(spark, sf))
+    model = fit_price_model(t)
     return model, model.transform(t).select("k", "d", F.col("prediction").alias("price_pred"))
 
 
@@ -214,33 +212,13 @@ def two_stage_demand(spark, sf):
     return model.transform(t.filter("NOT is_train")).select("k", "d", "demand", "price_pred", "prediction")
 
 
-def model_price_forecast(spark, sf, n_steps: int = H, start_date=None, checkpoint_every: int = 3, model=None) -> DataFrame:
-    """N1 with a fitted Spark ML model: k, step, d, price.
-
-    One ``transform`` over all series per step; N2 makes the next window element
-    (calendar re-stamped, difference to the last price), the window slides (J3)
-    inside an array column, and so do the predictions, exploded once at the end.
-    ``start_date``: the first forecast day (default: the day after a series' last).
-    A series with fewer than ``SEQ_W`` days has no window and no forecast. Lineage is
-    cut with a reliable checkpoint every few steps."""
+def model_price_forecast(spark, sf, n_steps: int = H, start_date=None, model=None) -> DataFrame:
+    """N1 with the fitted price model: k, step, d, price, all series and steps in one plan.
+    ``start_date``: the first forecast day (default: the day after a series' last)."""
     model = model or price_predictions(spark, sf)[0]
-    win = (W.last_rows(seq_rows(spark, sf), KEYS, "d", SEQ_W)
-           .groupBy("k").agg(F.sort_array(F.collect_list(F.struct("d", *SEQ_FEATURES))).alias("w"), F.max("d").alias("last"))
-           .filter(F.size("w") == SEQ_W))
-    start = F.to_date(F.lit(start_date)) if start_date is not None else F.date_add("last", 1)
-    state = win.select("k", start.alias("start"), F.date_sub(start, 1).alias("d"), F.array().cast("array<double>").alias("preds"),
-                       F.transform("w", lambda e: F.struct(*[e[c].alias(c) for c in SEQ_FEATURES])).alias("w"))
-    for step in range(1, n_steps + 1):
-        p = model.transform(state.withColumn("x_vec", _flat("w"))).select(
-            "k", "start", "d", "preds", "w", "prediction", *[F.element_at("w", -1)[c].alias(c) for c in SEQ_FEATURES])
-        nxt = FC.next_step_features(p, F.col("prediction"), "d", "price", SEQ_FEATURES)
-        new = F.struct(*[F.col(c).cast("double").alias(c) for c in SEQ_FEATURES])
-        state = nxt.select("k", "start", "d", F.concat("preds", F.array("prediction")).alias("preds"),
-                           F.concat(F.slice("w", 2, SEQ_W - 1), F.array(new)).alias("w"))
-        if step % checkpoint_every == 0 and step < n_steps:
-            state = cut_lineage(state)
-    out = state.select("k", "start", F.posexplode("preds").alias("pos", "price"))
-    return out.select("k", (F.col("pos") + 1).alias("step"), F.date_add("start", F.col("pos")).alias("d"), "price")
+    z = seq_rows(spark, sf)
+    start = F.to_date(F.lit(start_date)) if start_date is not None else None
+    return FC.recursive_window_forecast(z, KEYS, "d", seq_features(z), SEQ_W, FC.linear_prediction(model.coefficients.toArray(), model.intercept), n_steps, start)
 
 
 @query("model_recursive_forecast")

@@ -39,49 +39,50 @@ def test_unseen_category_scores_without_error(spark):
     assert len(out) == 1 and out[0]["recommendation"] is not None
 
 
-def test_best_round_stops_by_patience():
-    assert M.best_round([5.0, 4.0, 3.0, 3.5, 3.2], 100) == 3
-    assert M.best_round([5.0, 4.0, 4.5, 4.6, 1.0], 2) == 2
-    assert M.best_round([5.0, 4.0, 4.5, 4.6, 1.0], 3) == 5
-    assert M.best_round([1.0], 1) == 1
-
-
-def test_boosting_keeps_the_best_round(spark):
-    rows_ = [(float(i % 17), float((i * 7) % 11), float(i % 17) * 2 + (i % 5), i % 4 == 0) for i in range(400)]
-    df = spark.createDataFrame(rows_, "a double, b double, y double, is_valid boolean")
-    model = M.fit_boosted(df, ["a", "b"], "y", "is_valid", maxIter=12, stepSize=0.5, maxDepth=3, subsamplingRate=1.0, seed=1)
-    kept = model.stages[-1].getNumTrees
-    whole = M.fit_boosted(df.filter("NOT is_valid"), ["a", "b"], "y", maxIter=12, stepSize=0.5, maxDepth=3, subsamplingRate=1.0, seed=1)
-    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(df.filter("is_valid")), "squared")
-    assert kept == int(np.argmin(errors)) + 1
-    valid = df.filter("is_valid")
-    assert M.rmse(model.transform(valid), "y") ** 2 == pytest.approx(min(errors))
-    assert M.rmse(model.transform(valid), "y") < valid.selectExpr("stddev_pop(y)").first()[0]
-
-
 def test_price_forecast_equals_a_plain_loop(spark):
+    """Each step of the loop appends a row and recomputes every feature of the whole frame."""
     model, _ = Q.price_predictions(spark, SF001)
     weights, bias = model.coefficients.toArray(), model.intercept
-    history = {}
-    for r in Q.seq_rows(spark, SF001).orderBy("k", "d").collect():
-        history.setdefault(r["k"], []).append((r["d"], [r[c] for c in Q.SEQ_FEATURES]))
+    frame = Q.seq_rows(spark, SF001)
+    feats = Q.seq_features(frame)
+    assert len(feats) == 1 + 12 + 2 + 14 + 6 and len(weights) == Q.SEQ_W * len(feats)
     got = {}
     for r in Q.model_price_forecast(spark, SF001, n_steps=4, start_date="2030-03-08", model=model).collect():
         got.setdefault(r["k"], {})[r["step"]] = (r["d"], r["price"])
-    assert set(got) == {k for k, h in history.items() if len(h) >= Q.SEQ_W} and got
+    history = frame.toPandas().sort_values(["k", "d"])
+    long_enough = {k for k, h in history.groupby("k") if len(h) >= Q.SEQ_W}
+    assert set(got) == long_enough and got
+
+    def stamp(row, day):
+        m, q, w, y = day.month, (day.month + 2) // 3, day.weekday(), day.timetuple().tm_yday
+        row.update(month=m, quarter=q, day_of_week=w, day_of_year=y, year_progress=y / 365, is_weekend=float(w >= 5))
+        for name, x, n in (("month", m, 12), ("quarter", q, 4), ("dow", w, 7), ("doy", y, 365)):
+            row[f"{name}_sin"], row[f"{name}_cos"] = np.sin(2 * np.pi * x / n), np.cos(2 * np.pi * x / n)
+
     for k, steps in got.items():
-        window = [x for _, x in history[k][-Q.SEQ_W:]]
+        data = history[history.k == k].reset_index(drop=True).astype({c: float for c in [*feats, "price", "demand"]})
+        window = data[feats].to_numpy()[-Q.SEQ_W:]
         for step in range(1, 5):
-            y = float(np.concatenate(window) @ weights + bias)
+            y = float(window.ravel() @ weights + bias)
             day = dt.date(2030, 3, 7) + dt.timedelta(step)
-            assert steps[step][0] == day and steps[step][1] == pytest.approx(y)
-            m, w = 2 * np.pi * day.month / 12, 2 * np.pi * day.weekday() / 7
-            window = window[1:] + [[y, window[-1][1], y - window[-1][0], np.sin(m), np.cos(m), np.sin(w), np.cos(w),
-                                    float(day.weekday() >= 5), day.timetuple().tm_yday / 365]]
+            assert steps[step][0] == day and steps[step][1] == pytest.approx(y, rel=1e-6), (k, step)
+            new = data.iloc[-1].to_dict()
+            stamp(new, day)
+            window = np.vstack([window[1:], [y - data.price.iloc[-1] if c == "price_diff_1" else new[c] for c in feats]])
+            new["price"] = y
+            data.loc[len(data)] = new
+            for n in (3, 7, 14, 21):
+                data[f"price_roll{n}"], data[f"demand_roll{n}"] = (data[c].rolling(n, min_periods=1).mean() for c in ("price", "demand"))
+            data["price_roll7_std"], data["demand_roll7_std"] = (data[c].rolling(7, min_periods=1).std() for c in ("price", "demand"))
+            for n in (1, 3, 7):
+                data[f"price_diff_{n}"] = data.price.diff(n)
+            for n in (3, 7):
+                data[f"price_momentum_{n}"] = data.price.pct_change(n)
+            data["price_volatility_7"] = data.price.rolling(7).std()
 
 
 def test_forecast_job_follows_start_and_horizon(spark, monkeypatch):
-    monkeypatch.setattr(Q, "SMALL_BOOST", dict(maxIter=3, stepSize=0.3, maxDepth=2))
+    monkeypatch.setattr(M, "BOOST", dict(M.BOOST, rounds=3, rate=0.3, max_depth=2))
     job = Q.forecast(spark, SF001, "2031-01-30", 3)
     days = rows(job["days"].orderBy("k", "step"), "k", "step", "d", "price", "demand", "price_trend")
     assert {(s, d.isoformat()) for _, s, d, *_ in days} == {(1, "2031-01-30"), (2, "2031-01-31"), (3, "2031-02-01")}
@@ -110,29 +111,28 @@ def test_registered_models_are_the_full_ones(spark, monkeypatch):
             query(spark, SF001)
         return e.value.args[0]
 
-    monkeypatch.setattr(Q.M, "GBTRegressor", seen)
+    monkeypatch.setattr(M.trees, "fit_boosting", seen)
     for query in (Q.boosted_demand, Q.feature_importance_top, Q.two_stage_demand, Q.demand_forecast, Q.forecast_report):
-        assert {k: v for k, v in asked(query).items() if k in M.BOOST} == M.BOOST
-    monkeypatch.setattr(Q.M, "RandomForestClassifier", seen)
-    assert {k: v for k, v in asked(Q.forest_custom).items() if k in M.FOREST_CUSTOM} == M.FOREST_CUSTOM
-    assert asked(Q.forest_grid_search)["weightCol"] == "weight"
-    monkeypatch.setattr(Q.M, "grid_search", seen)
-    assert asked(Q.forest_grid_search)["grid"] == M.GRID and len(M.GRID) == 3
+        assert asked(query) == M.BOOST
+    monkeypatch.setattr(M, "fit_custom_forest", seen)
+    assert asked(Q.forest_custom) == M.FOREST_CUSTOM
+    monkeypatch.setattr(M, "grid_search", seen)
+    assert asked(Q.forest_grid_search)["grid"] == M.GRID and len(M.GRID) == 4
 
 
 def test_grid_search_weighs_classes(spark):
     """Of 90 and 10 rows that features cannot tell apart, balanced forests do not always say the larger class."""
-    df = spark.createDataFrame([(float(i % 2), "ab"[i % 10 == 0], "u") for i in range(200)], "x double, y string, c string")
-    out = M.grid_search(df, ["x"], [], "y", grid={"numTrees": [3], "maxDepth": [2, 3]})
-    got = rows(out, "numTrees", "maxDepth", "accuracy")
-    assert {g[:2] for g in got} == {(3, 2), (3, 3)} and all(0.3 < g[2] < 0.85 for g in got)
-
-
-def test_boosting_in_steps_keeps_the_whole_searchs_round(spark):
-    """Rounds fitted in steps stop with the same model as all rounds at once."""
-    df = spark.range(300).selectExpr("cast(id % 17 as double) a", "cast(id % 5 as double) b", "(id % 17) * 2 + rand(1) * 8 y", "id % 3 = 0 is_valid")
-    settings = dict(maxIter=16, stepSize=0.7, maxDepth=3, subsamplingRate=1.0, seed=1)
-    short = M.fit_boosted(df, ["a", "b"], "y", "is_valid", patience=2, **settings).stages[-1]
-    whole = M.fit_boosted(df.filter("NOT is_valid"), ["a", "b"], "y", **settings)
-    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(df.filter("is_valid")), "squared")
-    assert len(short.trees) == M.best_round(errors, 2) if hasattr(short, "trees") else short.getNumTrees == M.best_round(errors, 2)
+    df = spark.createDataFrame([(float(i % 2), "ab"[i % 10 == 0], i) for i in range(200)], "x double, y string, i int")
+    out = M.grid_search(df, ["x"], [], "y", ["i"], grid=dict(n_trees=[3], max_depth=[2, None], min_split=[2], min_leaf=[1]))
+    got = rows(out, "n_trees", "max_depth", "accuracy")
+    assert {g[:2] for g in got} == {(3, 2), (3, None)} and all(0.2 < g[2] < 0.88 for g in got)
+
+
+def test_custom_forest_saves_and_loads(spark):
+    t = reco_table(spark, SF001)
+    rec = M.fit_custom_forest(t.filter("is_train"), RECO_FEATURES, RECO_CAT, "priority", RECO_KEYS, 4, 3, 4, 2)
+    path = os.path.join(checkpoint_dir(spark), "t-" + uuid.uuid4().hex[:8])
+    rec.save(path)
+    test = t.filter("NOT is_train")
+    a, b = (rows(M.score(m, test, keep=RECO_KEYS).orderBy(*RECO_KEYS)) for m in (rec, M.Recommender.load(spark, path)))
+    assert a == b and len(a) == test.count() and {x[-1] for x in a} <= {r[0] for r in t.select("priority").distinct().collect()}
