@@ -87,6 +87,17 @@ def test_counts_in_slices_and_texts_in_parts(spark, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows, slice_pairs=25)
 
 
+def test_ranks_encode_as_the_tokenizer_file(monkeypatch):
+    texts = [" ".join(t for _, t in ODD), *(r[1] for r in table()[:60])]
+    fast = alignment.Tokenizers(*PATHS)
+    assert fast.ranked
+    monkeypatch.setattr(alignment, "_ranked", lambda path: None)
+    slow = alignment.Tokenizers(*PATHS)
+    assert slow.ranked is None
+    for x, y in zip(alignment.align_texts(fast, texts), alignment.align_texts(slow, texts)):
+        assert x.tolist() == y.tolist() if hasattr(x, "tolist") else x == y
+
+
 def test_other_columns_and_empty_table(spark):
     out = token_alignment(edge_docs(spark), *PATHS)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] and out.count() == len(EDGE)
