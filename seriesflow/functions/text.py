@@ -46,6 +46,17 @@ def line_kind(line) -> Column:
 NUMBER = r"^\s*([+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?i:nan|inf|infinity))\s*$"
 
 
+# The lines around a frame of readings, and how an error line begins.
+HEADER, FOOTER, ERROR = "===== SENSOR READINGS =====", "============================", "Error:"
+
+
+def line_role(line) -> Column:
+    """What a line is in a frame: header, footer, error, reading or other."""
+    c = strip(line)
+    return (F.when(c == HEADER, "header").when(c == FOOTER, "footer").when(c.startswith(ERROR), "error")
+            .when(line_kind(c).isNotNull(), "reading").otherwise("other"))
+
+
 def _number_after_colon(line: Column, unit: str | None) -> Column:
     part = F.try_element_at(F.split(line, ":"), F.lit(2))
     if unit:

@@ -48,6 +48,21 @@ def fit_label_map(df: DataFrame, cols: Sequence[str], prefix_len: int | None = N
     return distinct.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
 
 
+def extend_label_map(label_map: DataFrame, df: DataFrame, cols: Sequence[str], prefix_len: int = 16) -> DataFrame:
+    """D2 refit: the map with the values of ``df`` it doesn't hold yet.
+
+    Old codes stay, so rows and models encoded before remain right; a column's new
+    values get the next free codes in sorted order. The values are numbered per
+    (column, value prefix) with offsets, so no task sorts a column; a column that the map doesn't know starts at 0."""
+    from seriesflow.operators.windows import series_row_number
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _as_label(c).alias("value")) for c in cols]))
+    new = df.select(pairs.alias("p")).select("p.column", "p.value").distinct().join(label_map.select("column", "value"), ["column", "value"], "left_anti")
+    num = series_row_number(new, ["column"], ["value"], F.substring(F.encode("value", "UTF-8"), 1, prefix_len), "_rn")
+    free = label_map.groupBy("column").agg((F.max("code") + 1).alias("_next"))
+    added = num.join(free, "column", "left").select("column", "value", (F.coalesce("_next", F.lit(0)) + F.col("_rn") - 1).cast("int").alias("code"))
+    return label_map.select("column", "value", "code").unionByName(added)
+
+
 def small_map(label_map: DataFrame) -> tuple[DataFrame, bool]:
     """The map as a local table and True if it is within the broadcast bounds, else as it is and False.
 

@@ -212,3 +212,26 @@ def horizon_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order)
     out = df.withColumns({c: F.last(c, True).over(fw) for c in cols})
     out = out.withColumns({c: F.first(c, True).over(bw) for c in cols})
     return out.withColumns({c: F.coalesce(F.col(c), F.avg(c).over(whole)) for c in cols})
+
+
+#: The column that a report's partitions are named by.
+STARTS = "forecast_start"
+
+
+def write_report(report: DataFrame, path: str, date_col: str = "d") -> str | None:
+    """A12 as a sink: append a report (``append_forecast``) under its first forecast day; returns that day.
+
+    A day's partition is replaced whole, others are left alone, so a job that
+    is run again leaves one copy. A report without a forecast row writes nothing."""
+    start = report.filter(F.col("kind") == "forecast").agg(F.min(date_col)).first()[0]
+    if start is None:
+        return None
+    (report.withColumn(STARTS, F.lit(start)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(STARTS).parquet(path))
+    return str(start)
+
+
+def read_report(spark, path: str, start: str | None = None) -> DataFrame:
+    """The report of one first forecast day, or all."""
+    df = spark.read.parquet(path)
+    return df if start is None else df.filter(F.col(STARTS) == F.lit(start).cast("date"))

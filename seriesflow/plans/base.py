@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesflow.functions.text import FOOTER, HEADER
 from seriesflow.operators.windows import series_window
 from seriesflow.sources.tables import read_table
 
@@ -67,6 +68,20 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_id").alias("seq"), line.alias("line"))
 
 
+def framed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full feed of a device: every event is one frame of an optional error line, header, readings and footer;
+    a header is lost where the id divides by 11, a footer where it divides by 13, a reading where the sensor failed."""
+    e = read_table(spark, sf_dir, "events")
+    i, v2 = F.col("event_id"), F.format_string("%.2f", F.col("value"))
+    raw = (F.floor(F.col("value") * 8).cast("int") % 4096).cast("string")
+    failed = i % 5 == 4
+    text = [F.when(failed, F.lit(LINE_TEMPLATES[4])), F.when(i % 11 != 0, F.lit(HEADER)), F.concat(F.lit("DHT11 Temperature: "), v2, F.lit(" °C")),
+            F.concat(F.lit("DHT11 Humidity: "), v2, F.lit(" %")), F.when(~failed, F.concat(F.lit("DS18B20 Temperature: "), v2, F.lit(" °C"))),
+            F.concat(F.lit("Soil Moisture Value: "), raw), F.when(i % 13 != 0, F.lit(FOOTER))]
+    parts = F.filter(F.array(*[F.struct((i * 10 + k).alias("seq"), t.alias("line")) for k, t in enumerate(text)]), lambda x: x["line"].isNotNull())
+    return e.select(F.col("user_id").alias("device_id"), F.col("ts").alias("event_ts"), F.explode(parts).alias("p")).select("device_id", "event_ts", "p.*")
+
+
 def naive_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``daily`` with ``pred`` = previous day's demand of the same series."""
     d = daily(spark, sf_dir)

@@ -6,6 +6,9 @@ the recursive forecast has an exact SQL oracle (a recursive CTE).
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from seriesflow.functions.calendar import calendar_exprs
@@ -17,6 +20,7 @@ from seriesflow.plans.registry import query as _query
 from seriesflow.plans import sqlgen
 from seriesflow.plans.sqlgen import (
     DAILY_CTE, INT_CALENDAR, calendar_sql, feature_sql, lag, roll_mean, roll_std)
+from seriesflow.session import checkpoint_dir
 
 # Values derived from fitted models are ~1e5 and their last bits differ between
 # engines, so every double here is compared at 4 places (tie-safe form).
@@ -150,6 +154,18 @@ def report_frame(spark, sf):
     return FC.append_forecast(h, fc.drop("step")).select("k", "d", "price", "demand", "kind")
 
 
+@query("report_sink", f"""{_FC_BOTH},
+tail AS (SELECT k, d, price, demand, row_number() OVER (PARTITION BY k ORDER BY d DESC) AS rn FROM daily)
+SELECT k, d, {r6('price')} AS price, {r6('demand')} AS demand, 'history' AS kind, (SELECT min(d) FROM fc) AS forecast_start FROM tail WHERE rn <= 90
+UNION ALL SELECT k, d, {r6('price')}, {r6('demand')}, 'forecast', (SELECT min(d) FROM fc) FROM fc""")
+def report_sink(spark, sf):
+    """A12 as a sink: the report written under its first forecast day, twice, and read back."""
+    path = os.path.join(checkpoint_dir(spark), "reports", uuid.uuid4().hex[:12])
+    for _ in range(2):
+        start = FC.write_report(report_frame(spark, sf), path)
+    return FC.read_report(spark, path, start)
+
+
 _PART = {f"{p}_roll{n}": roll_mean(p, n, full=False) for n in (3, 7, 14, 21) for p in ("demand", "price")}
 _PART.update({f"{p}_roll7_std": roll_std(p, 7, full=False) for p in ("demand", "price")})
 _PART.update({f"price_diff_{k}": f"price - {lag('price', k)}" for k in (1, 3, 7)})

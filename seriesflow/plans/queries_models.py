@@ -27,6 +27,7 @@ from seriesflow.operators import metrics, sensors, split, stats
 from seriesflow.operators import windows as W
 from seriesflow.plans import base
 from seriesflow.plans import models as M
+from seriesflow.plans.artifacts import Forecaster, encoders_and_scalers
 from seriesflow.plans.queries_forecast import _LOOKBACK as LOOKBACK
 from seriesflow.plans.registry import query
 from seriesflow.session import checkpoint_dir, cut_lineage
@@ -227,9 +228,8 @@ def model_recursive_forecast(spark, sf):
     return model_price_forecast(spark, sf)
 
 
-def _future_features(spark, sf, price_fc: DataFrame):
+def _future_features(d: DataFrame, price_fc: DataFrame):
     """J2 + N3: future rows with the forecast price, features over the history's tail and them."""
-    d = base.daily(spark, sf)
     last = W.last_row(d.select("k", "demand", "n", "d"), KEYS, "d").drop("d")
     fut = price_fc.join(last, "k")
     tail = W.last_rows(d, KEYS, "d", LOOKBACK)
@@ -239,19 +239,30 @@ def _future_features(spark, sf, price_fc: DataFrame):
     return f.filter(F.col("step").isNotNull()).withColumn("price_pred", F.col("price"))
 
 
-def forecast(spark, sf, start_date=None, n_days: int = H) -> dict[str, DataFrame]:
-    """N5 + N6, the whole job: the fitted price model recursively, its in-sample
-    predictions as a feature of the boosted demand model (L9), demand over the horizon.
+def fit_forecaster(spark, sf) -> Forecaster:
+    """Train both models: the price model, and the boosted demand model with the price model's in-sample predictions as a feature."""
+    d = cut_lineage(base.daily(spark, sf))
+    price_model, pp = price_predictions(spark, sf)
+    attached = FC.attach_predictions(d.select("k", "d"), pp, KEYS, "d", "price_pred")
+    demand, t, _ = _boosted(spark, sf, extra=attached)
+    label_map, scalers = encoders_and_scalers(d, KEYS, ["demand", "price", "n"])
+    return Forecaster(price_model.coefficients.toArray().tolist(), float(price_model.intercept), seq_features(seq_rows(spark, sf)), SEQ_W,
+                      demand, label_map, scalers, t.count())
+
+
+def forecast(spark, sf, start_date=None, n_days: int = H, forecaster: Forecaster | None = None) -> dict[str, DataFrame]:
+    """N5 + N6, the whole job: the price model recursively, demand over the horizon by the stacked demand model.
 
     ``days``: k, step, d, price, demand and trend arrows (unrounded, E11);
     ``summary``: H2 + H3 per series; ``report``: the last 90 days and the forecast (A12).
-    ``start_date`` (default: the day after a series' last) and ``n_days`` set the horizon."""
-    price_model, pp = price_predictions(spark, sf)
-    d = base.daily(spark, sf)
-    attached = FC.attach_predictions(d.select("k", "d"), pp, KEYS, "d", "price_pred")
-    model, _, feats = _boosted(spark, sf, extra=attached)
-    fut = _future_features(spark, sf, model_price_forecast(spark, sf, n_days, start_date, model=price_model))
-    dem = model.transform(FC.horizon_fill(fut, feats, KEYS, "step")).select(
+    ``start_date`` (default: the day after a series' last) and ``n_days`` set the horizon;
+    a saved ``forecaster`` is used as it is, without one both models are fitted."""
+    f = forecaster or fit_forecaster(spark, sf)
+    d = cut_lineage(base.daily(spark, sf))
+    start = F.to_date(F.lit(start_date)) if start_date is not None else None
+    price = FC.recursive_window_forecast(seq_rows(spark, sf), KEYS, "d", f.price_features, f.window, f.predict_price(), n_days, start)
+    fut = _future_features(d, cut_lineage(price))
+    dem = f.demand.transform(FC.horizon_fill(fut, f.demand.features, KEYS, "step")).select(
         "k", "step", "d", "price", F.col("prediction").alias("demand"))
     dem = cut_lineage(dem)  # three frames read it
     w = W.series_window(KEYS, "step")
@@ -276,6 +287,29 @@ def forecast_report(spark, sf):
     return job["days"].join(job["summary"], "k")
 
 
+@query("saved_forecast")
+def saved_forecast(spark, sf):
+    """A6 - A9 for the forecasting models: trained, published as a version, loaded as the newest one, and used: the days of ``forecast``."""
+    root = os.path.join(checkpoint_dir(spark), "artifacts", "forecaster-" + uuid.uuid4().hex[:12])
+    saved = Forecaster.load_or_fit(spark, root, lambda: fit_forecaster(spark, sf))
+    return forecast(spark, sf, forecaster=saved)["days"].select("k", "step", "d", "price", "demand")
+
+
+@query("price_model_metrics")
+def price_model_metrics(spark, sf):
+    """M1 - M4 of the fitted price model on the validation part, per series."""
+    t = cut_lineage(seq_table(spark, sf))
+    p = fit_price_model(t).transform(t.filter("NOT is_train"))
+    return metrics.regression_metrics(p, "y", "prediction", KEYS)
+
+
+@query("demand_model_metrics")
+def demand_model_metrics(spark, sf):
+    """M1 - M4 of the fitted demand model on the test part, per series."""
+    model, t, _ = _boosted(spark, sf)
+    return metrics.regression_metrics(model.transform(t.filter("NOT is_train")), "demand", "prediction", KEYS)
+
+
 # ---------------------------------------------------------------- sensor scoring
 # Growth stage and purpose the live feed scores with.
 STREAM_CONSTANTS = {"stage": "Panicle Initiation", "purpose": "Phosphorus for root development"}

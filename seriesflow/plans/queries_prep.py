@@ -294,6 +294,17 @@ def safe_encode(spark, sf):
     return encode.encode(c.select("c_custkey", "c_name"), m, ["c_name"], mode="safe")
 
 
+@query("extended_label_map", """WITH pairs AS (SELECT 'c_name' AS col, c_name AS value, c_acctbal FROM customer
+  UNION ALL SELECT 'c_mktsegment', c_mktsegment, c_acctbal FROM customer),
+v AS (SELECT col, value, max(c_acctbal) < 0 AS later FROM pairs GROUP BY col, value)
+SELECT col AS "column", value, CAST(row_number() OVER (PARTITION BY col ORDER BY later, value) - 1 AS INTEGER) AS code FROM v""")
+def extended_label_map(spark, sf):
+    """D2 refit: a map fitted on customers without debt, extended by all customers; old codes stay, unseen values follow."""
+    c = read_table(spark, sf, "customer")
+    cols = ["c_name", "c_mktsegment"]
+    return encode.extend_label_map(encode.fit_label_map(c.filter(F.col("c_acctbal") >= 0), cols, prefix_len=16), c, cols)
+
+
 @query("unseen_report", f"""WITH {_SAFE_MAP}
 SELECT 'c_name' AS "column", c_name AS value, count(*) AS n_rows FROM customer
 WHERE c_name NOT IN (SELECT value FROM m) GROUP BY c_name""")
@@ -398,6 +409,14 @@ def chronological_split(spark, sf):
     return split.chronological_split(d, DK, DO)
 
 
+@query("unkeyed_chronological_split", """SELECT event_id,
+  row_number() OVER (ORDER BY ts, event_id) <= floor(0.8 * count(*) OVER ()) AS is_train FROM events""")
+def unkeyed_chronological_split(spark, sf):
+    """I1 over one series of all events: the cut is an order statistic of (time, id), found by counting."""
+    e = read_table(spark, sf, "events").select("event_id", "ts")
+    return split.chronological_split(e, [], ["ts", "event_id"]).drop("ts")
+
+
 _HB = "CAST(('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), '42')), 1, 8))::BIGINT % 100 AS INTEGER)"
 
 

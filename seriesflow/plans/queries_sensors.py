@@ -59,6 +59,41 @@ def line_kind_counts(spark, sf):
     return S.kind_counts(parsed_lines(spark, sf))
 
 
+def _frame_value(k: str) -> str:
+    return f"arg_max(value, pos) FILTER (WHERE kind = '{k}')"
+
+
+_FRAMED = """raw AS (SELECT user_id AS device_id, ts AS event_ts, event_id, event_id * 10 + k AS seq, value AS v, k,
+    CASE k WHEN 0 THEN CASE WHEN event_id % 5 = 4 THEN 'Error: DS18B20 not detected!' END
+      WHEN 1 THEN CASE WHEN event_id % 11 <> 0 THEN '===== SENSOR READINGS =====' END
+      WHEN 2 THEN 'DHT11 Temperature: ' || printf('%.2f', value) || ' °C' WHEN 3 THEN 'DHT11 Humidity: ' || printf('%.2f', value) || ' %'
+      WHEN 4 THEN CASE WHEN event_id % 5 <> 4 THEN 'DS18B20 Temperature: ' || printf('%.2f', value) || ' °C' END
+      WHEN 5 THEN 'Soil Moisture Value: ' || CAST(CAST(floor(value * 8) AS INTEGER) % 4096 AS VARCHAR)
+      ELSE CASE WHEN event_id % 13 <> 0 THEN '============================' END END AS line
+  FROM events, (SELECT unnest(range(7)) AS k))"""
+
+
+@query("sensor_frames", f"""WITH {_FRAMED},
+l AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY event_ts, seq) AS pos,
+    CASE k WHEN 0 THEN 'error' WHEN 1 THEN 'header' WHEN 6 THEN 'footer' ELSE 'reading' END AS role,
+    CASE k WHEN 2 THEN 'air_temp' WHEN 3 THEN 'air_humidity' WHEN 4 THEN 'soil_temp' WHEN 5 THEN 'soil_moisture' END AS kind,
+    CASE WHEN k IN (2, 3, 4) THEN CAST(printf('%.2f', v) AS DOUBLE)
+      WHEN k = 5 THEN CAST(floor(v * 8) AS INTEGER) % 4096 / CAST(4095.0 AS DOUBLE) * CAST(100.0 AS DOUBLE) END AS value
+  FROM raw WHERE line IS NOT NULL),
+m AS (SELECT *, count(*) FILTER (WHERE role = 'header') OVER w AS n,
+    last_value(CASE WHEN role IN ('header', 'footer') THEN role END IGNORE NULLS) OVER w AS mark
+  FROM l WINDOW w AS (PARTITION BY device_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+f AS (SELECT *, n + CASE WHEN role NOT IN ('header', 'footer') AND coalesce(mark, 'footer') = 'footer' THEN 1 ELSE 0 END AS frame FROM m),
+g AS (SELECT device_id, frame, arg_min(event_ts, pos) AS first_event_ts, arg_min(seq, pos) AS first_seq, arg_max(event_ts, pos) AS last_event_ts,
+    arg_max(seq, pos) AS last_seq, count(*) AS n_lines, {', '.join(f"{_frame_value(k)} AS {k}" for k in S.KINDS)},
+    bool_or(role = 'header') AS has_header, bool_or(role = 'footer') AS has_footer, bool_or(role = 'error') AS has_error FROM f GROUP BY device_id, frame)
+SELECT device_id, frame, first_event_ts, first_seq, last_event_ts, last_seq, n_lines, {', '.join(f"{r6(k)} AS {k}" for k in S.KINDS)},
+  has_header, has_footer, has_error, has_header AND has_footer AND {' AND '.join(f'{k} IS NOT NULL' for k in S.KINDS)} AS complete FROM g""")
+def sensor_frames(spark, sf):
+    """The feed's lines assembled into frames by their header and footer lines."""
+    return S.assemble_frames(base.framed_lines(spark, sf), LK, LO)
+
+
 def _carry(k: str) -> str:
     return (f"last_value(CASE WHEN status = 'ok' AND kind = '{k}' THEN value END IGNORE NULLS) OVER "
             "(PARTITION BY device_id ORDER BY event_ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
@@ -133,3 +168,12 @@ def stream_first_complete(spark, sf):
     (state: the latest value per kind of open devices, carried from batch to batch)."""
     from seriesflow.streaming.sensors import run_first_complete_stream
     return run_first_complete_stream(spark, base.lines(spark, sf))
+
+
+@query("stream_first_complete_expiring", ORACLE["complete_readings"])
+def stream_first_complete_expiring(spark, sf):
+    """O3 on a stream with bounded state: devices that are silent for 400 days (longer than the feed) are forgotten."""
+    from datetime import timedelta
+
+    from seriesflow.streaming.sensors import run_first_complete_stream
+    return run_first_complete_stream(spark, base.lines(spark, sf), ttl=timedelta(days=400))

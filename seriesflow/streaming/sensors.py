@@ -22,11 +22,12 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesflow.functions.text import KINDS, strip
+from seriesflow.functions.text import KINDS
 from seriesflow.operators.sensors import complete_readings, parse_lines
 from seriesflow.session import checkpoint_dir
 
@@ -61,14 +62,6 @@ def read_line_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(LINE_SCHEMA).parquet(path)
 
 
-def read_text_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A10 for raw text files (one reading per line, no device id / event time in the
-    text): arrival time is ``current_timestamp()``, the device is the file name."""
-    raw = spark.readStream.text(path)
-    return raw.select(F.input_file_name().alias("device"), F.current_timestamp().alias("event_ts"),
-                      strip("value").alias("line"))
-
-
 def parse_stream(df: DataFrame) -> DataFrame:
     """O1: the batch parser is stateless, so it runs unchanged on a stream."""
     return parse_lines(df)
@@ -92,24 +85,29 @@ def latest_by_window(parsed: DataFrame, window: str = "60 seconds",
 class FirstComplete:
     """O3 for ``foreachBatch``: per device, one row when all four kinds have been seen.
 
-    ``then`` (O4) maps the emitted rows, for instance through a model. A device
-    is remembered for good, so it emits once however long it is silent.
+    ``then`` (O4) maps the emitted rows, for instance through a model. With
+    ``ttl`` (a time delta) a device whose last reading is older than the newest
+    one of all by more than that leaves the state, which then holds no more than the devices of
+    such a span; should it come back, it starts anew and may emit again.
+    Without it a device is remembered for good. Each batch reads the state of the
+    batch before and writes its own, so a batch that is run again, or a query
+    that goes on from its checkpoint, finds what it needs.
     """
 
-    def __init__(self, base: str, then: Callable[[DataFrame], DataFrame] | None = None):
-        self.base, self.then = base, then
+    def __init__(self, base: str, then: Callable[[DataFrame], DataFrame] | None = None, ttl: timedelta | None = None):
+        self.base, self.then, self.ttl = base, then, ttl
         self.sink = os.path.join(base, "sink")
 
-    def _state(self, batch_id: int) -> str:
+    def state_path(self, batch_id: int) -> str:
         return os.path.join(self.base, "state", f"batch={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = (spark.read.schema(STATE_SCHEMA).parquet(self._state(batch_id - 1)) if batch_id
+        held = (spark.read.schema(STATE_SCHEMA).parquet(self.state_path(batch_id - 1)) if batch_id
                 else spark.createDataFrame([], STATE_SCHEMA))
         emitted = held.where("emitted")
-        seen = (batch.where("status = 'ok'").select(*KEYS, *ORDER, "kind", "value")
-                .join(emitted.select(*KEYS), KEYS, "left_anti")
+        ok = batch.where("status = 'ok'").select(*KEYS, *ORDER, "kind", "value").persist()
+        seen = (ok.join(emitted.select(*KEYS), KEYS, "left_anti")
                 .unionByName(held.where("not emitted").drop("emitted"))).withColumn("status", F.lit("ok")).persist()
         done = complete_readings(seen, KEYS, ORDER).persist()
         out = self.then(done) if self.then else done
@@ -118,13 +116,23 @@ class FirstComplete:
         open_kinds = (seen.join(done.select(*KEYS), KEYS, "left_anti").groupBy(*KEYS, "kind")
                       .agg(F.max(pos).alias("p"), F.max_by("value", pos).alias("value"))
                       .select(*KEYS, "p.*", "kind", "value", F.lit(False).alias("emitted")))
-        closed = done.select(*KEYS, F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit(None).cast("long").alias("seq"),
-                             F.lit(None).cast("string").alias("kind"), F.lit(None).cast("double").alias("value"),
-                             F.lit(True).alias("emitted"))
-        (open_kinds.unionByName(closed).unionByName(emitted).coalesce(max(1, spark.sparkContext.defaultParallelism))
-         .write.mode("overwrite").parquet(self._state(batch_id)))
-        done.unpersist()
-        seen.unpersist()
+        # An emitted device's row holds when it was last heard of.
+        heard = (done.select(*KEYS, F.col("done_event_ts").alias("event_ts")).unionByName(emitted.select(*KEYS, "event_ts"))
+                 .join(ok.groupBy(*KEYS).agg(F.max("event_ts").alias("now")), KEYS, "left"))
+        closed = heard.select(*KEYS, F.greatest("event_ts", "now").alias("event_ts"), F.lit(None).cast("long").alias("seq"),
+                              F.lit(None).cast("string").alias("kind"), F.lit(None).cast("double").alias("value"),
+                              F.lit(True).alias("emitted"))
+        state = open_kinds.unionByName(closed).select(*[c.split()[0] for c in STATE_SCHEMA.split(", ")])
+        if self.ttl is not None:
+            state = state.persist()
+            newest = state.agg(F.max("event_ts")).first()[0]
+            if newest is not None:
+                floor = F.lit((newest - self.ttl).isoformat(sep=" ")).cast("timestamp_ntz")
+                state = state.join(state.where(F.col("event_ts") >= floor).select(*KEYS).distinct(), KEYS, "left_semi")
+        (state.coalesce(max(1, spark.sparkContext.defaultParallelism))
+         .write.mode("overwrite").parquet(self.state_path(batch_id)))
+        for df in (state, done, seen, ok):
+            df.unpersist()
 
 
 def _run(stream: DataFrame, base: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> None:
@@ -172,9 +180,9 @@ def run_window_stream(spark: SparkSession, lines: DataFrame, window: str = "1 da
 
 
 def run_first_complete_stream(spark: SparkSession, lines: DataFrame,
-                              then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                              then: Callable[[DataFrame], DataFrame] | None = None, ttl: timedelta | None = None) -> DataFrame:
     """O3 run (with ``then``: O4): one row per device that completed a reading."""
     base = run_dir(spark, "complete")
-    each = FirstComplete(base, then)
+    each = FirstComplete(base, then, ttl)
     _replay(spark, lines, base, lambda s: _run(parse_stream(s), base, each))
     return spark.read.parquet(each.sink).drop("batch")
