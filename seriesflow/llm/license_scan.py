@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,6 +27,24 @@ NOTICES = [
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license"),
     ("all-rights-reserved", "all rights reserved"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the"
+                 " software to deal in the software without restriction including without limitation the rights to use copy modify merge publish"
+                 " distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject"
+                 " to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial"
+                 " portions of the software the software is provided as is without warranty of any kind express or implied including but not limited"
+                 " to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or"
+                 " copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising"
+                 " from out of or in connection with the software or the use or other dealings in the software"),
+    ("isc-text", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that"
+                 " the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims"
+                 " all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the"
+                 " author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data"
+                 " or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or"
+                 " performance of this software"),
+    ("apache-header", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may"
+                      " obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in"
+                      " writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"
+                      " either express or implied see the license for the specific language governing permissions and limitations under the license"),
 ]
 #: Bytes between words (after lower-casing): all below 0x80 but digits and letters.
 BREAKS = classes(bytes(range(0x30)) + bytes(range(0x3A, 0x61)) + bytes(range(0x7B, 0x80)))
@@ -54,28 +75,47 @@ def chains(hits: list[tuple[int, int]], grams: int) -> list[tuple[int, int, floa
 
     Position and place rise along a chain, and the diagonal moves by at most
     BAND from one hit to the next. Of equally long chains the one that begins
-    last counts, then the one that ends first; the text before and after it is searched again.
+    last counts, then the one that ends first; the text before and after it goes
+    on without it. A chain reaches back over a bounded number of words, so taking
+    one changes only the chains of hits shortly behind it: those alone are
+    computed again, and the time is linear in the hits, however often a notice repeats.
     """
-    spans, parts = [], [sorted(hits)]
-    while parts:
-        part, best, low = parts.pop(), [], 0
-        for k, (at, place) in enumerate(part):
-            while at - part[low][0] > grams + BAND:
-                low += 1
-            n, first = 0, at
-            for j in range(low, k):
-                x, q = part[j]
-                if x < at and q < place and abs((at - place) - (x - q)) <= BAND and best[j] > (n, first if n else -1):
-                    n, first = best[j]
-            best.append((n + 1, first))
-        if not part:
+    part = sorted(set(hits))
+    at = [x for x, _ in part]
+    least, reach = LEAST_COVER * grams, grams * (1 + BAND)
+    free, wall, best = [True] * len(part), [-1] * len(part), []
+
+    def longest(k: int) -> tuple[int, int]:
+        """Hits and first position of the best chain that ends here, of free hits beyond the wall."""
+        here, place = part[k]
+        n, first = 0, here
+        for j in range(bisect_left(at, max(here - grams - BAND, wall[k] + 1), 0, k), k):
+            x, q = part[j]
+            if free[j] and x < here and q < place and abs((here - place) - (x - q)) <= BAND and best[j] > (n, first if n else -1):
+                n, first = best[j]
+        return n + 1, first
+
+    heap = []
+    for k in range(len(part)):
+        best.append(longest(k))
+        if best[k][0] >= least:
+            heap.append((-best[k][0], -best[k][1], at[k], k))
+    heapify(heap)
+    spans = []
+    while heap:
+        n, first, _, k = heappop(heap)
+        if not free[k] or best[k] != (-n, -first):
             continue
-        k = max(range(len(part)), key=lambda i: (*best[i], -part[i][0]))
-        n, first = best[k]
-        if n >= LEAST_COVER * grams:
-            last = part[k][0] + K - 1
-            spans.append((first, last, n / grams))
-            parts += [[h for h in part if h[0] + K - 1 < first], [h for h in part if h[0] > last]]
+        n, first, last = -n, -first, at[k] + K - 1
+        spans.append((first, last, n / grams))
+        low, high = bisect_left(at, first - K + 1), bisect_right(at, last)
+        free[low:high] = [False] * (high - low)
+        for k in range(high, bisect_right(at, last + reach)):
+            wall[k] = max(wall[k], last)
+            if free[k] and best[k][1] <= last:
+                best[k] = longest(k)
+                if best[k][0] >= least:
+                    heappush(heap, (-best[k][0], -best[k][1], at[k], k))
     return spans
 
 
@@ -97,8 +137,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     notice's k-grams. ``score`` is the best cover of any span.
 
     Null texts count as empty and have no words; rows with the same doc_id and
-    text share their spans (hits of repeated rows count once). Other columns
-    are ignored; empty tables give empty results.
+    text share their spans (hits of repeated rows count once). Very long texts
+    are hashed in chunks of 4096 words; a document's hits of one notice are checked together, in time linear
+    in their number. Other columns are ignored; empty tables give empty results.
     """
     kind = dict(docs.dtypes)[id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))

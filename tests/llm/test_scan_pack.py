@@ -1,4 +1,5 @@
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -7,7 +8,7 @@ import public_tokenizers
 from edge import EDGE, edge_docs, empty_docs, lower, table
 from tokenizers import Tokenizer
 
-from seriesflow.llm.license_scan import BASE, NOTICES, chains, scan
+from seriesflow.llm.license_scan import BAND, BASE, K, LEAST_COVER, NOTICES, chains, scan
 from seriesflow.llm.packing import harmonic_pieces, pack
 
 SF = "/root/testdata/sf0.001"
@@ -79,6 +80,52 @@ def test_chains_drop_strays():
     assert chains([(40 * (8 - q), q) for q in range(8)], 8) == [] and chains([], 8) == []
 
 
+def chains_by_searching_again(hits, grams):
+    """The definition: take the best chain, then search the text before and after it from the start."""
+    spans, parts = [], [sorted(set(hits))]
+    while parts:
+        part, best = parts.pop(), []
+        for k, (at, place) in enumerate(part):
+            n, first = 0, at
+            for j, (x, q) in enumerate(part[:k]):
+                if at - x <= grams + BAND and x < at and q < place and abs((at - place) - (x - q)) <= BAND and best[j] > (n, first if n else -1):
+                    n, first = best[j]
+            best.append((n + 1, first))
+        if part:
+            k = max(range(len(part)), key=lambda i: (*best[i], -part[i][0]))
+            n, first = best[k]
+            if n >= LEAST_COVER * grams:
+                last = part[k][0] + K - 1
+                spans.append((first, last, n / grams))
+                parts += [[h for h in part if h[0] + K - 1 < first], [h for h in part if h[0] > last]]
+    return spans
+
+
+def test_chains_equal_their_definition():
+    rng = np.random.default_rng(8)
+    found = 0
+    for trial in range(400):
+        grams = int(rng.integers(1, 9))
+        hits = [(int(a), int(q)) for a, q in zip(rng.integers(0, 60, 70), rng.integers(0, grams, 70))]
+        for start in rng.integers(0, 60, 4):
+            hits += [(int(start) + q + int(rng.integers(0, 2)), q) for q in range(grams) if rng.random() < 0.8]
+        got = sorted(chains(hits, grams))
+        assert got == sorted(chains_by_searching_again(hits, grams)), trial
+        found += len(got)
+    assert found > 400
+
+
+def test_a_notice_a_hundred_thousand_times_in_one_text(spark):
+    began = time.time()
+    n = 100_000
+    rows = [(1, "all rights reserved " * n), (2, "of the " * n), (3, "free software foundation either of the " * (n // 5)), (4, "word" * 500_000)]
+    out, spans = scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = {r.doc_id: r for r in out.collect()}
+    assert out[1].labels == "all-rights-reserved" and out[1].n_words == 3 * n and out[2].n_words == 2 * n and out[4].n_words == 1
+    assert spans.where("doc_id = 1").count() == n and out[2].labels == out[4].labels == ""
+    assert time.time() - began < 120
+
+
 def test_harmonic_pieces():
     for n in [*range(0, 9000, 7), 4096, 2048, 1365, 1366]:
         pieces = harmonic_pieces(n)
