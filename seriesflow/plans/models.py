@@ -24,6 +24,7 @@ from seriesflow.session import cut_lineage
 
 # Fixed values of the reference's model configurations.
 FOREST = dict(numTrees=150, maxDepth=10, seed=42)
+FOREST_OWN = dict(n_trees=150, max_depth=10, min_split=2, min_leaf=1, seed=42)  # FOREST on the library's trees
 FOREST_CUSTOM = dict(n_trees=300, max_depth=12, min_split=4, min_leaf=2, seed=42)
 GRID = dict(n_trees=[100, 200, 300], max_depth=[8, 10, 12, None], min_split=[2, 4, 6], min_leaf=[1, 2, 3])
 BOOST = dict(rounds=2000, rate=0.01, max_depth=10, subsample=0.8, per_tree=0.8, per_level=0.8, l1=0.1, l2=0.1, patience=100, seed=42)
@@ -132,10 +133,7 @@ def score(rec: Recommender, df: DataFrame, keep: list[str] = (), constants: dict
     else:
         x = VectorAssembler(inputCols=fcols, outputCol="features", handleInvalid="keep").transform(x)
         pred = rec.model.transform(x).withColumn("prediction", F.col("prediction").cast("int"))
-    # the target's map has one row per class (bounded by the model's numClasses)
-    m = (rec.label_map.filter(F.col("column") == rec.target)
-         .select(F.col("code").alias("prediction"), F.col("value").alias(label_out)))
-    return pred.join(F.broadcast(m), "prediction", "left").select(*keep, "prediction", label_out)
+    return encode.decode(pred, rec.label_map, "prediction", label_out, rec.target).select(*keep, "prediction", label_out)
 
 
 def _class_table(df: DataFrame, features, categorical, target, keys, folds: int, seed: int):

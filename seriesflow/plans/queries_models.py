@@ -50,14 +50,14 @@ def reco_table(spark, sf) -> DataFrame:
     return split.hash_split(t, RECO_KEYS)
 
 
-def _fit_reco(spark, sf, **forest):
+def _fit_reco(spark, sf, forest=None):
     t = reco_table(spark, sf)
     train, test = t.filter("is_train"), t.filter("NOT is_train")
-    return M.fit_recommender(train, RECO_FEATURES, RECO_CAT, "priority", **forest), test
+    return M.fit_custom_forest(train, RECO_FEATURES, RECO_CAT, "priority", RECO_KEYS, **(forest or M.FOREST_OWN)), test
 
 
-def _scored(spark, sf, **forest):
-    rec, test = _fit_reco(spark, sf, **forest)
+def _scored(spark, sf, forest=None):
+    rec, test = _fit_reco(spark, sf, forest)
     return M.score(rec, test, keep=RECO_KEYS + ["priority"])
 
 
@@ -70,9 +70,7 @@ def forest_classify(spark, sf):
 @query("forest_custom", round_output=False)
 def forest_custom(spark, sf):
     """L2: the configurable forest with every stopping rule (300 trees, depth 12, 4 rows to split, 2 in a leaf)."""
-    t = reco_table(spark, sf)
-    rec = M.fit_custom_forest(t.filter("is_train"), RECO_FEATURES, RECO_CAT, "priority", RECO_KEYS, **M.FOREST_CUSTOM)
-    return M.score(rec, t.filter("NOT is_train"), keep=RECO_KEYS + ["priority"])
+    return _scored(spark, sf, M.FOREST_CUSTOM)
 
 
 @query("forest_metrics")

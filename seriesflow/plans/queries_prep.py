@@ -311,8 +311,8 @@ WHERE c_name NOT IN (SELECT value FROM m) GROUP BY c_name""")
 def unseen_report(spark, sf):
     """D3 diagnostics: unseen values and how many rows carry them."""
     c = read_table(spark, sf, "customer")
-    m = encode.fit_label_map(c.filter(F.col("c_acctbal") >= 0), ["c_name"])
-    return encode.unseen_counts(c, m, ["c_name"])
+    known = c.filter(F.col("c_acctbal") >= 0).select(F.lit("c_name").alias("column"), F.col("c_name").alias("value")).distinct()
+    return encode.unseen_counts(c, known, ["c_name"])
 
 
 @query("inverse_encode", """SELECT o_orderkey,

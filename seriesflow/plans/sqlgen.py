@@ -26,14 +26,6 @@ LINES_CTE = """lines AS (
       ELSE 'Error: DS18B20 not detected!' END AS line
   FROM events)"""
 
-PARSED_CTE = """parsed AS (
-  SELECT device_id, event_ts, seq, line,
-    CASE WHEN contains(line, 'DHT11 Temperature') THEN 'air_temp'
-         WHEN contains(line, 'DHT11 Humidity') THEN 'air_humidity'
-         WHEN contains(line, 'DS18B20 Temperature') THEN 'soil_temp'
-         WHEN contains(line, 'Soil Moisture Value') THEN 'soil_moisture' END AS kind,
-    TRY_CAST(trim(replace(replace(split_part(line, ':', 2), '°C', ''), '%', '')) AS DOUBLE) AS raw_value
-  FROM lines)"""
 
 W_DAILY = "PARTITION BY k ORDER BY d"
 

@@ -14,13 +14,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+#: Declared schemas of the tables that the queries of this library read; a file is never opened to infer one.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                 "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table, NaN as NULL (A4); Catalyst prunes columns / pushes filters into it."""
-    return nans_to_nulls(spark.read.parquet(table_path(sf_dir, name)))
+    """A1: Parquet scan of one driver table with its declared schema (others: the file's), NaN as NULL (A4); Catalyst
+    prunes columns / pushes filters into it."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return nans_to_nulls(reader.parquet(table_path(sf_dir, name)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
@@ -29,16 +41,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     return nans_to_nulls(spark.read.schema(schema).option("header", header).option("sep", sep).csv(path))
 
 
-def read_any(spark: SparkSession, path: str, fmt: str = "parquet",
-             schema: StructType | str | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    if fmt == "csv":
-        r = r.option("header", True)
-    return r.format(fmt).load(path)
-
-
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     """A2: schema-level check (no job). Raises ``ValueError`` naming what is absent."""
     missing = [n for n in names if n not in df.columns]
@@ -47,17 +49,6 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def parse_time_column(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
-    """A3: time column -> date. Strings are parsed with ``fmt``; bad strings become NULL."""
-    c = F.col(col)
-    dt = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)[col]
-    if dt == "string":
-        parsed = F.to_date(F.try_to_timestamp(c, F.lit(fmt or "yyyy-MM-dd")))
-    else:
-        parsed = F.to_date(c)
-    return df.withColumn(col, parsed)
-
-
 def profile(df: DataFrame) -> DataFrame:
     """A5: one row with the row count and column count (column list lives in the schema)."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
