@@ -1,16 +1,28 @@
-"""Document quality from a linear-chain conditional random field over lines."""
+"""Document quality from a linear-chain conditional random field over lines.
+
+Documents are labelled, lines aren't: a good document may hold some bad lines,
+and a bad one many good ones. So line labels are latent. Expectation rounds
+ask the field for each line's marginal under a condition on its document (the
+length-weighted share of good lines is at least ``GOOD_SHARE`` in a good
+document and at most ``BAD_SHARE`` in a bad one); maximisation steps fit the
+field to these marginals. The first round starts from what a line shows itself.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesflow.llm.common import BLANK, LOWER_TABLE, classes, crc_mod, row_slices, span_hashes, text_buffers, word_spans
 
-#: The fit reads at most so many labelled documents (by the hash of doc_id), each of at most so many lines.
-SAMPLE, SAMPLE_LINES = 5000, 4000
+#: The fit reads at most so many labelled documents (by the hash of doc_id), and of these the first ones with so many lines in all.
+SAMPLE, SAMPLE_LINES = 5000, 200_000
+#: Least share of good lines in a good document and largest in a bad one, by length, while line labels are learned.
+GOOD_SHARE, BAD_SHARE = 0.95, 0.5
+#: Signs of a bad line that the first round starts from.
+SIGNS = {"one": 2.0, "upper": -1.0, "symbols": -1.0, "exclaims": -1.0, "separators": -1.0, "echo": -2.0, "repeat_line": -2.0}
 SLICE = 4 << 20
 FEATURES = ("one", "log_bytes", "upper", "symbols", "exclaims", "digits", "non_ascii", "blanks", "ends", "capital",
             "separators", "log_words", "word_length", "distinct", "echo", "repeat_line")
@@ -114,28 +126,52 @@ def text_scores(x, size, first, model) -> np.ndarray:
     return np.add.reduceat(good * size, first[:-1]) / np.add.reduceat(size, first[:-1])
 
 
-def train_crf(x, size, first, label, rounds: int = 200, rate: float = 0.1, penalty: float = 1e-3) -> dict:
-    """Maximise the conditional likelihood by Adam; every line of a document carries the document's label.
+def clamped(score: np.ndarray, size: np.ndarray, first: np.ndarray, trans: np.ndarray, label: np.ndarray,
+            steps: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals and expected transitions of the field nearest to the given one that keeps each document's condition.
+
+    That field adds the same multiple of a line's length to each of its
+    document's line scores (none where the condition holds anyway); the multiple is found by halving."""
+    lengths = np.diff(first)
+    share = size / np.repeat(np.add.reduceat(size, first[:-1]), lengths)
+    weight = share * np.repeat(lengths, lengths)
+    held = lambda good: np.add.reduceat(good * share, first[:-1])
+    good, _, pairs = forward_backward(score, first, trans)
+    wrong = np.where(label > 0, held(good) < GOOD_SHARE, held(good) > BAD_SHARE)
+    if not wrong.any():
+        return good, pairs
+    sign, goal = np.where(label > 0, 1.0, -1.0) * wrong, np.where(label > 0, GOOD_SHARE, BAD_SHARE)
+    low, high = np.zeros(len(lengths)), np.full(len(lengths), 30.0)
+    for _ in range(steps):
+        middle = (low + high) / 2
+        good, _, pairs = forward_backward(score + np.repeat(sign * middle, lengths) * weight, first, trans)
+        enough = np.where(label > 0, held(good) >= goal, held(good) <= goal)
+        low, high = np.where(enough, low, middle), np.where(enough, middle, high)
+    good, _, pairs = forward_backward(score + np.repeat(sign * high, lengths) * weight, first, trans)
+    return good, pairs
+
+
+def train_crf(x, size, first, label, rounds: int = 8, steps: int = 30, rate: float = 0.1, penalty: float = 1e-3) -> dict:
+    """Latent line labels: ``rounds`` times, clamp the field to the documents' labels and move it there by ``steps`` of Adam.
 
     A logistic curve then maps the aggregated marginal to the probability of label 1."""
     feats = with_neighbours(x, first).astype(np.float64)
-    y = np.repeat(label, np.diff(first)).astype(float)
-    inner = np.ones(len(y), bool)
-    inner[first[:-1]] = False
-    at = np.flatnonzero(inner)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[at - 1].astype(int), y[at].astype(int)), 1)
     theta = np.zeros(feats.shape[1] + 4)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, rounds + 1):
-        good, _, pairs = forward_backward(feats @ theta[:-4], first, theta[-4:].reshape(2, 2))
-        grad = np.concatenate([feats.T @ (y - good), (seen - pairs).ravel()]) / len(y) - penalty * theta
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        theta += rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    for name, value in SIGNS.items():
+        theta[FEATURES.index(name)] = value
+    m, v, step = np.zeros_like(theta), np.zeros_like(theta), 0
+    for _ in range(rounds):
+        y, seen = clamped(feats @ theta[:-4], size, first, theta[-4:].reshape(2, 2), label)
+        for _ in range(steps):
+            step += 1
+            good, _, pairs = forward_backward(feats @ theta[:-4], first, theta[-4:].reshape(2, 2))
+            grad = np.concatenate([feats.T @ (y - good), (seen - pairs).ravel()]) / len(y) - penalty * theta
+            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
+            theta += rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     model = {"w": theta[:-4], "trans": theta[-4:].reshape(2, 2), "curve": np.array([0.0, 1.0])}
     z = logit(text_scores(x, size, first, model))
     a = b = 0.0
-    for _ in range(500):  # Newton would do too; the curve has two numbers
+    for _ in range(2000):  # Newton would do too; the curve has two numbers
         p = 1 / (1 + np.exp(-(a + b * z)))
         a += 2.0 * np.mean(label - p)
         b += 0.2 * np.mean((label - p) * z) - 1e-4 * b
@@ -149,17 +185,26 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-        folds: int = 5, sample: int = SAMPLE) -> dict | None:
+        folds: int = 5, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES) -> dict | None:
     """Learn from at most ``sample`` labelled documents whose crc32(id) mod ``folds`` is not 0, chosen by the id's hash.
 
-    The sample's ids (bounded) are broadcast to the documents; the driver gets
-    line features, not texts. None when there is no labelled document.
+    Of these the first ones count that have ``sample_lines`` lines together, so
+    that the driver, which gets line features and no texts, holds a bounded
+    number of lines (48 numbers each); a document that has more on its own is left out. The sample's ids are broadcast to the
+    documents. Null labels, ids and documents without a label aren't used; a repeated id is learned once a row of each
+    table. None when there is no labelled document (or table). Ids may have any type; other columns are ignored.
     """
+    kind = dict(docs.dtypes)[id_col]
     chosen = (labels.where((crc_mod(id_col, folds) != 0) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), "doc_id").where(f"size(split(coalesce(text, ''), '\\n')) <= {SAMPLE_LINES}"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    lines = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\\n")) + 1
+    sizes = rows.select("doc_id", "label", F.xxhash64("text").alias("key"), lines.alias("lines")).where(F.col("lines") <= sample_lines)
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "key").rowsBetween(Window.unboundedPreceding, 0)  # the sample's rows, without texts
+    ahead = sizes.withColumn("ahead", F.sum("lines").over(order))
+    within = ahead.where(F.col("ahead") <= sample_lines).select("doc_id").distinct()
+    rows = rows.where(lines <= sample_lines).join(F.broadcast(within), "doc_id", "left_semi")
 
     def features(batches):
         for batch in batches:
@@ -172,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(label[i:j]), cells, sizes],
                                                  names=["doc_id", "label", "x", "size"])
 
-    got = rows.mapInArrow(features, "doc_id long, label double, x array<float>, size array<double>").toArrow()
+    got = rows.mapInArrow(features, f"doc_id {kind}, label double, x array<float>, size array<double>").toArrow()
     if got.num_rows == 0:
         return None
     got = got.sort_by("doc_id").combine_chunks()
@@ -188,7 +233,9 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
 
     ``score``: probability of label 1, from the length-weighted marginals of the
     text's lines. Null, empty and blank texts are one empty line. Without a
-    model (no labels) all scores are 0.5.
+    model (no labels) all scores are 0.5. Repeated rows are scored each; null ids
+    are allowed; an empty table gives an empty result; a very long text takes
+    memory in proportion to its own lines; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[id_col]

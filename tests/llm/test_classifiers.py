@@ -68,6 +68,93 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(good, want) and np.allclose(pairs, all_pairs)
 
 
+def test_clamped_fields_equal_enumeration():
+    """Of all fields with a multiple of the lines' lengths added, the one that just meets the document's condition."""
+    rng = np.random.default_rng(4)
+    first, label = np.array([0, 3, 7, 8, 12]), np.array([1.0, 0.0, 1.0, 0.0])
+    size, score, trans = rng.integers(1, 9, 12).astype(float), rng.normal(size=12), rng.normal(size=(2, 2))
+    score[3:7] += 3
+    score[8:12] -= 5
+    good, pairs = line_crf.clamped(score, size, first, trans, label, steps=40)
+    plain, _, _ = line_crf.forward_backward(score, first, trans)
+    all_pairs = np.zeros((2, 2))
+    for d, (a, b) in enumerate(zip(first, first[1:])):
+        share = size[a:b] / size[a:b].sum()
+
+        def field(multiple):
+            marg, pr, total = np.zeros(b - a), np.zeros((2, 2)), 0.0
+            for code in range(2 ** (b - a)):
+                y = [(code >> k) & 1 for k in range(b - a)]
+                w = np.exp(sum((score[a + k] + multiple * share[k] * (b - a)) * y[k] for k in range(b - a)) + sum(trans[p, q] for p, q in zip(y, y[1:])))
+                total += w
+                marg += w * np.array(y)
+                for p, q in zip(y, y[1:]):
+                    pr[p, q] += w
+            return marg / total, pr / total
+
+        low, high = 0.0, 30.0
+        sign, goal = (1, line_crf.GOOD_SHARE) if label[d] else (-1, line_crf.BAD_SHARE)
+        met = lambda m: (field(sign * m)[0] @ share - goal) * sign >= 0
+        if met(0):
+            high = 0.0
+        for _ in range(40 if high else 0):
+            middle = (low + high) / 2
+            low, high = (low, middle) if met(middle) else (middle, high)
+        marg, pr = field(sign * high)
+        assert np.allclose(good[a:b], marg, atol=1e-6), d
+        all_pairs += pr
+    assert np.allclose(pairs, all_pairs, atol=1e-5) and not np.allclose(good, plain)
+    assert np.allclose(good[8:12], plain[8:12])  # held already
+
+
+def test_good_and_bad_lines_of_one_document_differ():
+    """Labels are of documents only; bad ones hold good lines, too."""
+    rng = np.random.default_rng(6)
+    words = ["river", "stone", "bridge", "market", "letter", "garden", "winter", "village"]
+    prose = lambda: " ".join(rng.choice(words, 12)).capitalize() + "."
+    junk = lambda: rng.choice(["HOME | ABOUT | CONTACT | LOGIN", "$$$ BUY NOW!!! $$$ BEST PRICE!!!", "### *** ### click click click click"]) * 3
+    texts, labels, truth = [], [], []
+    for k in range(300):
+        bad = k % 2 == 0
+        kinds = [bool(rng.random() < (0.35 if bad else 0.98)) for _ in range(int(rng.integers(6, 14)))]
+        texts.append("\n".join(prose() if g else junk() for g in kinds))
+        labels.append(0.0 if bad else 1.0)
+        truth.append(kinds)
+    raw = [t.encode() for t in texts]
+    x, size, first = line_crf.line_features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    model = line_crf.train_crf(x, size, first, np.array(labels))
+    good, _, _ = line_crf.forward_backward(line_crf.with_neighbours(x, first) @ model["w"], first, model["trans"])
+    right, mixed = [], 0
+    for k, (a, b) in enumerate(zip(first, first[1:])):
+        if labels[k] == 0 and len(set(truth[k])) == 2:
+            right += [(p > 0.5) == t for p, t in zip(good[a:b], truth[k])]
+            mixed += len(set((good[a:b] > 0.5).tolist())) == 2
+    assert np.mean(right) > 0.9 and mixed > 100
+    marginal = line_crf.text_scores(x, size, first, model)
+    assert marginal[1::2].min() > marginal[::2].mean() + 0.2
+
+
+def test_the_sample_is_bounded_by_lines_not_by_length(spark):
+    rows = [(str(k), "\n".join(["a line of words here"] * (40 if k % 3 == 0 else 2)), k % 2) for k in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id string, quality int")
+    seen = []
+    plain = line_crf.train_crf
+
+    def train(x, size, first, label):
+        seen.append((len(x), len(label), int((np.diff(first) > 2).sum())))
+        return plain(x, size, first, label, rounds=1, steps=1)
+
+    line_crf.train_crf = train
+    try:
+        model = line_crf.fit(docs, labels, sample_lines=500)
+        line_crf.fit(docs, labels)
+    finally:
+        line_crf.train_crf = plain
+    assert 400 < seen[0][0] <= 500 and seen[0][2] > 3 and seen[1][0] > 700
+    assert line_crf.score(docs, model).count() == 60  # ids of any type
+
+
 def test_line_features_by_line():
     texts = ["One Two two.\n\nHEY!! || x\nOne Two two.", "", "  \n "]
     data = "".join(texts).encode()
