@@ -18,12 +18,12 @@ LEAST_AGREE = 0.5
 BLOCK, VERIFY_BLOCK, SLICE, COLUMNS = 512, 256, 1 << 19, 8192
 
 
-def prefix_length(trees: int = TREES, longest: int = LONGEST, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> int:
-    """Walk up the tries from their leaves: shorten the matched prefix until a pair exactly at the threshold shares
-    one in some tree with the target probability 1 - (1 - s^k)^trees. Raises if even one hash isn't enough."""
+def prefix_lengths(trees: int = TREES, longest: int = LONGEST, threshold: float = THRESHOLD, target: float = TARGET_RECALL) -> list[int]:
+    """The lengths of matched prefixes, from a tree's whole key up to the first one at which a pair exactly at the
+    threshold shares a prefix in some tree with the target probability 1 - (1 - s^k)^trees. Raises if even one hash isn't enough."""
     for k in range(longest, 0, -1):
         if 1 - (1 - threshold ** k) ** trees >= target:
-            return k
+            return list(range(longest, k - 1, -1))
     raise ValueError("the target recall needs more trees")
 
 
@@ -125,11 +125,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``class_id`` its smallest doc_id. ``n_links`` counts the other documents
     linked to this one (copies too), ``n_similar_texts`` the different shingle
     sets among them. Similarities are exact, over whole texts; a pair is missed only
-    if no tree brings it together (at the threshold: one in 2,000; at 0.9: fewer than one in 10^7).
+    if no tree brings it together (at the threshold: one in 2,000; at 0.9: fewer than one in 10^7)
+    and no other document joins the two.
 
     Documents with equal sets become one row (a 128-bit digest of the set).
-    Each of 16 trees sorts the rows by its own hashes into a trie; documents
-    meet that share a prefix of the length ``prefix_length`` finds. Meeting
+    Each of 16 trees is a prefix trie over the rows' keys of 6 of its own
+    hashes. Rows meet first where whole keys are equal; then the prefix is shortened,
+    hash by hash, until it reaches the target recall (``prefix_lengths``), and
+    at each length only the trie nodes are opened whose rows aren't all joined yet: a
+    hot group of near copies meets under its long prefixes once and not again under the
+    short ones. Meeting
     rows whose whole signatures agree in half their hashes form candidate
     components; inside these all pairs are verified. Large groups (a hot prefix
     or component) are cut into blocks and worked off block pair by block pair, in
@@ -137,10 +142,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents without a word (null, empty, blank) have no links and are a class
     of their own. Null doc_ids are allowed (a class of only such rows has a
-    null class_id). Repeated rows count as copies. Other columns are ignored.
+    null class_id). Repeated rows count as copies. A very long text takes memory in proportion to its own
+    shingles. An empty table gives an empty result. Other columns are ignored.
     """
-    depth, kind = prefix_length(trees, longest, threshold, target), dict(docs.dtypes)[id_col]
-    hashes = trees * depth
+    kind = dict(docs.dtypes)[id_col]
+    hashes = trees * longest
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def sketch(batches):
@@ -159,8 +165,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig"))
         .withColumn("cid", F.monotonically_increasing_id()), "forest-sets")
 
-    edges = _candidate_edges(sets, trees, depth)
-    candidates = connected_components(edges)
+    candidates = _candidates(sets, trees, longest, prefix_lengths(trees, longest, threshold, target))
     linked = _verified(rows, sets, candidates, threshold)
     roots = connected_components(linked.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")))
     counts = linked.groupBy("cid").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
@@ -197,29 +202,44 @@ def set_digests(held: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
-def _candidate_edges(sets: DataFrame, trees: int, depth: int) -> DataFrame:
-    """(a, b): spanning edges of the sets that meet in a bucket and agree in enough hashes."""
-    width = 4 * depth
-    prefixes = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.expr(f"substring(sig, {t * width + 1}, {width})")).alias("prefix"))
+def _candidates(sets: DataFrame, trees: int, longest: int, lengths: list[int]) -> DataFrame:
+    """(id, root): the candidate components of two sets or more, by shortening prefixes; ``root`` is the smallest id."""
+    labels = sets.sparkSession.createDataFrame([], "id long, root long")
+    for length in lengths:
+        joined = connected_components(_meetings(sets, labels, trees, longest, length))
+        # Components that met become one; a set that met for the first time gets a label.
+        known = labels.unionByName(joined.select("id", F.col("id").alias("root")).join(labels, "id", "left_anti"))
+        joined = joined.select(F.col("id").alias("old"), F.col("root").alias("new"))
+        labels = materialize(known.join(joined, F.col("root") == F.col("old"), "left").select("id", F.coalesce("new", "root").alias("root")), "forest-labels")
+    return labels
+
+
+def _meetings(sets: DataFrame, labels: DataFrame, trees: int, longest: int, length: int) -> DataFrame:
+    """(a, b): pairs of components of which two sets share a trie node at this prefix length and agree in enough hashes."""
+    prefixes = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.expr(f"substring(sig, {4 * longest * t + 1}, {4 * length})")).alias("prefix"))
                          for t in range(trees)])
-    placed = sets.select("cid", F.explode(prefixes).alias("p")).select("cid", "p.tree", "p.prefix")
-    buckets = materialize(placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "forest-buckets")
-    members = materialize(placed.join(buckets, ["tree", "prefix"]), "forest-members")
+    placed = (sets.select("cid", F.explode(prefixes).alias("p")).select("cid", "p.tree", "p.prefix")
+              .join(labels, F.col("cid") == F.col("id"), "left").select("cid", "tree", "prefix", F.coalesce("root", "cid").alias("root")))
+    nodes = materialize(placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+                        .where("low <> high").drop("low", "high"), "forest-nodes")
+    members = materialize(placed.join(nodes, ["tree", "prefix"]), "forest-members")
     dealt = _block_pairs(members, "n", BLOCK, "cid").join(sets.select("cid", "sig"), "cid")
     key = ["tree", "prefix", "bi", "bj"]
-    least = int(np.ceil(LEAST_AGREE * trees * depth))
+    least = int(np.ceil(LEAST_AGREE * trees * longest))
 
     def meet(batches):
         for table in groups_of(batches, key):
             first = starts_of(table, key)
-            cid = table.column("cid").to_numpy()
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), ">u4").reshape(len(cid), -1).astype(np.uint32)
+            part = table.column("root").to_numpy()
+            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), ">u4").reshape(len(part), -1).astype(np.uint32)
             sizes, a, b = np.diff(first), [], []
             for m in np.unique(sizes[(sizes > 1) & (sizes <= 32)]):  # small groups of one size at once
                 at = first[:-1][sizes == m]
                 i, j = np.triu_indices(m, 1)
-                for part in np.array_split(at, max(1, len(at) * len(i) // 50_000)):
-                    left, right = (part[:, None] + i).ravel(), (part[:, None] + j).ravel()
+                for some in np.array_split(at, max(1, len(at) * len(i) // 50_000)):
+                    left, right = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
+                    apart = part[left] != part[right]
+                    left, right = left[apart], right[apart]
                     near = (sig[left] == sig[right]).sum(1) >= least
                     a.append(left[near])
                     b.append(right[near])
@@ -229,11 +249,11 @@ def _candidate_edges(sets: DataFrame, trees: int, depth: int) -> DataFrame:
                 a.append(at + root[far])
                 b.append(at + far)
             if a:
-                x, y = cid[np.concatenate(a)], cid[np.concatenate(b)]
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+                x, y = part[np.concatenate(a)], part[np.concatenate(b)]
+                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return (dealt.select(*key, "cid", "sig").repartition(*key).sortWithinPartitions(*key).mapInArrow(meet, "a long, b long").distinct())
+    return (dealt.select(*key, "root", "sig").repartition(*key).sortWithinPartitions(*key).mapInArrow(meet, "a long, b long").distinct())
 
 
 def _verified(rows: DataFrame, sets: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:

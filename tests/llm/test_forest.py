@@ -37,8 +37,50 @@ def got(df):
 
 
 def test_prefix_is_shortened_to_the_target():
-    assert mf.prefix_length(16, 6, 0.8, 0.9995) == 4
-    assert mf.prefix_length(16, 6, 0.8, 0.9) > mf.prefix_length(16, 6, 0.8, 0.99999) >= 1
+    assert mf.prefix_lengths(16, 6, 0.8, 0.9995) == [6, 5, 4]
+    assert mf.prefix_lengths(16, 6, 0.8, 0.9)[-1] > mf.prefix_lengths(16, 6, 0.8, 0.99999)[-1] >= 1
+
+
+def test_joined_groups_are_not_opened_again(spark, monkeypatch):
+    """Near copies meet under whole keys; shorter prefixes open only nodes that hold sets of two components."""
+    rng = random.Random(3)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}w{rng.randrange(5000)}" for _ in range(400)]
+        for i in range(25):
+            words = list(base)
+            for _ in range(rng.randrange(0, 3) if family < 5 else 14):   # the last family lies at the threshold
+                words[rng.randrange(400)] = f"x{rng.randrange(99999)}"
+            rows.append((100 * family + i, " ".join(words)))
+    opened = []
+    plain = mf.materialize
+
+    def seen(df, name):
+        out = plain(df, name)
+        if name == "forest-members":
+            opened.append(out.count())
+        return out
+
+    monkeypatch.setattr(mf, "materialize", seen)
+    assert got(mf.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert len(opened) == 3 and opened[0] > 10 * opened[1] and opened[0] > 10 * opened[2]
+
+
+def test_recall_at_the_threshold_is_measured(spark):
+    """Pairs of texts that share between 80 and 85 % of their shingles and meet nobody else."""
+    rng = random.Random(11)
+    rows, close = [], 0
+    for k in range(400):
+        base = [f"p{k}w{n}" for n in range(204)]
+        words = list(base)
+        for at in rng.sample(range(10, 190, 12), 4):
+            words[at] = f"q{rng.randrange(10 ** 9)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(words))]
+        a, b = shingle_set(rows[-2][1]), shingle_set(rows[-1][1])
+        close += 5 * len(a & b) >= 4 * len(a | b)
+    out = mf.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = out.where("n_links > 0").count() / 2
+    assert close > 300 and 0.995 * close <= found <= close
 
 
 def test_equals_brute_force(spark):
