@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesflow.llm.common import BLANK, LOWER_TABLE, crc_mod, materialize, mix64, row_slices, span_hashes, text_buffers, word_spans, worker_cache
+from seriesflow.llm.minhash_forest import groups_of
 
 #: Context bytes; contexts up to TOP bytes are mixed by Spark's own aggregates, longer ones inside tasks.
 DEPTH, TOP = 5, 2
 #: Ends a text, and stands before its first byte: no UTF-8 text holds it.
 END = 0xFF
 SLICE, FLUSH = 1 << 20, 1_600_000
+#: Grams that a task weighs at once (whole parts of three context bytes).
+PART_ROWS = 1 << 17
 #: Broadcast tables have at most so many entries (12 bytes each, twice that in a worker); larger ones are joined.
 MOST_GRAMS, MOST_WORDS = 6_000_000, 8_000_000
 SMOOTHING = 0.1
@@ -162,13 +166,12 @@ def count_corpus(docs: DataFrame, id_col: str, text_col: str, folds: int, depth:
 def gram_table(grams: DataFrame, depth: int, top: int = TOP) -> DataFrame:
     """(key, logp) of every gram: the weighted tree's log10 probability of its last byte after the others."""
     def up(batches):
-        key, n = _gather(batches, "key", "n")
-        if len(key):
+        for key, n in _parts(batches, "key", "n"):
             level = weigh(key.view(np.uint64), n, depth, top)[top + 1]
             yield pa.RecordBatch.from_arrays([pa.array(level["ids"].view(np.int64)), pa.array(level["zeros"]), pa.array(level["ones"]),
                                               pa.array(level["weighted"])], names=["node", "zeros", "ones", "weighted"])
 
-    nodes = materialize(grams.repartition("part").mapInArrow(up, "node long, zeros double, ones double, weighted double"), "ctw-nodes")
+    nodes = materialize(grams.repartition("part").sortWithinPartitions("part").mapInArrow(up, "node long, zeros double, ones double, weighted double"), "ctw-nodes")
     levels = {top + 1: nodes}
     for d in range(top, -1, -1):
         up_one = levels[d + 1].groupBy(F.col("node").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("node")).agg(
@@ -190,24 +193,29 @@ def gram_table(grams: DataFrame, depth: int, top: int = TOP) -> DataFrame:
             .select(F.shiftright("node", 8).alias("part"), F.col("node").alias("key"), F.lit(0).cast("long").alias("n"), "mass", "rest"))
 
     def whole(batches):
-        key, n, mass, rest = _gather(batches, "key", "n", "mass", "rest")
-        top_row = ~np.isnan(mass)
-        if not (~top_row).any():
-            return
-        levels = weigh(key[~top_row].view(np.uint64), n[~top_row], depth, top)
-        at = np.argsort(key[top_row])  # the same nodes as weigh's, in the same order
-        assert np.array_equal(key[top_row][at].view(np.uint64), levels[top + 1]["ids"])
-        logp = gram_scores(levels, depth, top, mass[top_row][at], rest[top_row][at])
-        yield pa.RecordBatch.from_arrays([pa.array(key[~top_row]), pa.array(logp)], names=["key", "logp"])
+        for key, n, mass, rest in _parts(batches, "key", "n", "mass", "rest"):
+            top_row = ~np.isnan(mass)
+            levels = weigh(key[~top_row].view(np.uint64), n[~top_row], depth, top)
+            at = np.argsort(key[top_row])  # the same nodes as weigh's, in the same order
+            assert np.array_equal(key[top_row][at].view(np.uint64), levels[top + 1]["ids"])
+            logp = gram_scores(levels, depth, top, mass[top_row][at], rest[top_row][at])
+            yield pa.RecordBatch.from_arrays([pa.array(key[~top_row]), pa.array(logp)], names=["key", "logp"])
 
     both = grams.select("part", "key", "n", F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("rest")).unionByName(tops)
-    return materialize(both.repartition("part").mapInArrow(whole, "key long, logp double"), "ctw-table")
+    return materialize(both.repartition("part").sortWithinPartitions("part").mapInArrow(whole, "key long, logp double"), "ctw-table")
 
 
-def _gather(batches, *names):
-    parts = [[b.column(c).to_numpy(zero_copy_only=False) for c in names] for b in batches]
-    kinds = [np.float64 if c in ("mass", "rest") else np.int64 for c in names]
-    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t) for k, t in enumerate(kinds)]
+def _parts(batches, *names):
+    """Columns of whole parts, some at a time, of a partition that is sorted by part: at most ``PART_ROWS`` rows and one part more are held."""
+    held, size = [], 0
+    for table in chain(groups_of(batches, ["part"]), [None]):
+        if table is not None:
+            held.append(table)
+            size += table.num_rows
+        if size >= PART_ROWS or (table is None and size):
+            whole = pa.concat_tables(held)
+            yield [whole.column(c).to_numpy() for c in names]
+            held, size = [], 0
 
 
 class Table:
@@ -263,7 +271,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     Null texts are empty: only their end is scored. Rows with a null id are
     held out like the empty id text (crc32 0). Repeated rows count and score
-    each. Without training rows V and N are 0. Other columns are ignored.
+    each. Without training rows V and N are 0. Very long texts are read in one
+    slice of their own; an empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
     grams, words = count_corpus(docs, id_col, text_col, folds, depth)

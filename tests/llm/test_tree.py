@@ -77,13 +77,15 @@ def same(got, want):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-5, atol=1e-4)
 
 
-def test_scores_equal_brute_force(spark):
+def test_scores_equal_brute_force(spark, monkeypatch):
     rows = [r[:2] for r in EDGE if len(r[1] or "") < 1000] + [r[:2] for r in table() if len(r[1]) < 700][:25]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for depth in (3, 5):
         want = brute(rows, 3, depth)
         same(tw.score(docs, folds=3, depth=depth).collect(), want)
     same(tw.score(docs, folds=3, depth=depth, most_grams=0).collect(), want)
+    monkeypatch.setattr(tw, "PART_ROWS", 3)  # parts are weighed a few at a time
+    same(tw.score(docs, folds=3, depth=depth).collect(), want)
 
 
 def test_awkward_rows(spark):
