@@ -15,10 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesflow.llm.common import BLANK, LOWER_TABLE, classes, crc_mod, row_slices, span_hashes, text_buffers, word_spans
+from seriesflow.llm.common import BLANK, LOWER_TABLE, classes, crc_mod, ragged, row_slices, span_hashes, text_buffers, word_spans
 
 #: The fit reads at most so many labelled documents (by the hash of doc_id), and of these the first ones with so many lines in all.
 SAMPLE, SAMPLE_LINES = 5000, 200_000
+#: A document of more lines is learned as several of so many at most, each with its label (a chain's steps follow one another in time).
+SEGMENT = 500
 #: Least share of good lines in a good document and largest in a bad one, by length, while line labels are learned.
 GOOD_SHARE, BAD_SHARE = 0.95, 0.5
 #: Signs of a bad line that the first round starts from.
@@ -224,7 +226,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     size = got.column("size").combine_chunks().flatten().to_numpy()
     first = np.concatenate([[0], np.cumsum([len(s) for s in got.column("size").to_pylist()])])
-    return train_crf(x, size, first, got.column("label").to_numpy())
+    return train_crf(x, size, *segments(first, got.column("label").to_numpy()))
+
+
+def segments(first: np.ndarray, label: np.ndarray, most: int = SEGMENT) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (where each one's lines begin, and labels) cut into parts of at most ``most`` lines of even length."""
+    lengths = np.diff(first)
+    parts = np.maximum(-(-lengths // most), 1)
+    number = ragged(np.zeros(len(lengths), np.int64), parts)
+    begin = np.repeat(first[:-1], parts) + number * np.repeat(lengths, parts) // np.repeat(parts, parts)
+    return np.append(begin, first[-1]), np.repeat(label, parts)
 
 
 def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,

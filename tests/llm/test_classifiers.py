@@ -155,6 +155,11 @@ def test_the_sample_is_bounded_by_lines_not_by_length(spark):
     assert line_crf.score(docs, model).count() == 60  # ids of any type
 
 
+def test_long_documents_are_learned_in_segments():
+    first, label = line_crf.segments(np.array([0, 1200, 1200, 1203, 1703]), np.array([1.0, 0.0, 1.0, 0.0]))
+    assert first.tolist() == [0, 400, 800, 1200, 1200, 1203, 1703] and label.tolist() == [1, 1, 1, 0, 1, 0]
+
+
 def test_line_features_by_line():
     texts = ["One Two two.\n\nHEY!! || x\nOne Two two.", "", "  \n "]
     data = "".join(texts).encode()
