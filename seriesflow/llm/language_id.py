@@ -147,7 +147,10 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     ``score`` is the decoded probability of ``lang_pred``. A text is ambiguous
     when the nearest codeword leads the next one by less than ``ambiguous_below``.
     Null texts, texts without a letter, and all texts when nothing could be
-    learned get ``und`` with score 0 and are ambiguous.
+    learned get ``und`` with score 0 and are ambiguous. Ties go to the label that
+    sorts first. Repeated rows are predicted each; null ids are held out like
+    the empty id text. A very long text is read as a slice of its own, in memory in proportion to its
+    length. An empty table gives an empty result. Other columns, whatever their names, are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("doc_id"), (crc_mod(id_col, folds) == 0).alias("held_out"), F.col(text_col).alias("text"),
@@ -180,7 +183,8 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
 
 def accepted(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose language is decided: not ``und``, and the nearest
-    codeword's probability is at least ``least``. Rows pass through the tasks whole; nothing is joined."""
+    codeword's probability is at least ``least``. Rows pass through the tasks whole; nothing is joined. Null texts and texts without
+    a letter go, and all rows when nothing could be learned; repeated rows stay or go together; an empty table stays empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = (docs.where(F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
             .select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))

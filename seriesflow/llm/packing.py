@@ -168,8 +168,8 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     length <= C/k with k pieces, on its own: no shuffle and nothing shared.
     Bins that are still open when the partition ends (fewer than k pieces in
     each class k) share bins longest first. Null and empty texts are one end
-    id; repeated rows are packed each; other columns are ignored; an empty
-    table gives no pieces. Sequence ids hold the partition in their upper bits.
+    id; repeated rows are packed each; null ids are allowed; other columns are ignored; an empty
+    table gives no pieces. A very long text is tokenised on its own, in memory in proportion to its length. Sequence ids hold the partition in their upper bits.
     """
     path, kind = vocabulary, dict(docs.dtypes)[id_col]
 

@@ -71,7 +71,10 @@ def radix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows (same id and text), one."""
+    """The rows of ``docs`` that stay, with all their columns; of repeated rows (same id and text), one.
+
+    Null and empty texts are one group, of which the largest id stays; a null id is smaller than any other. An
+    empty table stays empty; texts of any length are compared whole."""
     decided = materialize(radix_dedup(docs).select("doc_id", F.col("text_sha256").alias("__sha"), "keep_id", "kept"), "radix-decided")
     kept = decided.where("kept").select("doc_id", "__sha")
     repeated = decided.where(~F.col("kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "__sha").distinct()

@@ -154,6 +154,7 @@ def mix(docs: DataFrame, temper: dict[str, float] = TEMPER, targets: DataFrame |
     in every run. Null source or lang is a value of its own (``-``); null or
     empty texts have no tokens and probability 1; rows with a null doc_id or
     the same doc_id draw alike. Existing columns of these names are replaced.
+    An empty table stays empty; a very long text is counted whole, within its task.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumns({
