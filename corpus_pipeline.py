@@ -2,7 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
 writes as Parquet in the shared checkpoint folder and reads again for the next
-stage. All but the last return whole rows with the columns of ``documents``.
+stage. All but the last return whole rows with the columns of ``documents``,
+so columns with clashing names pass unchanged; an empty table stays empty in each.
+This module belongs to the optional subpackage ``seriesflow.llm`` and can't be
+imported without it.
 """
 
 from __future__ import annotations
@@ -24,24 +27,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased), the row with the largest doc_id stays."""
+    """Of equal texts (A-Z lower-cased; null equals empty), the row with the largest doc_id stays; of repeated rows, one."""
     bound_batches(spark)
     return radix_dedup.keep_first(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of documents linked by a Jaccard similarity of 0.8 or more, the smallest doc_id stays."""
+    """Of each class of documents linked by a Jaccard similarity of 0.8 or more, the smallest doc_id stays.
+    Texts without a word are classes of their own; rows with a null doc_id stay."""
     bound_batches(spark)
     return minhash_forest.one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that token shares of sources, languages and topics meet tempered targets."""
+    """Samples documents so that token shares of sources, languages and topics meet tempered targets. Null source and
+    lang are values like any other; texts without a token weigh nothing; repeated rows are decided together."""
     return raking.sampled(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of tokenised documents in sequences of 4096."""
+    """Pieces of tokenised documents in sequences of 4096; null and empty texts are one end id; repeated rows are packed each."""
     bound_batches(spark)
     return packing.pack(docs, vocabulary())
 
