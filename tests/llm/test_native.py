@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 from edge import EDGE, edge_docs, empty_docs, lower, table
 from pyspark.sql import functions as F
 
@@ -64,6 +65,35 @@ def test_line_rules_base_equals_brute_force(spark):
     assert clean_lines(empty_docs(spark)).count() == 0
 
 
+def line_verdict(text):
+    """cleaned, share_left and kept in plain Python, from the rules' definitions."""
+    def why(line):
+        words = [w for w in re.split("[ \t-\r]+", line) if w]
+        symbols = sum(c in "#*$%&<>{}" for c in line) + sum(len(m) for m in re.findall("!{2,}", line))
+        letters, capitals = len(regex.findall(r"\p{L}", line)), len(regex.findall(r"\p{Lu}", line))
+        separators = sum(c in "|>»·•" for c in line)
+        furniture = ["cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "javascript", "lorem ipsum", "login to", "log in to",
+                     "sign up", "subscribe to", "subscribe now", "skip to content", "skip to main content", "powered by", "copyright ©", "copyright (c)"]
+        return (symbols / max(len(line), 1) > 0.06 or len(words) >= 5 and capitals / max(letters, 1) > 0.6 or separators >= 2 and separators / len(words) > 0.2
+                or any(f in lower(line) for f in furniture) or len(words) >= 10 and len(set(words)) / len(words) < 0.3)
+
+    lines = list(dict.fromkeys(x for x in (text or "").split("\n") if re.search("[^ \t-\r]", x)))
+    cleaned = "\n".join(x for x in lines if not why(x))
+    size = lambda t: len(re.sub("[ \t-\r]+", "", t))
+    share = size(cleaned) / max(size(text or ""), 1)
+    return cleaned, round(share, 12), not base_rules(text)[-1] and share >= 0.5
+
+
+def test_line_verdicts_equal_brute_force(spark):
+    odd = ["Log In To your account\nlogin  to\nPlain words of a longer line stay here.", "!! one ! two !!! three words and more of them for the line to stay",
+           "A | B | C | D\na > b is fine in a line with many more words than this one", "ÀÉÎ ÕÜ ÇA VA BIEN\nàéî õü ça va bien", "{} {} {}\n" * 3, "x\r\nx\r\n\x0b\ny",
+           "one two one two one two one two one two one two\nCopyright (C) 2020", "Copyright © 2020 by some people who wrote some words here", "𝒳𝒴 𝒳𝒴 a b c d e f g h"]
+    for docs, rows in ((spark_docs(spark), [(r[0], r[1]) for r in table()]), (edge_docs(spark), [r[:2] for r in EDGE]),
+                       (spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), list(enumerate(odd)))):
+        got = Counter((r.doc_id, r.cleaned, round(r.share_left, 12), r.kept) for r in clean_lines(docs).collect())
+        assert got == Counter((i, *line_verdict(t)) for i, t in rows)
+
+
 def test_line_rules_remove_lines_and_reject(spark):
     good = "The first of these lines is a plain sentence.\nAnd here is another one that stays."
     rows = [(1, good + "\nHome | About | Contact | Help\nWe use cookies, see our policy."),
