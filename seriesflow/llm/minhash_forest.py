@@ -105,6 +105,27 @@ def reach(sig: np.ndarray, least: int) -> np.ndarray:
     return label
 
 
+def smallest(part: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """For each row the smallest ``part`` of its component; ``label`` is a row of it."""
+    low = part.copy()
+    np.minimum.at(low, label, part)
+    return low[label]
+
+
+def spanning(part: np.ndarray, side: np.ndarray, sig: np.ndarray, least: int, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the rows' ``part`` wherever ``reach`` joins the rows: to the smallest one of a component from each other.
+
+    Rows of two blocks: only what joins components of the one and the other; those inside a block are joined where it meets itself."""
+    low = smallest(part, reach(sig, least))
+    if within:
+        return low, part
+    own = np.empty_like(part)
+    for s in (0, 1):
+        at = np.flatnonzero(side == s)
+        own[at] = smallest(part[at], reach(sig[at], least))
+    return low, own
+
+
 def _block_pairs(df: DataFrame, size: str, block: int, ident: str) -> DataFrame:
     """Deal the rows of each group to blocks of about ``block`` rows, and each block to every pair of blocks it is part
     of: bi, bj, side (0: the row is of block bi). A group of n rows gives n * ceil(n / block) rows, not n * n."""
@@ -215,7 +236,8 @@ def _candidates(sets: DataFrame, trees: int, longest: int, lengths: list[int]) -
 
 
 def _meetings(sets: DataFrame, labels: DataFrame, trees: int, longest: int, length: int) -> DataFrame:
-    """(a, b): pairs of components of which two sets share a trie node at this prefix length and agree in enough hashes."""
+    """(a, b): edges that span the components of which two sets share a trie node at this prefix length and agree in
+    enough hashes: about one a set and node, and to the same smallest id from many nodes, however many pairs agree."""
     prefixes = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.expr(f"substring(sig, {4 * longest * t + 1}, {4 * length})")).alias("prefix"))
                          for t in range(trees)])
     placed = (sets.select("cid", F.explode(prefixes).alias("p")).select("cid", "p.tree", "p.prefix")
@@ -230,7 +252,8 @@ def _meetings(sets: DataFrame, labels: DataFrame, trees: int, longest: int, leng
     def meet(batches):
         for table in groups_of(batches, key):
             first = starts_of(table, key)
-            part = table.column("root").to_numpy()
+            part, side = table.column("root").to_numpy(), table.column("side").to_numpy()
+            within = table.column("bi").to_numpy() == table.column("bj").to_numpy()
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), ">u4").reshape(len(part), -1).astype(np.uint32)
             sizes, a, b = np.diff(first), [], []
             for m in np.unique(sizes[(sizes > 1) & (sizes <= 32)]):  # small groups of one size at once
@@ -238,22 +261,30 @@ def _meetings(sets: DataFrame, labels: DataFrame, trees: int, longest: int, leng
                 i, j = np.triu_indices(m, 1)
                 for some in np.array_split(at, max(1, len(at) * len(i) // 50_000)):
                     left, right = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
-                    apart = part[left] != part[right]
-                    left, right = left[apart], right[apart]
-                    near = (sig[left] == sig[right]).sum(1) >= least
-                    a.append(left[near])
-                    b.append(right[near])
+                    near = part[left] == part[right]
+                    apart = np.flatnonzero(~near)
+                    near[apart] = (sig[left[apart]] == sig[right[apart]]).sum(1) >= least
+                    near = near.reshape(len(some), -1)
+                    own = part[some[:, None] + np.arange(m)]
+                    joined = np.zeros((len(some), m, m), bool)
+                    joined[:, i, j] = joined[:, j, i] = near
+                    joined[:, np.arange(m), np.arange(m)] = True
+                    low, was = own, None
+                    while was is None or (low != was).any():
+                        low, was = np.where(joined, low[:, None, :], np.iinfo(np.int64).max).min(2), low
+                    a.append(low.ravel())
+                    b.append(own.ravel())
             for at, m in zip(first[:-1][sizes > 32], sizes[sizes > 32]):
-                root = reach(sig[at:at + m], least)
-                far = np.flatnonzero(root != np.arange(m))
-                a.append(at + root[far])
-                b.append(at + far)
+                rows = slice(at, at + m)
+                low, own = spanning(part[rows], side[rows], sig[rows], least, within[at])
+                a.append(low)
+                b.append(own)
             if a:
-                x, y = part[np.concatenate(a)], part[np.concatenate(b)]
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
+                x, y = np.concatenate(a), np.concatenate(b)
+                pairs = np.unique(np.stack([x, y], 1)[x != y], axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return (dealt.select(*key, "root", "sig").repartition(*key).sortWithinPartitions(*key).mapInArrow(meet, "a long, b long").distinct())
+    return (dealt.select(*key, "side", "root", "sig").repartition(*key).sortWithinPartitions(*key).mapInArrow(meet, "a long, b long").distinct())
 
 
 def _verified(rows: DataFrame, sets: DataFrame, candidates: DataFrame, threshold: float) -> DataFrame:
