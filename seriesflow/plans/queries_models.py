@@ -114,8 +114,8 @@ def score_records(spark, sf):
 
 
 # ---------------------------------------------------------------- demand / price models
-def demand_table(spark, sf, extra: DataFrame | None = None):
-    d = base.daily(spark, sf)
+def demand_table(spark, sf, extra: DataFrame | None = None, daily: DataFrame | None = None):
+    d = base.daily(spark, sf) if daily is None else daily
     if extra is not None:
         d = d.join(extra, KEYS + ["d"], "left")
     ff = W.feature_frame(d, KEYS, ORDER, "d", "demand", "price",
@@ -127,8 +127,8 @@ def demand_features(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("k", "d", "demand", "n", "is_train")]  # price = demand / n: n of the same day gives demand away
 
 
-def _boosted(spark, sf, extra=None):
-    t = demand_table(spark, sf, extra).withColumn("is_valid", ~F.col("is_train"))
+def _boosted(spark, sf, extra=None, daily=None):
+    t = demand_table(spark, sf, extra, daily).withColumn("is_valid", ~F.col("is_train"))
     feats = demand_features(t.drop("is_valid"))
     model = M.fit_boosted(t, feats, "demand", "is_valid", KEYS + ORDER)
     return model, t, feats
@@ -149,9 +149,10 @@ def feature_importance_top(spark, sf):
     return M.feature_importances(model, 15)
 
 
-def seq_rows(spark, sf):
+def seq_rows(spark, sf, daily: DataFrame | None = None):
     """The price model's frame: every feature of E14 but the target's lags, per series and day, without warm-up rows."""
-    return W.feature_frame(base.daily(spark, sf), KEYS, ORDER, "d", "demand", "price", {"demand": "demand", "price": "price", "orders": "n"}, with_lags=False)
+    d = base.daily(spark, sf) if daily is None else daily
+    return W.feature_frame(d, KEYS, ORDER, "d", "demand", "price", {"demand": "demand", "price": "price", "orders": "n"}, with_lags=False)
 
 
 def seq_features(df: DataFrame) -> list[str]:
@@ -159,9 +160,9 @@ def seq_features(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("k", "d", "demand", "price")]
 
 
-def seq_table(spark, sf):
+def seq_table(spark, sf, daily: DataFrame | None = None):
     """(k, d, y, x_vec, is_train): windows of ``SEQ_W`` rows of all features flattened, and the next price."""
-    z = seq_rows(spark, sf)
+    z = seq_rows(spark, sf, daily)
     feats = seq_features(z)
     s = W.sequences(z.withColumns({c: F.col(c).cast("double") for c in feats}), KEYS, ORDER, feats, "price", SEQ_W)
     flat = array_to_vector(F.flatten(F.transform("x", lambda e: F.array(*[e[c] for c in feats]))))
@@ -194,8 +195,8 @@ def best_candidate(spark, sf):
                                  "reg_param double, rmse double, is_best boolean")
 
 
-def price_predictions(spark, sf):
-    t = cut_lineage(seq_table(spark, sf))
+def price_predictions(spark, sf, daily: DataFrame | None = None):
+    t = cut_lineage(seq_table(spark, sf, daily))
     model = fit_price_model(t)
     return model, model.transform(t).select("k", "d", F.col("prediction").alias("price_pred"))
 
@@ -237,28 +238,30 @@ def _future_features(d: DataFrame, price_fc: DataFrame):
     return f.filter(F.col("step").isNotNull()).withColumn("price_pred", F.col("price"))
 
 
-def fit_forecaster(spark, sf) -> Forecaster:
-    """Train both models: the price model, and the boosted demand model with the price model's in-sample predictions as a feature."""
-    d = cut_lineage(base.daily(spark, sf))
-    price_model, pp = price_predictions(spark, sf)
+def fit_forecaster(spark, sf, daily: DataFrame | None = None) -> Forecaster:
+    """Train both models: the price model, and the boosted demand model with the price model's in-sample predictions as a feature.
+    All frames are of one stored ``daily``, so the orders are read once."""
+    d = cut_lineage(base.daily(spark, sf)) if daily is None else daily
+    price_model, pp = price_predictions(spark, sf, d)
     attached = FC.attach_predictions(d.select("k", "d"), pp, KEYS, "d", "price_pred")
-    demand, t, _ = _boosted(spark, sf, extra=attached)
+    demand, t, _ = _boosted(spark, sf, attached, d)
     label_map, scalers = encoders_and_scalers(d, KEYS, ["demand", "price", "n"])
-    return Forecaster(price_model.coefficients.toArray().tolist(), float(price_model.intercept), seq_features(seq_rows(spark, sf)), SEQ_W,
+    return Forecaster(price_model.coefficients.toArray().tolist(), float(price_model.intercept), seq_features(seq_rows(spark, sf, d)), SEQ_W,
                       demand, label_map, scalers, t.count())
 
 
-def forecast(spark, sf, start_date=None, n_days: int = H, forecaster: Forecaster | None = None) -> dict[str, DataFrame]:
+def forecast(spark, sf, start_date=None, n_days: int = H, forecaster: Forecaster | None = None,
+             daily: DataFrame | None = None) -> dict[str, DataFrame]:
     """N5 + N6, the whole job: the price model recursively, demand over the horizon by the stacked demand model.
 
     ``days``: k, step, d, price, demand and trend arrows (unrounded, E11);
     ``summary``: H2 + H3 per series; ``report``: the last 90 days and the forecast (A12).
     ``start_date`` (default: the day after a series' last) and ``n_days`` set the horizon;
     a saved ``forecaster`` is used as it is, without one both models are fitted."""
-    f = forecaster or fit_forecaster(spark, sf)
-    d = cut_lineage(base.daily(spark, sf))
+    d = cut_lineage(base.daily(spark, sf)) if daily is None else daily
+    f = forecaster or fit_forecaster(spark, sf, d)
     start = F.to_date(F.lit(start_date)) if start_date is not None else None
-    price = FC.recursive_window_forecast(seq_rows(spark, sf), KEYS, "d", f.price_features, f.window, f.predict_price(), n_days, start)
+    price = FC.recursive_window_forecast(seq_rows(spark, sf, d), KEYS, "d", f.price_features, f.window, f.predict_price(), n_days, start)
     fut = _future_features(d, cut_lineage(price))
     dem = f.demand.transform(FC.horizon_fill(fut, f.demand.features, KEYS, "step")).select(
         "k", "step", "d", "price", F.col("prediction").alias("demand"))
@@ -289,8 +292,9 @@ def forecast_report(spark, sf):
 def saved_forecast(spark, sf):
     """A6 - A9 for the forecasting models: trained, published as a version, loaded as the newest one, and used: the days of ``forecast``."""
     root = os.path.join(checkpoint_dir(spark), "artifacts", "forecaster-" + uuid.uuid4().hex[:12])
-    saved = Forecaster.load_or_fit(spark, root, lambda: fit_forecaster(spark, sf))
-    return forecast(spark, sf, forecaster=saved)["days"].select("k", "step", "d", "price", "demand")
+    d = cut_lineage(base.daily(spark, sf))
+    saved = Forecaster.load_or_fit(spark, root, lambda: fit_forecaster(spark, sf, d))
+    return forecast(spark, sf, forecaster=saved, daily=d)["days"].select("k", "step", "d", "price", "demand")
 
 
 @query("price_model_metrics")
