@@ -101,3 +101,17 @@ def test_report_sink_replaces_only_its_day(spark):
     forecast.write_report(early.filter("kind <> 'history'"), path)
     assert forecast.read_report(spark, path, "2025-07-02").count() == 2 and forecast.read_report(spark, path, "2025-07-03").count() == 2
     assert forecast.write_report(early.filter("kind = 'history'"), path) is None
+
+
+def test_forecasts_read_the_orders_once(spark, monkeypatch):
+    monkeypatch.setattr(M, "BOOST", dict(M.BOOST, rounds=2, rate=0.3, max_depth=2))
+    read, daily = [], Q.base.daily
+
+    def seen(*a):
+        read.append(a)
+        return daily(*a)
+
+    monkeypatch.setattr(Q.base, "daily", seen)
+    assert Q.saved_forecast(spark, SF001).count() == 5 * Q.H and len(read) == 1
+    job = Q.forecast(spark, SF001)
+    assert job["days"].count() == 5 * Q.H and len(read) == 2
