@@ -136,3 +136,24 @@ def test_custom_forest_saves_and_loads(spark):
     test = t.filter("NOT is_train")
     a, b = (rows(M.score(m, test, keep=RECO_KEYS).orderBy(*RECO_KEYS)) for m in (rec, M.Recommender.load(spark, path)))
     assert a == b and len(a) == test.count() and {x[-1] for x in a} <= {r[0] for r in t.select("priority").distinct().collect()}
+
+
+def small_forest(monkeypatch):
+    monkeypatch.setattr(M, "FOREST_OWN", dict(M.FOREST_OWN, n_trees=3, max_depth=3))
+
+
+def test_roundtrip_scores_one_reading_of_the_test_rows(spark, monkeypatch):
+    small_forest(monkeypatch)
+    out = Q.artifact_roundtrip(spark, SF001)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2  # lineitem and orders
+    got = out.first()
+    assert got["n_scored"] == reco_table(spark, SF001).filter("NOT is_train").count() and got["n_different"] == 0
+
+
+def test_training_frame_is_made_once(spark, monkeypatch):
+    seen = []
+    fit = M.encode.fit_label_map
+    monkeypatch.setattr(M.encode, "fit_label_map", lambda df, cols: seen.append(df.storageLevel.useMemory) or fit(df, cols))
+    df = spark.createDataFrame([(float(i % 2), "ab"[i % 3 == 0], i) for i in range(50)], "x double, y string, i int")
+    M.fit_custom_forest(df, ["x"], [], "y", ["i"], 2, 3, 2, 1)
+    assert seen == [True] and not spark._jsparkSession.sharedState().cacheManager().lookupCachedData(df.select("i", "x", "y")._jdf).isDefined()
