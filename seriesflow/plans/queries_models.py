@@ -325,7 +325,7 @@ def sensor_recommender(spark, sf):
     ev = read_table(spark, sf, "events").select(F.col("event_id").alias("seq"), "event_type")
     t = lat.dropna(subset=KINDS).join(ev, "seq").withColumns(
         {k: F.lit(v) for k, v in STREAM_CONSTANTS.items()})
-    return M.fit_recommender(t, KINDS + ["stage", "purpose"], ["stage", "purpose"], "event_type")
+    return M.fit_custom_forest(t, KINDS + ["stage", "purpose"], ["stage", "purpose"], "event_type", ["seq"], **M.FOREST_OWN)
 
 
 @query("score_stream", round_output=False)

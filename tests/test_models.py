@@ -150,6 +150,17 @@ def test_roundtrip_scores_one_reading_of_the_test_rows(spark, monkeypatch):
     assert got["n_scored"] == reco_table(spark, SF001).filter("NOT is_train").count() and got["n_different"] == 0
 
 
+def test_sensor_model_is_the_librarys_forest(spark, monkeypatch):
+    """Its trees are grown from packed samples and don't depend on how rows are dealt to tasks."""
+    small_forest(monkeypatch)
+    monkeypatch.setattr(M, "RandomForestClassifier", None)
+    rec = Q.sensor_recommender(spark, SF001)
+    assert isinstance(rec.model, M.trees.Forest) and rec.model.trees.count() == 3
+    again = Q.sensor_recommender(spark, SF001)
+    key = lambda m: sorted((r["tree"], r["feature"], r["cut"]) for r in m.model.trees.collect())
+    assert key(rec) == key(again)
+
+
 def test_training_frame_is_made_once(spark, monkeypatch):
     seen = []
     fit = M.encode.fit_label_map
