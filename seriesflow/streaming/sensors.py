@@ -110,7 +110,8 @@ class FirstComplete:
         seen = (ok.join(emitted.select(*KEYS), KEYS, "left_anti")
                 .unionByName(held.where("not emitted").drop("emitted"))).withColumn("status", F.lit("ok")).persist()
         done = complete_readings(seen, KEYS, ORDER).persist()
-        out = self.then(done) if self.then else done
+        # A model's trees are loaded once a worker, so its rows go to no more tasks than run at a time.
+        out = self.then(done.coalesce(max(1, spark.sparkContext.defaultParallelism))) if self.then else done
         out.write.mode("overwrite").parquet(os.path.join(self.sink, f"batch={batch_id}"))
         pos = F.struct(*ORDER)
         open_kinds = (seen.join(done.select(*KEYS), KEYS, "left_anti").groupBy(*KEYS, "kind")
@@ -143,9 +144,10 @@ def _run(stream: DataFrame, base: str, each: Callable[[DataFrame, int], None], m
 
 
 def _replay(spark: SparkSession, lines: DataFrame, base: str, run: Callable[[DataFrame], None]) -> None:
-    """Let the lines arrive slice by slice (any number of files each) and run the stream after each arrival."""
+    """Let the lines arrive slice by slice (some files of about equal size each) and run the stream after each arrival."""
     for piece in feed_slices(lines):
-        piece.select("device_id", "event_ts", "seq", "line").write.mode("append").parquet(os.path.join(base, "src"))
+        files = max(1, spark.sparkContext.defaultParallelism)
+        piece.select("device_id", "event_ts", "seq", "line").repartition(files, "seq").write.mode("append").parquet(os.path.join(base, "src"))
         run(read_line_stream(spark, os.path.join(base, "src")))
 
 

@@ -95,3 +95,16 @@ def test_window_stream_equals_batch_windows(spark, files):
              .select("device_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), *S.KINDS))
     emitted = got.select("device_id", "window_start", *S.KINDS)
     assert emitted.exceptAll(batch).count() == 0 and batch.exceptAll(emitted).count() == 0
+
+
+def test_feed_arrives_in_files_of_about_equal_size(spark, tmp_path):
+    import glob
+
+    from seriesflow.streaming import sensors as ST
+    lines = spark.range(4000).selectExpr("id % 7 AS device_id", "TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS event_ts", "id AS seq",
+                                         "'Soil Moisture Value: 5' AS line").coalesce(1)
+    seen = []
+    ST._replay(spark, lines, str(tmp_path), lambda s: seen.append(set(glob.glob(f"{tmp_path}/src/*.parquet"))))
+    for before, now in zip([set(), *seen], seen):
+        rows = [spark.read.parquet(f).count() for f in now - before]
+        assert len(rows) == spark.sparkContext.defaultParallelism and sum(rows) == 1000 and max(rows) < 500
