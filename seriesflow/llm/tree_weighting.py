@@ -21,8 +21,8 @@ END = 0xFF
 SLICE, FLUSH = 1 << 20, 1_600_000
 #: Grams that a task weighs at once (whole parts of three context bytes).
 PART_ROWS = 1 << 17
-#: Broadcast tables have at most so many entries (12 bytes each, twice that in a worker); larger ones are joined.
-MOST_GRAMS, MOST_WORDS = 6_000_000, 8_000_000
+#: Broadcast tables have at most about so many entries (12 bytes each, a worker's grams 26 more); larger ones are broadcast in slices, one a pass.
+MOST_GRAMS, MOST_WORDS, LEAST = 1 << 22, 1 << 22, 1 << 16
 SMOOTHING = 0.1
 
 
@@ -266,7 +266,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     Spark sums them, and the tree is weighed level by level in partitions of
     the nearest three bytes, then by aggregates. Scoring reads each text once
     against the grams' table, broadcast while it has at most ``most_grams``
-    entries; above that grams are counted by text and joined, with the same
+    entries; above that the texts are read once for each slice of so many, with the same
     result. The unigram base works alike, by 64-bit word hashes.
 
     Null texts are empty: only their end is scored. Rows with a null id are
@@ -284,84 +284,111 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     end_score = math.log10(ends + SMOOTHING) - floor
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), (crc_mod(id_col, folds) == 0).alias("held_out"), F.col(text_col).alias("text"))
-    if table.count() <= most_grams and totals.v <= most_words:
-        scored = _score_by_broadcast(rows, kind, table, words, depth)
+    gram_slices, word_slices = _slices(table, table.count(), most_grams), _slices(words, totals.v, most_words)
+    if len(gram_slices) == len(word_slices) == 1:
+        shared = _shared_slice(gram_slices[0], table, "logp", "float"), _shared_slice(word_slices[0], words, "n", None)
+        scored = _sums(rows, f"doc_id {kind}, held_out boolean", *shared, depth)
     else:
-        scored = _score_by_join(rows, kind, table, words, depth)
+        scored = _score_in_passes(rows, kind, table, words, depth, gram_slices, word_slices)
     return scored.select(
         "doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_known") + (1 if ends else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("word_logs") - F.col("n_words") * floor + end_score).alias("base_score"),
         "score", "n_bytes", (-F.col("score") / math.log10(2) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
 
 
-def _score_by_broadcast(rows: DataFrame, kind: str, table: DataFrame, words: DataFrame, depth: int) -> DataFrame:
-    context, name = rows.sparkSession.sparkContext, uuid.uuid4().hex
-    got = table.select("key", F.col("logp").cast("float")).toArrow()
-    tree_parts = context.broadcast((got.column("key").to_numpy().view(np.uint64), got.column("logp").to_numpy()))
-    size = "int" if (words.agg(F.max("n")).first()[0] or 0) < 2 ** 31 else "long"
-    got = words.select("key", F.col("n").cast(size)).toArrow()
-    keys, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
+def _score_in_passes(rows: DataFrame, kind: str, table: DataFrame, words: DataFrame, depth: int, gram_slices: list, word_slices: list) -> DataFrame:
+    """For tables too large to broadcast: each pass reads the texts once against a slice of both, and a row's sums over the passes meet by id and digest.
+
+    Repeated rows have the same sums, so they are counted and come apart again."""
+    keyed = rows.withColumn("digest", F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
+    passes, sums = max(len(gram_slices), len(word_slices)), ("n_known", "word_logs", "score")
+    parts = None
+    for k in range(passes):
+        shared = [(_shared_slice(slices[k], *what) if k < len(slices) else None)
+                  for slices, what in ((gram_slices, (table, "logp", "float")), (word_slices, (words, "n", None)))]
+        part = materialize(_sums(keyed, f"doc_id {kind}, held_out boolean, digest binary", *shared, depth).withColumn("pass", F.lit(k)), "ctw-pass")
+        for x in shared:
+            if x is not None:
+                x[1].destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    mine = [F.max(F.when(F.col("pass") == k, F.col(c))).alias(f"{c}{k}") for k in range(passes) for c in sums]
+    whole = parts.groupBy("doc_id", "held_out", "digest", "n_words", "n_bytes").agg(F.count_if(F.col("pass") == 0).cast("int").alias("copies"), *mine)
+    total = {c: sum((F.col(f"{c}{k}") for k in range(1, passes)), F.col(f"{c}0")).alias(c) for c in sums}
+    return whole.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(
+        "doc_id", "held_out", "n_words", *total.values(), "n_bytes")
+
+
+def _slices(table: DataFrame, n: int, most: int) -> list[tuple[int | None, int | None]]:
+    """Ranges of keys, from one bound up to the next (None: open), that hold about ``most`` of the table's ``n`` rows each (or ``LEAST``)."""
+    parts = 1 if n <= most else max(2, -(-n // max(most, LEAST)))
+    shares = [k / parts for k in range(1, parts)]
+    cuts = sorted(set(table.agg(F.percentile_approx("key", shares, 1000)).first()[0])) if shares else []
+    return list(zip([None, *cuts], [*cuts, None]))
+
+
+def _shared_slice(bounds: tuple[int | None, int | None], table: DataFrame, value: str, size: str | None):
+    """The bounds, and a broadcast of the keys (sorted) and values in between."""
+    low, high = bounds
+    inside = F.lit(True) if low is None else F.col("key") >= low
+    inside = inside if high is None else inside & (F.col("key") < high)
+    if size is None:
+        size = "int" if (table.agg(F.max(value)).first()[0] or 0) < 2 ** 31 else "long"
+    got = table.where(inside).select("key", F.col(value).cast(size)).toArrow()
+    keys, values = got.column("key").to_numpy(), got.column(value).to_numpy()
     del got
     order = np.argsort(keys)
-    word_parts = context.broadcast((keys[order], n[order]))
-    del keys, n, order
+    return bounds, table.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+
+def _between(keys: np.ndarray, bounds: tuple[int | None, int | None]):
+    """Where the keys lie within the bounds; all of them without any."""
+    low, high = bounds
+    if low is None and high is None:
+        return slice(None)
+    keys = keys.view(np.int64)
+    return (keys < high) if low is None else (keys >= low) if high is None else (keys >= low) & (keys < high)
+
+
+def _sums(rows: DataFrame, columns: str, tree_slice, word_slice, depth: int) -> DataFrame:
+    """``columns`` (of ``rows``, beside the text), n_words, n_known, word_logs, score, n_bytes: sums over each text's grams and words in the slices."""
+    name, names = uuid.uuid4().hex, [c.split()[0] for c in columns.split(", ")]
 
     def run(batches):
-        hashes, counts = word_parts.value
-        cache = worker_cache()
-        if cache.get("ctw", (None,))[0] != name:
-            cache["ctw"] = name, Table(*tree_parts.value)
-        tree = cache["ctw"][1]
+        if tree_slice:
+            cache = worker_cache()
+            if cache.get("ctw", (None,))[0] != name:
+                cache.pop("ctw", None)
+                keys, values = tree_slice[1].value
+                cache["ctw"] = name, Table(keys.view(np.uint64), values)
+            tree = cache["ctw"][1]
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for i, j in row_slices(offsets, SLICE):
                 text, at = LOWER_TABLE[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
-                grams, first = byte_grams(text, at, depth)
-                score = np.add.reduceat(tree.get(grams).astype(np.float64), first[:-1])
+                score = np.zeros(j - i)
+                if tree_slice:
+                    grams, first = byte_grams(text, at, depth)
+                    logs, here = np.zeros(len(grams)), _between(grams, tree_slice[0])
+                    logs[here] = tree.get(grams[here])
+                    score = np.add.reduceat(logs, first[:-1])
                 begin, end, first = word_spans(text, at, BLANK)
-                distinct, place = np.unique(span_hashes(text, begin, end), return_inverse=True)
-                spot = np.minimum(np.searchsorted(hashes, distinct), max(0, len(hashes) - 1))
-                c = np.where(hashes[spot] == distinct, counts[spot], 0) if len(hashes) else np.zeros(len(distinct))
-                sums = [np.concatenate([[0], np.cumsum(x[place])]) for x in (np.log10(c + SMOOTHING), (c > 0).astype(np.int64))]
-                word_logs, known = (s[first[1:]] - s[first[:-1]] for s in sums)
+                known, word_logs = np.zeros(j - i, np.int64), np.zeros(j - i)
+                if word_slice:
+                    mine = span_hashes(text, begin, end)
+                    here = _between(mine, word_slice[0])
+                    distinct, place = np.unique(mine[here].view(np.int64), return_inverse=True)
+                    hashes, counts = word_slice[1].value
+                    spot = np.minimum(np.searchsorted(hashes, distinct), max(0, len(hashes) - 1))
+                    c = np.where(hashes[spot] == distinct, counts[spot], 0) if len(hashes) else np.zeros(len(distinct))
+                    sums = []
+                    for x in (np.log10(c + SMOOTHING), (c > 0).astype(np.int64)):
+                        each = np.zeros(len(mine), x.dtype)
+                        each[here] = x[place]
+                        sums.append(np.concatenate([[0], np.cumsum(each)]))
+                    word_logs, known = (s[first[1:]] - s[first[:-1]] for s in sums)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), batch.column("held_out").slice(i, j - i), pa.array(np.diff(first)),
+                    [*(batch.column(c).slice(i, j - i) for c in names), pa.array(np.diff(first)),
                      pa.array(known), pa.array(word_logs), pa.array(score), pa.array(np.diff(at))],
-                    names=["doc_id", "held_out", "n_words", "n_known", "word_logs", "score", "n_bytes"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_words long, n_known long, word_logs double, score double, n_bytes long")
-
+                    names=[*names, "n_words", "n_known", "word_logs", "score", "n_bytes"])
 
-def _score_by_join(rows: DataFrame, kind: str, table: DataFrame, words: DataFrame, depth: int) -> DataFrame:
-    """For tables too large to broadcast: (text, key, n) rows joined to the tables; texts are told apart by digest."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = rows.withColumn("digest", F.md5(text.cast("binary")))
-
-    def run(batches):
-        for batch in batches:
-            data, offsets = text_buffers(batch.column("text"))
-            for i, j in row_slices(offsets, SLICE):
-                part, at = LOWER_TABLE[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
-                grams, first = byte_grams(part, at, depth)
-                begin, end, first_word = word_spans(part, at, BLANK)
-                hashes = span_hashes(part, begin, end)
-                for k in range(j - i):
-                    digest = batch.column("digest").slice(i + k, 1)
-                    for what, keys in ((0, grams[first[k]:first[k + 1]]), (1, hashes[first_word[k]:first_word[k + 1]])):
-                        distinct, n = np.unique(keys, return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [digest.take(pa.array(np.zeros(len(n), np.int64))), pa.array(np.full(len(n), what, np.int32)),
-                             pa.array(distinct.view(np.int64)), pa.array(n)], names=["digest", "what", "key", "n"])
-
-    texts = keyed.select("digest", "text").dropDuplicates(["digest"])
-    pieces = materialize(texts.mapInArrow(run, "digest string, what int, key long, n long"), "ctw-pieces")
-    table = table.withColumn("logp", F.col("logp").cast("float").cast("double"))  # as the broadcast has them
-    tree = pieces.where("what = 0").join(table, "key").groupBy("digest").agg(F.sum(F.col("n") * F.col("logp")).alias("score"))
-    c = F.coalesce(F.col("c"), F.lit(0))
-    base = (pieces.where("what = 1").join(words.withColumnRenamed("n", "c"), "key", "left").groupBy("digest")
-            .agg(F.sum("n").alias("n_words"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"),
-                 F.sum(F.col("n") * F.log10(c + SMOOTHING)).alias("word_logs")))
-    return (keyed.join(tree, "digest", "left").join(base, "digest", "left")
-            .select("doc_id", "held_out", *[F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("n_words", "n_known")],
-                    F.coalesce("word_logs", F.lit(0.0)).alias("word_logs"), "score",
-                    F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")))
+    return rows.mapInArrow(run, f"{columns}, n_words long, n_known long, word_logs double, score double, n_bytes long")

@@ -110,3 +110,19 @@ def test_broadcast_and_join_give_equal_scores(spark):
     small, large = sorted(tw.score(docs).collect(), key=key), sorted(tw.score(docs, most_grams=0).collect(), key=key)
     assert len(small) == len(large) > 0
     assert all(abs(a.score - b.score) <= 1e-11 * abs(a.score) for a, b in zip(small, large))
+
+
+def test_tables_in_slices_give_equal_scores(spark, monkeypatch):
+    """Rows that repeat, with ids or without, keep their own sums; no pass makes a row for each gram of a text."""
+    docs = edge_docs(spark).select("doc_id", "text")
+    docs = docs.unionByName(docs).unionByName(docs.withColumn("doc_id", docs.doc_id + 1000))
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_known, r.score)
+    whole = sorted(tw.score(docs).collect(), key=key)
+    monkeypatch.setattr(tw, "LEAST", 8)
+    made, keep = [], tw.materialize
+    monkeypatch.setattr(tw, "materialize", lambda df, name: made.append((name, keep(df, name))) or made[-1][1])
+    parts = sorted(tw.score(docs, most_grams=90, most_words=8).collect(), key=key)
+    passes = [df for name, df in made if name == "ctw-pass"]
+    assert len(passes) > 2 and all(df.count() == len(whole) for df in passes)
+    assert [r[:5] for r in parts] == [r[:5] for r in whole] and [r.n_bytes for r in parts] == [r.n_bytes for r in whole]
+    assert np.allclose([r[5:7] for r in parts], [r[5:7] for r in whole], rtol=1e-11, atol=0)
