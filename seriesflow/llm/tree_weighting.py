@@ -354,10 +354,11 @@ def _sums(rows: DataFrame, columns: str, tree_slice, word_slice, depth: int) ->
     name, names = uuid.uuid4().hex, [c.split()[0] for c in columns.split(", ")]
 
     def run(batches):
+        cache = worker_cache()
+        if cache.get("ctw", (None,))[0] != name:
+            cache.pop("ctw", None)  # an earlier pass's table isn't held beside this one's, nor where a pass has none
         if tree_slice:
-            cache = worker_cache()
-            if cache.get("ctw", (None,))[0] != name:
-                cache.pop("ctw", None)
+            if "ctw" not in cache:
                 keys, values = tree_slice[1].value
                 cache["ctw"] = name, Table(keys.view(np.uint64), values)
             tree = cache["ctw"][1]
